@@ -1,0 +1,179 @@
+import random
+
+import pytest
+
+from vulnloom.operators import index
+from vulnloom.operators.parse import might_hold, page_links
+from vulnloom.plans.build_index import build_index
+from vulnloom.schema import LISTING_PAGES, LISTING_PREFIX
+
+
+def links(*hrefs):
+    return "<html><a>none</a>" + "".join(f'<a href="{h}">x</a>' for h in hrefs) + "</html>"
+
+
+def folder(year, directory):
+    return f"{LISTING_PREFIX}{year}/{directory}"
+
+
+def listing(spark, rows):
+    return spark.createDataFrame(rows, LISTING_PAGES)
+
+
+@pytest.fixture(scope="module")
+def golden(spark):
+    return listing(spark, [
+        (2024, None, None, 200, links(
+            "https://host" + folder(2024, "3xxx"), folder(2024, "readme"), folder(2023, "1xxx"),
+            folder(2024, "10xxx") + "/more", folder(2024, "1xxx\n"), folder(2024, "xxx"),
+            folder(2024, "3xxx"), folder(2024, "1xxxx"), folder(2024, "9xxx"))),
+        (2024, "3xxx", None, 200, links(
+            "/x/CVE-2024-3094.json", "/x/CVE-2024-3094.json", "/x/CVE-2024-123.json",
+            "/x/CVE-2023-3094.json", "/x/CVE-2024-10000.json.bak", "/x/CVE-2024-0999.jsonCVE-2024-0998.json",
+            "/x/CVE-2024-3100xjson", "/x/cve-2024-3101.json")),
+        (2024, "10xxx", None, 200, links("/CVE&#45;2024-10001.json", "/CVE-2024-3094.json")),
+        (2024, "9xxx", None, 404, links("/CVE-2024-9999.json")),
+        (2024, "7xxx", None, 200, links("/CVE-2024-7000.json")),       # linked from nowhere
+        (2023, None, None, 500, links(folder(2023, "1xxx"))),          # year page not readable
+        (2023, "1xxx", None, 200, links("/CVE-2023-1000.json")),
+        (2019, None, None, 200, links(folder(2019, "1xxx"))),          # out of range
+        (2019, "1xxx", None, 200, links("/CVE-2019-1000.json")),
+        (2020, None, None, 200, links(folder(2020, "1xxx"))),
+        (2020, "1xxx", None, 200, links("/CVE-2020-1000.json")),
+        (2026, None, None, 200, links(folder(2026, "1xxx"))),
+        (2026, "1xxx", None, 200, links("/CVE-2026-1000.json")),
+        (2025, None, None, 200, links()),
+    ])
+
+
+def test_golden_listing(spark, golden):
+    scope = index.listing_in_scope(golden)
+    dirs = index.directories(scope).orderBy("year", "page_no", "dir_pos").collect()
+    assert [(r.year, r.directory) for r in dirs] == [
+        (2020, "1xxx"), (2024, "3xxx"), (2024, "10xxx"), (2024, "9xxx"), (2026, "1xxx"),
+    ]
+    found = index.discovered(scope)
+    assert [r.cve_id for r in index.in_id_order(found).collect()] == [
+        "CVE-2020-1000", "CVE-2024-0999", "CVE-2024-3094", "CVE-2024-10000", "CVE-2024-10001",
+        "CVE-2026-1000",
+    ]
+    places = {r.cve_id: r.directory for r in found.collect()}
+    assert places["CVE-2024-3094"] == "3xxx"
+    years = {r.year: (r.new_ids, r.total) for r in index.year_counts(scope, found).collect()}
+    assert years == {2020: (1, 1), 2024: (4, 5), 2025: (0, 5), 2026: (1, 6)}
+
+
+def test_prefix_is_plain_text(spark):
+    rows = [
+        (2024, None, None, 200, links("/a.b(c/2024/1xxx", "/axb(c/2024/2xxx")),
+        (2024, "1xxx", None, 200, links("/CVE-2024-1000.json")),
+        (2024, "2xxx", None, 200, links("/CVE-2024-2000.json")),
+    ]
+    found = index.discovered(listing(spark, rows), prefix="/a.b(c/")
+    assert [r.cve_id for r in found.collect()] == ["CVE-2024-1000"]
+
+
+def crawl(pages, target):
+    """The discovery order, step by step."""
+    seen, years, folders = [], [], []
+    for year in range(2020, 2027):
+        if year not in pages:
+            continue
+        new_in_year = 0
+        for directory, ids in pages[year]:
+            before = len(seen)
+            for cve_id in ids:
+                if cve_id not in seen:
+                    seen.append(cve_id)
+                    if len(seen) >= target:
+                        break
+            new_in_year += len(seen) - before
+            folders.append((year, directory, new_in_year))
+            if len(seen) >= target:
+                break
+        years.append((year, new_in_year, len(seen)))
+        if len(seen) >= target:
+            break
+    return seen, years, folders
+
+
+@pytest.fixture(scope="module")
+def random_pages(spark):
+    rng = random.Random(11)
+    pages, rows = {}, []
+    for year in (2020, 2021, 2023, 2024):
+        numbers = rng.sample(range(1, 40), 12)
+        pages[year] = []
+        for n in numbers:
+            ids = [f"CVE-{year}-{rng.randrange(1000, 1400)}" for _ in range(rng.randrange(0, 30))]
+            pages[year].append((f"{n}xxx", ids))
+            rows.append((year, f"{n}xxx", None, 200, links(*[f"/{i}.json" for i in ids])))
+        # The directory list of a year is spread over three pages.
+        for page_no in range(3):
+            part = pages[year][page_no * 4:page_no * 4 + 4]
+            rows.append((year, None, page_no, 200, links(*[folder(year, d) for d, _ in part])))
+    rng.shuffle(rows)
+    return pages, listing(spark, rows).cache()
+
+
+@pytest.mark.parametrize("target", [1, 7, 60, 200, 333, 100_000])
+def test_first_ids_counts_and_stops(random_pages, target):
+    pages, frame = random_pages
+    want_ids, want_years, want_folders = crawl(pages, target)
+    found = index.discovered(frame)
+    kept = index.first_n(found, target)
+    by_totals = index.first_by_totals(found, target)
+    assert {r.cve_id for r in kept.collect()} == set(want_ids)
+    assert sorted(r.cve_id for r in by_totals.collect()) == sorted(want_ids)
+    years = index.year_counts(frame, kept, target).orderBy("year").collect()
+    assert [tuple(r) for r in years] == want_years
+    folders = index.running_counts(frame, kept, target).orderBy("year", "page_no", "dir_pos").collect()
+    assert [(r.year, r.directory, r.collected) for r in folders] == want_folders
+
+
+def test_whole_run(spark, random_pages, path):
+    pages, frame = random_pages
+    want_ids, want_years, _ = crawl(pages, 150)
+    run = build_index(frame, path, target=150)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    in_order = sorted(want_ids, key=lambda i: tuple(map(int, i.split("-")[1:])))
+    assert sorted(lines) == sorted(in_order)
+    assert [tuple(r) for r in run.years.orderBy("year").collect()] == want_years
+    assert tuple(run.totals.first()) == (150, 150)
+    shown = [(r.part, r.cve_id) for r in run.preview.collect()]
+    assert sorted(i for p, i in shown if p == "first") == sorted(in_order[:20])
+    assert sorted(i for p, i in shown if p == "last") == sorted(in_order[-10:])
+
+
+def test_totals_cap(spark, random_pages):
+    found = index.discovered(random_pages[1])
+    n = found.count()
+    assert tuple(index.index_totals(found, 10).first()) == (n, 10)
+    assert tuple(index.index_totals(found, n + 10).first()) == (n, n)
+
+
+def test_positions(spark):
+    rng = random.Random(3)
+    ids = [f"CVE-{rng.randrange(2020, 2023)}-{rng.randrange(1, 60_000):04d}" for _ in range(2000)]
+    frame = spark.createDataFrame([(i,) for i in ids], "cve_id string")
+    got = {r.cve_id: r.position for r in index.ranked(frame).collect()}
+    want = sorted(set(ids), key=lambda i: tuple(map(int, i.split("-")[1:])))
+    assert got == {cve_id: n for n, cve_id in enumerate(want, 1)}
+
+
+def test_ids_of_no_known_form_keep_a_position(spark):
+    frame = spark.createDataFrame([("CVE-2024-0001",), ("junk",), ("CVE-x-1",)], "cve_id string")
+    got = {r.cve_id: r.position for r in index.ranked(frame).collect()}
+    assert sorted(got.values()) == [1, 2, 3] and got["CVE-2024-0001"] == 3
+
+
+def test_prefilter_never_hides_a_link(spark):
+    pages = [
+        ('<a href="/CVE-2024-1000.json">',), ('<a href="/&#67;VE-2024-1000.json">',),
+        ('<a href="/CV&#x45;&#45;2024-1000.json">',), ("<a href=/other>",),
+    ]
+    frame = spark.createDataFrame(pages, "html string")
+    assert [r[0] for r in frame.select(might_hold(frame.html, "CVE-")).collect()] == [
+        True, True, True, False,
+    ]
+    assert [r.href for r in page_links(frame).collect()][:3] == ["/CVE-2024-1000.json"] * 3
