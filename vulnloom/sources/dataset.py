@@ -15,7 +15,8 @@ def read_csv_dataset(spark: SparkSession, path: str) -> DataFrame:
     """A CSV dataset as 22 strings; rows without an id are left out.
 
     A missing file gives no rows. A file that does not fit the columns is an
-    error: reading part of it and writing that back would lose data.
+    error: reading part of it and writing that back would lose data. Where rows
+    end in CRLF, a CRLF inside a quoted cell is read as LF.
     """
     reader = spark.read.schema(RAW).options(
         **CSV, multiLine=True, mode="FAILFAST", enforceSchema=False,
