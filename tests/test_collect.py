@@ -163,3 +163,11 @@ def test_id_of_unknown_form(spark, path):
     for run in (1, 2):
         collect(ids_of(spark, "GHSA-x"), pages_of(spark, GHSA_x=True), path, run=run)
     assert [(r.cve_id, r.cve_year) for r in read_advisories(spark, path).collect()] == [("GHSA-x", 0)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 9_999, 10_000, 10_001, 25_000, 40_000])
+def test_a_large_target_takes_the_same_rows(spark, monkeypatch, n):
+    rows = spark.range(30_000).selectExpr("id * 7 + 1 ord", "cast(id as string) cve_id").repartition(6)
+    monkeypatch.setattr(merge, "SORTED_LIMIT", -1)
+    got = sorted(r.ord for r in merge.first_in_order(rows, n).collect())
+    assert got == [i * 7 + 1 for i in range(min(n, 30_000))]

@@ -3,6 +3,8 @@
 import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from vulnloom.operators.html_scan import PageRecord, read_advisory, read_links
 
@@ -105,3 +107,76 @@ def test_time_grows_with_the_page(piece):
     seconds(1000)
     small, large = min(seconds(4000) for _ in range(3)), min(seconds(40000) for _ in range(3))
     assert large < small * 40
+
+
+# -- the fast reading of regular markup against the tokenizer alone
+
+PIECES = [
+    "text ", "a<b>", "<b>", "</b>", "<p>", "</p>", "<br>", "<br/>", "<br />", "</br>", "<hr>", "</hr>",
+    "<div class=\"a b\">", "</div>", "<DIV CLASS='a'>", "</DIV >", "<dl>", "<dt>", "</dt>", "<dd/>", "<dd>", "</dl>",
+    '<a href="/x?a=1&amp;b=2">', "<a href='/y'>", "<a href=/z/>", "<a href>", "<a href=\"\">", "<a href=/q class=k>",
+    '<a\thref="/n"\n class="c" >', '<a href="/1" href="/2">', '<a href="/1"class="k">', "<a href = '/s'>",
+    '<a href="/?a=1&b=2">', '<a href="/&copy=1">', '<a href="&#x41;&#66;">', "<a/href=/p>", "<a b/>", "<a b=c/>",
+    '<a href="<b>">', "<a href='>'>", '<a\x0bhref="/v">', "<a href=/w>", "<a x:y.z-1=2>", "<a =x>", "<a \"q\">",
+    "<a x=\"1\" / y=2>", "<a b=`c`>", "<x.y>", "<x:y>", "<1>", "< p>", "</ p>", "</p x>", "</>", "</1>", "<>", "<",
+    "&amp;", "&lt;", "&copy", "&copy;", "&nosuch;", "&nosuch ", "&a-b;", "&a.b ", "&", "& ", "&&", "&;", "&#65;",
+    "&#65", "&#x41;", "&#xZ;", "&#", "&#;", "&#147;", "&#129;", "&#55296;", "&#0;", "&#1114112;", "&x1y;",
+    "<!-- c -->", "<!-- a - b -->", "<!---->", "<!-->", "<!--->", "<!-- a -- b -->", "<!-- x --!>", "<!-- <b> -->",
+    "<!-- a --->", "<!--x--", "<!-- open", "<!DOCTYPE html>", '<!doctype html PUBLIC "-//W3C//DTD">', "<!DOCTYPE",
+    "<!ELEMENT x>", "<![CDATA[ d ]]>", "<![CDATA[ <b> ]]>", "<!x>", "<?pi x>", "<?xml version='1.0'?>", "<?",
+    "<script>", "</script>", "<script>a<b</script>", '<script src="/s">var t="</p>";</script >', "<script/>",
+    "<script>a</ script>b</script>", "<SCRIPT>x</Script>", "<script><!-- </script>", "<style>p{}</style>", "<style>",
+    "<title>t &amp; u</title>", "<title>a<b>c</title>", "<title>", "<textarea>x</textarea>", "<textarea><b></textarea>",
+    "<template>", "</template>", "<rt>", "</rt>", "<iframe><b></iframe>", "<xmp><b></xmp>", "<plaintext>",
+    "\x00", "\r\n", " ", "é\U0001f600", "]]>", "-->", "/>", "\"", "'", "=",
+]
+
+
+def contents(page):
+    return {k: v for k, v in vars(page).items() if not k.startswith("_")}
+
+
+def readings(html):
+    """(fast, tokenizer alone); an exception stands for itself."""
+    out = []
+    for fast in (True, False):
+        try:
+            with pytest.MonkeyPatch.context() as m:
+                if not fast:
+                    m.setattr(PageRecord, "_read_regular", lambda self, html: 0)
+                out.append(contents(PageRecord(html)))
+        except AssertionError as e:
+            out.append(str(e))
+    return out
+
+
+def test_both_readings_agree_on_pairs():
+    for first in PIECES:
+        for second in PIECES:
+            fast, alone = readings(first + second)
+            assert fast == alone, (first, second)
+
+
+@settings(max_examples=4000, deadline=None, database=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25))
+def test_both_readings_agree(pieces):
+    html = "".join(pieces)
+    fast, alone = readings(html)
+    assert fast == alone
+
+
+@settings(max_examples=2000, deadline=None, database=None)
+@given(st.text(st.sampled_from(list("<>/!-?&#;=\"' \nab1x[]")), max_size=30))
+def test_both_readings_agree_on_noise(html):
+    fast, alone = readings(html)
+    assert fast == alone
+
+
+def test_regular_pages_are_read_fast(monkeypatch):
+    from golden import FULL
+
+    def refuse(self, html):
+        raise AssertionError(html[:60])
+
+    monkeypatch.setattr("vulnloom.operators.html_scan.Tokenizer.read", refuse)
+    assert read_advisory(FULL)["has_page"]

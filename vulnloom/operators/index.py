@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import id_sequence, id_year
-from vulnloom.operators.parse import might_hold, page_links
+from vulnloom.operators.parse import might_hold, page_links, parse_links
 from vulnloom.operators.running import running_total
 from vulnloom.schema import (
     FIRST_YEAR,
@@ -55,20 +55,22 @@ def directories(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
 def range_ids(listing: DataFrame) -> DataFrame:
     """Ids the range pages link to: year, directory, link_pos, cve_id.
 
-    One row per id and directory, at its first link there.
+    Repeats within a page are dropped in the page's own row; ``link_pos`` is
+    the place among the ids that remain.
     """
     ranges = listing.filter("directory IS NOT NULL").select(
         "year", "directory", F.when(might_hold(F.col("html"), "CVE-"), F.col("html")).alias("html")
     )
     pattern = F.concat(F.lit("CVE-"), F.col("year").cast("string"), F.lit(ID_FILE))
-    name = F.call_function("regexp_extract", F.col("href"), pattern, F.lit(0))
-    return (
-        page_links(ranges)
-        .withColumn("file", name)
-        .filter("file <> ''")
-        .withColumn("cve_id", F.expr(f"left(file, length(file) - {len(FILE_SUFFIX)})"))
-        .groupBy("year", "directory", "cve_id")
-        .agg(F.min("link_pos").alias("link_pos"))
+    names = F.transform(
+        "page.anchors", lambda href: F.call_function("regexp_extract", href, pattern, F.lit(0))
+    )
+    ids = F.transform(
+        F.array_distinct(F.filter(names, lambda name: name != "")),
+        lambda name: F.left(name, F.length(name) - len(FILE_SUFFIX)),
+    )
+    return parse_links(ranges).select(
+        "year", "directory", F.posexplode(ids).alias("link_pos", "cve_id")
     )
 
 
@@ -97,18 +99,14 @@ def first_n(ids: DataFrame, n: int) -> DataFrame:
 def first_by_totals(ids: DataFrame, n: int) -> DataFrame:
     """The same for an ``n`` too large to sort in one task.
 
-    The totals per directory tell where the cut lies, and ids are numbered only
-    within their own listing page. ``ids`` is read twice: give it a table.
+    ``ids`` is read several times: give it a table.
     """
-    by_dir = ids.groupBy("year", "page_no", "dir_pos").agg(F.count("*").alias("_in_dir"))
-    start = running_total(
-        by_dir.withColumn("_all", F.lit(0)),
-        ["_all"], ["year", "page_no"], ["dir_pos"], F.col("_in_dir"), "_upto",
-    ).select("year", "page_no", "dir_pos", (F.col("_upto") - F.col("_in_dir")).alias("_start"))
-    placed = ids.join(start.filter(F.col("_start") < n), ["year", "page_no", "dir_pos"])
-    by_link = Window.partitionBy("year", "page_no", "dir_pos").orderBy("link_pos")
-    numbered = placed.withColumn("_nth", F.row_number().over(by_link))
-    return numbered.filter(F.col("_start") + F.col("_nth") <= n).select(*ids.columns)
+    blocked = ids.withColumn("_block", F.floor(F.col("link_pos") / RANK_BLOCK))
+    placed = running_total(
+        blocked, [], [["year"], ["page_no"], ["dir_pos"], ["_block"]], ["link_pos", "cve_id"],
+        F.lit(1), "_nth",
+    )
+    return placed.filter(F.col("_nth") <= n).select(*ids.columns)
 
 
 def visited(
@@ -131,11 +129,10 @@ def visited(
         return opened
     return (
         running_total(
-            opened.withColumn("_all", F.lit(0)),
-            ["_all"], ["year", "page_no"], ["dir_pos"], F.col("new_ids"), "_upto",
+            opened, [], [["year"], ["page_no"]], ["dir_pos"], F.col("new_ids"), "_upto"
         )
         .filter(F.col("_upto") - F.col("new_ids") < target)
-        .drop("_all", "_upto")
+        .drop("_upto")
     )
 
 
@@ -145,7 +142,7 @@ def running_counts(
     """Per directory opened, the ids found in its year so far."""
     opened = visited(listing, ids, target, prefix)
     return running_total(
-        opened, ["year"], ["page_no"], ["dir_pos"], F.col("new_ids"), "collected"
+        opened, ["year"], [["page_no"]], ["dir_pos"], F.col("new_ids"), "collected"
     ).select("year", "directory", "page_no", "dir_pos", "new_ids", "collected")
 
 
@@ -157,9 +154,8 @@ def year_counts(listing: DataFrame, ids: DataFrame, target: int | None = None) -
     years = listing.filter("directory IS NULL").select("year").distinct()
     found = ids.groupBy("year").agg(F.count("*").alias("new_ids"))
     counted = years.join(found, "year", "left").fillna(0, ["new_ids"])
-    totals = running_total(
-        counted.withColumn("_all", F.lit(0)), ["_all"], ["year"], ["year"], F.col("new_ids"), "total"
-    ).drop("_all")
+    # One row per year, of which there are few.
+    totals = running_total(counted, [], [], ["year"], F.col("new_ids"), "total")
     return totals if target is None else totals.filter(F.col("total") - F.col("new_ids") < target)
 
 
@@ -181,13 +177,12 @@ def ranked(ids: DataFrame) -> DataFrame:
     number = F.coalesce(id_sequence(F.col("cve_id")), F.lit(-1))
     keyed = ids.select("cve_id").distinct().select(
         "cve_id",
-        F.lit(0).alias("_all"),
         F.coalesce(id_year(F.col("cve_id")), F.lit(-1)).alias("_year"),
         F.floor(number / RANK_BLOCK).alias("_block"),
         number.alias("_seq"),
     )
     return running_total(
-        keyed, ["_all"], ["_year", "_block"], ["_seq", "cve_id"], F.lit(1), "position"
+        keyed, [], [["_year"], ["_block"]], ["_seq", "cve_id"], F.lit(1), "position"
     ).select("cve_id", "position")
 
 

@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import strip
+from vulnloom.operators.index import RANK_BLOCK, SORTED_LIMIT
+from vulnloom.operators.running import running_total
 from vulnloom.schema import RAW_COLUMNS
 
 # A set of ids is broadcast only when it is measured to be below this.
@@ -47,32 +49,42 @@ def wanted_pages(pages: DataFrame, pending: DataFrame, done: DataFrame) -> DataF
 def first_success(rows: DataFrame, order: Column) -> DataFrame:
     """One accepted row per id, the first by ``order``.
 
-    Copies of a page are reduced before the shuffle, so an id with very many
-    copies costs no more than any other.
+    When no id is there twice, no row is moved. Otherwise copies of a page are
+    reduced before the shuffle, so an id with very many copies costs no more
+    than any other.
     """
-    columns = rows.columns
-    tie = F.xxhash64(*[c for c in RAW_COLUMNS if c in columns])
+    good = rows.filter("reject_reason IS NULL")
+    n_rows, n_ids = good.agg(F.count("*"), F.count_distinct("cve_id")).first()
+    if n_rows == n_ids:
+        return good
+    tie = F.xxhash64(*[c for c in RAW_COLUMNS if c in rows.columns])
     return (
-        rows.filter("reject_reason IS NULL")
-        .groupBy("cve_id")
-        .agg(F.min_by(F.struct(*columns), F.struct(order, tie)).alias("row"))
+        good.groupBy("cve_id")
+        .agg(F.min_by(F.struct(*rows.columns), F.struct(order, tie)).alias("row"))
         .select("row.*")
     )
 
 
+def first_in_order(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of lowest ``ord``: a bounded sort, or totals per block."""
+    if n <= SORTED_LIMIT:
+        return rows.orderBy("ord").limit(n)
+    wide = RANK_BLOCK * RANK_BLOCK
+    blocked = rows.withColumns(
+        {"_wide": F.floor(F.col("ord") / wide), "_block": F.floor(F.col("ord") / RANK_BLOCK)}
+    )
+    placed = running_total(blocked, [], [["_wide"], ["_block"]], ["ord"], F.lit(1), "_nth")
+    return placed.filter(F.col("_nth") <= n).select(*rows.columns)
+
+
 def until_target(existing: DataFrame, new: DataFrame, target: int | None = None) -> DataFrame:
     """Existing rows, then new rows in ``ord`` order until the target is met.
 
     Every existing row counts, repeats included, and none is ever removed.
     """
-    return existing.unionByName(within_target(existing, new, target).select(*existing.columns))
-
-
-def within_target(existing: DataFrame, new: DataFrame, target: int | None = None) -> DataFrame:
-    """The new rows the target leaves room for."""
-    if target is None:
-        return new
-    return new.orderBy("ord").limit(max(0, target - existing.count()))
+    if target is not None:
+        new = first_in_order(new, max(0, target - existing.count()))
+    return existing.unionByName(new.select(*existing.columns))
 
 
 def run_counters(

@@ -1,8 +1,10 @@
 """Running totals and positions that need no single-task window.
 
-Rows are taken in blocks. Each block is totalled first; only the block totals
-are put in order together, and each block is numbered on its own. A block must
-be bounded (a thousand-range of ids, one page, one file split).
+Rows are taken in blocks, and blocks in larger blocks. Each block is totalled,
+the totals are put in order only among the blocks of the same larger block, and
+rows are numbered only within their own smallest block. What one task orders is
+then the children of one block: the years of a lake, the directories on a page,
+the ids of a number range, the lines of a file split.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,25 +12,36 @@ from pyspark.sql import functions as F
 
 
 def running_total(
-    df: DataFrame, keys: list[str], block: list[str], order: list[str], value: Column, name: str
+    df: DataFrame,
+    keys: list[str],
+    blocks: list[list[str]],
+    order: list[str],
+    value: Column,
+    name: str,
 ) -> DataFrame:
     """Add ``name``: the total of ``value`` up to and including the row.
 
-    Totals run within ``keys``, over blocks in the order of ``block``, over the
-    rows of a block in the order of ``order``.
+    Totals run within ``keys``: over blocks in the order of the columns in
+    ``blocks``, largest first, and over the rows of a block in that of
+    ``order``.
     """
-    upto = Window.unboundedPreceding
-    totals = df.groupBy(*keys, *block).agg(F.sum(value).alias("_block_total"))
-    earlier = F.sum("_block_total").over(
-        Window.partitionBy(*keys).orderBy(*block).rowsBetween(upto, -1)
-    )
-    before = totals.select(*keys, *block, F.coalesce(earlier, F.lit(0)).alias("_before"))
-    within = F.sum(value).over(
-        Window.partitionBy(*keys, *block).orderBy(*order).rowsBetween(upto, 0)
+    if not keys:
+        whole = df.withColumn("_whole", F.lit(0))
+        return running_total(whole, ["_whole"], blocks, order, value, name).drop("_whole")
+    if not blocks:
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(value).over(upto))
+    block, *smaller = blocks
+    earlier = Window.partitionBy(*keys).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        df.groupBy(*keys, *block)
+        .agg(F.sum(value).alias("_total"))
+        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+        .drop("_total")
     )
     return (
-        df.withColumn("_within", within)
+        running_total(df, [*keys, *block], smaller, order, value, name)
         .join(before, [*keys, *block])
-        .withColumn(name, F.col("_before") + F.col("_within"))
-        .drop("_before", "_within")
+        .withColumn(name, F.col("_before") + F.col(name))
+        .drop("_before")
     )

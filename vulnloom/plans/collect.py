@@ -34,14 +34,13 @@ def read_wanted(pages: DataFrame, pending: DataFrame, done: DataFrame, lake: str
     return written(rows, f"{lake}/_staging/rows")
 
 
-def add_rows(rows: DataFrame, order: Column, run: int, lake: str, target: int | None) -> DataFrame:
-    """Append the first accepted row of each id and return what was appended."""
-    spark = rows.sparkSession
-    new = merge.first_success(rows, order).withColumn("run", F.lit(run).cast("bigint"))
-    fits = merge.within_target(read_advisories(spark, lake), new, target)
-    added = written(fits.select(*RAW_COLUMNS, "run", "ord"), f"{lake}/_staging/added")
-    append_by_year(added, advisories_path(lake))
-    return added
+def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | None = None) -> None:
+    """Append the first accepted row of each id, as many as there is room for."""
+    new = merge.first_success(rows, order)
+    if room is not None:
+        new = merge.first_in_order(new, room)
+    new = new.withColumn("run", F.lit(run).cast("bigint"))
+    append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(lake))
 
 
 def write_rejects(rejected: DataFrame, run: int, lake: str) -> None:
@@ -65,17 +64,20 @@ def collect(
     )
     done = written(merge.done_ids(existing), f"{lake}/_staging/done")
     pending = written(merge.pending_ids(ids, done), f"{lake}/_staging/pending")
-    if target is not None and existing.count() >= target:
+    room = None if target is None else max(0, target - existing.count())
+    if room == 0:
         pending = pending.limit(0)
     read = read_wanted(pages, pending, done, lake)
     rows = read.join(pending, "cve_id")
-    added = add_rows(rows, F.col("ord"), run, lake, target)
+    add_rows(rows, F.col("ord"), run, lake, room)
     no_page = pending.join(read.select("cve_id"), "cve_id", "left_anti").select(
         "cve_id",
         F.lit("not_fetched").alias("reject_reason"),
         F.lit(None).cast("string").alias("reject_detail"),
     )
     write_rejects(rejects(rows).unionByName(no_page), run, lake)
+    # The ids this run added: those it tried and the dataset now holds.
+    added = read_advisories(spark, lake).select("cve_id").join(pending, "cve_id", "left_semi")
     counters = merge.run_counters(ids, existing, pending, added, target)
     return written(counters, f"{lake}/runs/run={run}")
 

@@ -159,10 +159,13 @@ ORACLES = {
     "link_extract": """
         SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS link_pos, unnest(l) AS href
         FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages) p""",
+    # Titles may be cut within an entity, which then lacks its semicolon.
     "page_title": r"""
-        SELECT page_id, trim(regexp_replace(replace(replace(replace(
-                 regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
-               '\s+', ' ', 'g')) AS title FROM pages""",
+        SELECT page_id, trim(regexp_replace(
+                 regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                   regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'),
+                   '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'),
+                 '\s+', ' ', 'g')) AS title FROM pages""",
     "text_normalise": f"SELECT doc_id, md5({_normal('text')}) AS text_md5 FROM documents",
     "details_text": f"""
         SELECT doc_id, length({_normal('text')}) AS n_chars, md5({_normal('text')}) AS details_md5

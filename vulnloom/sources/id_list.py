@@ -30,9 +30,8 @@ def _positions(lines: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_start"),
         # Rises along the lines of one split, which is all it is used for.
         F.monotonically_increasing_id().alias("_line"),
-        F.lit(0).alias("_all"),
     ).filter("cve_id <> ''")
-    numbered = running_total(at, ["_all"], ["_file", "_start"], ["_line"], F.lit(1), "ord")
+    numbered = running_total(at, [], [["_file"], ["_start"]], ["_line"], F.lit(1), "ord")
     return numbered.select("ord", "cve_id")
 
 

@@ -53,7 +53,7 @@ def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     pending = written(fresh, f"{lake}/_staging/pending")
     rows = collect.read_wanted(arrived, pending, done, lake).join(pending, "cve_id")
     rows = rows.withColumn("ord", F.unix_micros("arrived"))
-    collect.add_rows(rows, F.struct(*ARRIVAL), batch_id, lake, target=None)
+    collect.add_rows(rows, F.struct(*ARRIVAL), batch_id, lake)
     collect.write_rejects(rejects(rows), batch_id, lake)
 
 
