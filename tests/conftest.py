@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "vulnloom-tests", master="local[4]", **{
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "4",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

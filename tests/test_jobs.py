@@ -1,0 +1,52 @@
+"""The command-line jobs, end to end."""
+
+from pathlib import Path
+
+import pytest
+from golden import FULL
+
+from vulnloom.__main__ import main
+from vulnloom.schema import LISTING_PAGES, LISTING_PREFIX, RAW_COLUMNS
+from vulnloom.sources.dataset import append_by_year, read_csv_dataset
+
+
+def test_from_listing_to_report(spark, tmp_path, capsys):
+    at = {n: str(tmp_path / n) for n in ("listing", "ids", "pages", "lake", "csv", "report", "checkpoint")}
+    ids = [f"CVE-2024-{n}" for n in range(1000, 1030)]
+    spark.createDataFrame([
+        (2024, None, None, 200, f'<a href="{LISTING_PREFIX}2024/1xxx">1xxx</a>'),
+        (2024, "1xxx", None, 200, "".join(f'<a href="/{i}.json">{i}</a>' for i in reversed(ids))),
+    ], LISTING_PAGES).write.parquet(at["listing"])
+    main(["index", "--listing", at["listing"], "--ids", at["ids"], "--target", "20"])
+    wrote = "".join(p.read_text() for p in sorted(Path(at["ids"]).glob("part-*")))
+    assert wrote.split() == ids[10:]  # the first twenty links, in id order
+
+    pages = spark.createDataFrame([(i, 200, FULL) for i in ids], "cve_id string, status int, html string")
+    append_by_year(pages, at["pages"])
+    collect = ["collect", "--ids", at["ids"], "--pages", at["pages"], "--lake", at["lake"]]
+    main([*collect, "--run", "1", "--target", "15"])
+    main([*collect, "--run", "2"])
+    main(["stream", "--pages", at["pages"], "--lake", at["lake"], "--checkpoint", at["checkpoint"]])
+    main(["export", "--lake", at["lake"], "--csv", at["csv"]])
+    rows = read_csv_dataset(spark, at["csv"])
+    assert rows.columns == RAW_COLUMNS
+    assert sorted(r.cve_id for r in rows.collect()) == ids
+    main(["report", "--lake", at["lake"], "--out", at["report"]])
+    assert len(list(Path(at["report"]).iterdir())) == 11
+    top = spark.read.parquet(at["report"] + "/weaknesses").collect()
+    assert sorted(map(tuple, top)) == [("CWE-79", 30), ("CWE-89", 30)]
+    assert "discovered" in capsys.readouterr().out
+
+
+def test_html_files(spark, tmp_path):
+    pages, ids, lake = tmp_path / "pages", tmp_path / "ids.txt", str(tmp_path / "lake")
+    pages.mkdir()
+    (pages / "CVE-2024-0001.html").write_text(FULL)
+    ids.write_text("CVE-2024-0001\nCVE-2024-0002\n")
+    main(["collect", "--ids", str(ids), "--pages", str(pages), "--lake", lake, "--run", "1", "--files"])
+    assert spark.read.parquet(lake + "/advisories").count() == 1
+
+
+def test_a_job_is_required():
+    with pytest.raises(SystemExit):
+        main([])

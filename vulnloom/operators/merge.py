@@ -3,13 +3,15 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vulnloom.functions.text import strip
+from vulnloom.functions.text import id_year, strip
 from vulnloom.operators.index import RANK_BLOCK, SORTED_LIMIT
 from vulnloom.operators.running import running_total
 from vulnloom.schema import RAW_COLUMNS
 
 # A set of ids is broadcast only when it is measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# More years than this are not used to prune partitions.
+MAX_YEARS = 500
 
 
 def done_ids(existing: DataFrame) -> DataFrame:
@@ -25,6 +27,24 @@ def pending_ids(ids: DataFrame, done: DataFrame) -> DataFrame:
     return wanted.join(done, "cve_id", "left_anti")
 
 
+def with_year(ids: DataFrame) -> DataFrame:
+    """Add ``cve_year``, by which lake tables are partitioned; 0 is no known year."""
+    return ids.withColumn("cve_year", F.coalesce(id_year(F.col("cve_id")), F.lit(0)))
+
+
+def in_years_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Leave out the partitions of a table by year that hold none of the ids.
+
+    The years are asked for first, so that they prune the scan itself; ids that
+    name more years than any calendar prune nothing.
+    """
+    if "cve_year" not in rows.columns:
+        return rows
+    years = with_year(ids.select("cve_id")).select("cve_year").distinct()
+    found = [r.cve_year for r in years.limit(MAX_YEARS + 1).collect()]
+    return rows if len(found) > MAX_YEARS else rows.filter(F.col("cve_year").isin(found))
+
+
 def id_bytes(ids: DataFrame) -> int:
     """Measured size of an id set: text plus the per-row cost of a hash table."""
     size = ids.agg(F.sum(F.octet_length("cve_id") + 64)).first()[0]
@@ -39,6 +59,7 @@ def wanted_pages(pages: DataFrame, pending: DataFrame, done: DataFrame) -> DataF
     small the semi join shuffles pages, which costs less than parsing pages
     that are then thrown away; a hot id is split by adaptive execution.
     """
+    pages = in_years_of(pages, pending)
     if id_bytes(pending) <= BROADCAST_BYTES:
         return pages.join(F.broadcast(pending.select("cve_id")), "cve_id", "left_semi")
     if id_bytes(done) <= BROADCAST_BYTES:

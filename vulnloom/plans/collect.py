@@ -29,7 +29,7 @@ def read_wanted(pages: DataFrame, pending: DataFrame, done: DataFrame, lake: str
     ``pending`` and ``done`` are written tables. Every column of ``pages``
     beyond the page itself is kept.
     """
-    keep = [c for c in pages.columns if c not in ("cve_id", "status", "html")]
+    keep = [c for c in pages.columns if c not in ("cve_id", "status", "html", "cve_year")]
     rows = extract(merge.wanted_pages(pages, pending, done), keep)
     return written(rows, f"{lake}/_staging/rows")
 

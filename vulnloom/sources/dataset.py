@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vulnloom.functions.text import id_year, strip
+from vulnloom.functions.text import strip
+from vulnloom.operators.merge import with_year
 from vulnloom.schema import RAW, RAW_COLUMNS
 from vulnloom.session import read_if_present
 
@@ -52,12 +53,12 @@ def read_table(spark: SparkSession, path: str, columns: T.StructType) -> DataFra
 
 
 def append_by_year(rows: DataFrame, path: str) -> None:
-    """Append rows to a lake table partitioned by the year of the id.
+    """Append rows, dataset or pages, to a lake table partitioned by year of id.
 
     The rebalance keeps files large and splits a year that holds most rows.
     """
     (
-        rows.withColumn("cve_year", F.coalesce(id_year(F.col("cve_id")), F.lit(0)))
+        with_year(rows)
         .hint("rebalance", F.col("cve_year"))
         .write.mode("append")
         .partitionBy("cve_year")

@@ -17,7 +17,11 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table of advisory pages."""
+    """A Parquet table of advisory pages.
+
+    One that was written by ``append_by_year`` has ``cve_year`` as well, and a
+    run reads only the years it has ids for.
+    """
     return spark.read.schema(PAGES).parquet(path)
 
 

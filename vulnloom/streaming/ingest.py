@@ -4,9 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vulnloom.functions.text import id_year
 from vulnloom.operators.extract import rejects
-from vulnloom.operators.merge import done_ids
+from vulnloom.operators.merge import done_ids, in_years_of
 from vulnloom.plans import collect
 from vulnloom.schema import PAGES
 from vulnloom.session import written
@@ -46,8 +45,7 @@ def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     spark = batch.sparkSession
     arrived = batch.filter(F.col("cve_id").isNotNull())
     # Only the years of this batch are read from the table.
-    years = arrived.select(F.coalesce(id_year(F.col("cve_id")), F.lit(0)).alias("cve_year"))
-    known = collect.read_advisories(spark, lake).join(years.distinct(), "cve_year", "left_semi")
+    known = in_years_of(collect.read_advisories(spark, lake), arrived)
     done = written(done_ids(known), f"{lake}/_staging/done")
     fresh = arrived.select("cve_id").distinct().join(done, "cve_id", "left_anti")
     pending = written(fresh, f"{lake}/_staging/pending")
