@@ -12,7 +12,7 @@ times slower, reads the rest; both give the same record.
 """
 
 import re
-from collections import Counter
+from collections import defaultdict
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
@@ -93,9 +93,9 @@ class PageRecord:
         # Per element; the page itself is element 0.
         self.tags, self.attrs, self.parents, self.ends = [""], [{}], [-1], [0]
         self.text_from, self.text_to = [0], [0]
-        self.texts = []  # (owner kind, text)
+        self.texts = []  # (owner kind, text trimmed); blank ones are left out
         self._open, self._own, self._run = [0], [], []
-        self._open_tags, self._closed_voids = Counter(), Counter()
+        self._open_tags, self._closed_voids = defaultdict(int), defaultdict(int)
         rest = self._read_regular(html)
         if rest < len(html):
             Tokenizer(self).read(html[rest:])
@@ -147,9 +147,10 @@ class PageRecord:
 
     def _end_run(self, kind=None):
         if self._run:
-            if kind is None:
-                kind = self._own[-1] if self._own else ""
-            self.texts.append((kind, "".join(self._run)))
+            if text := "".join(self._run).strip():
+                if kind is None:
+                    kind = self._own[-1] if self._own else ""
+                self.texts.append((kind, text))
             self._run = []
 
     def _pop(self):
@@ -232,9 +233,12 @@ class PageRecord:
         for i in range(element + 1, self.ends[element]):
             if tag is not None and self.tags[i] != tag:
                 continue
-            if cls is not None and cls not in self.attrs[i].get("class", "").split():
-                continue
-            yield i
+            if cls is None or self.has_class(i, cls):
+                yield i
+
+    def has_class(self, element, cls):
+        value = self.attrs[element].get("class", "")
+        return cls in value and cls in value.split()
 
     def first(self, element, tag=None, cls=None):
         return next(self.inside(element, tag, cls), None)
@@ -253,7 +257,7 @@ class PageRecord:
 
     def solid_text(self, element):
         """Text with each run trimmed and nothing put between runs."""
-        return "".join(run.strip() for run in self.runs(element))
+        return "".join(self.runs(element))
 
     def next_sibling(self, element, tag):
         parent_end, i = self.ends[self.parents[element]], self.ends[element]
@@ -266,7 +270,7 @@ class PageRecord:
     def enclosing(self, element, cls):
         i = self.parents[element]
         while i > 0:
-            if cls in self.attrs[i].get("class", "").split():
+            if self.has_class(i, cls):
                 return i
             i = self.parents[i]
         return None

@@ -70,9 +70,11 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give the HTML pass one partition per core when the input has few files.
+    """Give the HTML pass one partition per core when a scan has fewer.
 
-    A lake of many files is left as it is, so no page is moved.
+    Only for a plain scan of a few small files; a lake is left as it is, so no
+    page is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    few = len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if few else df
