@@ -112,6 +112,19 @@ def test_trend(view, records):
     assert got == expected
 
 
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Pacific/Kiritimati"])
+def test_months_do_not_depend_on_the_session(spark, zone):
+    texts = ["2024-01-31T23:59:59Z", "2024-02-01T00:00:00Z", "1969-12-31T23:00:00Z", "2024-02-01T01:00:00+02:00"]
+    records = [{"cve_id": f"CVE-2024-{n}", "published": t} for n, t in enumerate(texts)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = analytics.monthly_trend(typed(raw(spark, records))).orderBy("month").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [(f"{r.month}", r.n) for r in rows] == [("1969-12-01", 1), ("2024-01-01", 2), ("2024-02-01", 1)]
+
+
 def test_metrics(view):
     got = {(r.metric, r.value): r.n for r in analytics.metric_counts(view).collect()}
     assert got == {("AV", "N"): 450, ("AC", "L"): 450}

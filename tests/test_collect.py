@@ -171,3 +171,31 @@ def test_a_large_target_takes_the_same_rows(spark, monkeypatch, n):
     monkeypatch.setattr(merge, "SORTED_LIMIT", -1)
     got = sorted(r.ord for r in merge.first_in_order(rows, n).collect())
     assert got == [i * 7 + 1 for i in range(min(n, 30_000))]
+
+
+def test_a_run_that_died_is_run_again(spark, path, monkeypatch):
+    """The rows are in, the rejects are not: the same run completes it."""
+    from vulnloom.plans import collect as plan
+
+    ids = ids_of(spark, "CVE-2024-1", "CVE-2024-2", "CVE-2024-3")
+    pages = pages_of(spark, CVE_2024_1=True, CVE_2024_2="<p>")
+
+    def die(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(plan, "write_rejects", die)
+        with pytest.raises(RuntimeError):
+            collect(ids, pages, path, run=1)
+    assert landed(spark, path) == [(1, 1, "CVE-2024-1")]
+    collect(ids, pages, path, run=1)
+    assert landed(spark, path) == [(1, 1, "CVE-2024-1")]
+    assert rejected(spark, path, 1) == {"CVE-2024-2": "page_not_found", "CVE-2024-3": "not_fetched"}
+
+
+def test_rows_written_in_part_are_not_written_twice(spark, path):
+    """What an append that died has left behind counts as collected."""
+    ids = ids_of(spark, "CVE-2024-1", "CVE-2023-2")
+    collect(ids_of(spark, "CVE-2023-2"), pages_of(spark, CVE_2023_2=True), path, run=1)
+    collect(ids, pages_of(spark, CVE_2023_2=True, CVE_2024_1=True), path, run=1)
+    assert sorted(i for _, _, i in landed(spark, path)) == ["CVE-2023-2", "CVE-2024-1"]

@@ -68,3 +68,23 @@ def test_stream_goes_on_from_a_batch_lake(spark, tmp_path):
     collect(ids, spark.createDataFrame([("CVE-2024-1", 200, page("batch"))], PAGES), lake, run=1)
     drop(spark, landing, ("CVE-2024-1", 200, page("stream")), ("CVE-2024-2", 200, page("new")))
     assert run(spark, landing, lake) == [("CVE-2024-1", "batch"), ("CVE-2024-2", "new")]
+
+
+def test_a_batch_that_died_is_landed_by_the_restart(spark, tmp_path, monkeypatch):
+    import pytest
+    from vulnloom.plans import collect as plan
+
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    drop(spark, landing, ("CVE-2024-1", 200, FULL), ("CVE-2024-2", 200, "<p>"))
+
+    def die(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(plan, "write_rejects", die)
+        with pytest.raises(Exception, match="executor lost"):
+            run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-3", 200, page("x")))
+    assert run(spark, landing, lake) == [("CVE-2024-1", "demo"), ("CVE-2024-3", "x")]
+    refused = spark.read.parquet(rejects_path(lake)).collect()
+    assert [(r.cve_id, r.reject_reason) for r in refused] == [("CVE-2024-2", "page_not_found")]

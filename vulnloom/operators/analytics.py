@@ -116,13 +116,14 @@ def top_packages(advisories: DataFrame, k: int = 3) -> DataFrame:
 
 
 def monthly_trend(advisories: DataFrame) -> DataFrame:
-    """Publications per month and their running total.
+    """Publications per month, in UTC whatever the session's zone, and their total so far.
 
     The window is over months, of which the calendar has few.
     """
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("published") / 86400).cast("int"))
     months = (
         advisories.filter("published IS NOT NULL")
-        .groupBy(F.date_trunc("month", "published").alias("month"))
+        .groupBy(F.trunc(day, "month").alias("month"))
         .agg(F.count("*").alias("n"))
     )
     upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
