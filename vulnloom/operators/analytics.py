@@ -6,7 +6,7 @@ large (scores, packages, column values) is counted per value first, so no group
 is ever gathered whole.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnloom.operators.typed import vector_metrics
@@ -20,20 +20,25 @@ def profile(raw: DataFrame, columns: list[str] = RAW_COLUMNS, approximate: bool
     """Rows, filled cells and distinct values of each column.
 
     The exact count shuffles one short value per cell at most; the approximate
-    one shuffles only a sketch per column.
+    one is a single pass that shuffles a sketch per column.
     """
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), _short(F.nullif(F.col(c), F.lit(""))).alias("value"))
-        for c in columns
-    ])
-    long = raw.select(F.inline(cells))
     if approximate:
-        return long.groupBy("column").agg(
-            F.count("*").alias("rows"),
-            F.count("value").alias("filled"),
-            F.approx_count_distinct("value").alias("distinct_values"),
-        )
-    per_value = long.groupBy("column", "value").agg(F.count("*").alias("n"))
+        per_column = F.array(*[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count("*").alias("rows"),
+                F.count(_filled(c)).alias("filled"),
+                F.approx_count_distinct(_filled(c)).alias("distinct_values"),
+            )
+            for c in columns
+        ])
+        return raw.agg(per_column.alias("columns")).select(F.inline("columns"))
+    cells = raw.select(*[_short(_filled(c)).alias(c) for c in columns])
+    per_value = (
+        cells.unpivot([], columns, "column", "value")
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
+    )
     return per_value.groupBy("column").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
@@ -41,7 +46,11 @@ def profile(raw: DataFrame, columns: list[str] = RAW_COLUMNS, approximate: bool
     )
 
 
-def _short(value):
+def _filled(column: str) -> Column:
+    return F.nullif(F.col(column), F.lit(""))
+
+
+def _short(value: Column) -> Column:
     return F.when(F.length(value) <= PLAIN_VALUE, value).otherwise(F.sha2(value, 256))
 
 

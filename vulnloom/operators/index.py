@@ -167,19 +167,26 @@ def index_totals(ids: DataFrame, target: int) -> DataFrame:
     )
 
 
+def with_id_parts(ids: DataFrame) -> DataFrame:
+    """Add ``_year`` and ``_seq``, the id's numbers; -1 where it has none.
+
+    As columns they are worked out once per row, not at each comparison of a sort.
+    """
+    return ids.withColumns({
+        "_year": F.coalesce(id_year(F.col("cve_id")), F.lit(-1)),
+        "_seq": F.coalesce(id_sequence(F.col("cve_id")), F.lit(-1)),
+    })
+
+
 def in_id_order(ids: DataFrame) -> DataFrame:
     """Sorted by year and sequence as numbers: 9999 comes before 10000."""
-    return ids.orderBy(id_year(F.col("cve_id")), id_sequence(F.col("cve_id")))
+    return with_id_parts(ids).orderBy("_year", "_seq").select(*ids.columns)
 
 
 def ranked(ids: DataFrame) -> DataFrame:
     """Distinct ids with their 1-based place in id order, as ``position``."""
-    number = F.coalesce(id_sequence(F.col("cve_id")), F.lit(-1))
-    keyed = ids.select("cve_id").distinct().select(
-        "cve_id",
-        F.coalesce(id_year(F.col("cve_id")), F.lit(-1)).alias("_year"),
-        F.floor(number / RANK_BLOCK).alias("_block"),
-        number.alias("_seq"),
+    keyed = with_id_parts(ids.select("cve_id").distinct()).withColumn(
+        "_block", F.floor(F.col("_seq") / RANK_BLOCK)
     )
     return running_total(
         keyed, [], [["_year"], ["_block"]], ["_seq", "cve_id"], F.lit(1), "position"
@@ -188,9 +195,9 @@ def ranked(ids: DataFrame) -> DataFrame:
 
 def preview(ids: DataFrame, first: int = PREVIEW_FIRST, last: int = PREVIEW_LAST) -> DataFrame:
     """The first and last ids in id order, marked by ``part``."""
-    year, seq = id_year(F.col("cve_id")), id_sequence(F.col("cve_id"))
-    head = ids.orderBy(year, seq).limit(first).select(F.lit("first").alias("part"), "cve_id")
-    tail = (
-        ids.orderBy(year.desc(), seq.desc()).limit(last).select(F.lit("last").alias("part"), "cve_id")
+    keyed = with_id_parts(ids.select("cve_id"))
+    head = keyed.orderBy("_year", "_seq").limit(first)
+    tail = keyed.orderBy(F.desc("_year"), F.desc("_seq")).limit(last)
+    return head.select(F.lit("first").alias("part"), "cve_id").unionByName(
+        tail.select(F.lit("last").alias("part"), "cve_id")
     )
-    return head.unionByName(tail)
