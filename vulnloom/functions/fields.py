@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vulnloom.functions.labels import first_of, link_of, value_of
+from vulnloom.functions.labels import first_of, link_of, value_of, with_link, with_value
 from vulnloom.functions.text import SPACE
 from vulnloom.schema import LIST_SEPARATOR
 
@@ -83,38 +83,49 @@ def joined(items: Column) -> Column:
     return F.array_join(items, LIST_SEPARATOR)
 
 
-def advisory_columns(
-    cve_id: Column, page: Column, details: Column, ranges: Column, cvss: Column, cells: Column
-) -> list[Column]:
+def lookups(page: Column) -> dict[str, Column]:
+    """What several columns read of a page, to be worked out in a step of its own."""
+    return {
+        "_valued": with_value(page["details"]),
+        "_linked": with_link(page["details"]),
+        "_ranged": with_value(page["range"]),
+        "_cvss": severity_text(page["details"]),
+        "_cells": event_cells(page["range"]),
+    }
+
+
+def advisory_columns(cve_id: Column, page: Column) -> list[Column]:
     """The dataset row of an accepted page, in dataset order.
 
-    ``details`` and ``ranges`` are the page's lists with lower-cased labels,
-    ``cvss`` its ``severity_text`` and ``cells`` its ``event_cells``. The id is
-    the requested one, not the one printed on the page.
+    The ``lookups`` of the page must be columns beside it. The id is the
+    requested one, not the one printed on the page.
     """
+    valued, linked, ranged, cvss, cells = (
+        F.col(c) for c in ("_valued", "_linked", "_ranged", "_cvss", "_cells")
+    )
     blocks, empty = page["specific"], F.lit("")
     values = {
         "cve_id": cve_id,
-        "source": link_of(details, "Source"),
-        "import_source": link_of(details, "Import Source"),
-        "json_data": link_of(details, "JSON Data"),
-        "aliases": value_of(details, "Aliases"),
-        "published": value_of(details, "Published"),
-        "modified": value_of(details, "Modified"),
-        "severity": value_of(details, "Severity"),
+        "source": link_of(linked, "Source"),
+        "import_source": link_of(linked, "Import Source"),
+        "json_data": link_of(linked, "JSON Data"),
+        "aliases": value_of(valued, "Aliases"),
+        "published": value_of(valued, "Published"),
+        "modified": value_of(valued, "Modified"),
+        "severity": value_of(valued, "Severity"),
         "cvss_score": cvss_score(cvss),
         "cvss_version": cvss_version(cvss),
         "cvss_vector": cvss_vector(cvss),
-        "summary": value_of(details, "Summary"),
-        "details": value_of(details, "Details"),
+        "summary": value_of(valued, "Summary"),
+        "details": value_of(valued, "Details"),
         "ecosystem": F.coalesce(page["ecosystem"], empty),
         "package": F.coalesce(page["package"], empty),
-        "range_type": value_of(ranges, "Type"),
-        "repo": value_of(ranges, "Repo"),
+        "range_type": value_of(ranged, "Type"),
+        "repo": value_of(ranged, "Repo"),
         "introduced": last_event(cells, "introduced"),
         "fixed": last_event(cells, "fixed"),
         "cwe_ids": joined(weaknesses(blocks)),
         "cna_assigner": assigner(blocks),
-        "references": joined(reference_links(details)),
+        "references": joined(reference_links(page["details"])),
     }
     return [value.alias(name) for name, value in values.items()]

@@ -3,34 +3,39 @@
 Three rules, and they differ on purpose:
 
 * ``value_of`` and ``link_of`` pass over a matching label that lacks what they
-  need and go on to the next one;
-* ``first_of`` lets the first matching label decide, whatever it holds.
+  need and go on to the next one: they look in ``with_value`` or ``with_link``;
+* ``first_of`` looks in the whole list, and the first matching label decides,
+  whatever it holds.
 
-Labels are compared without case. The lists come in with lower-cased labels
-(``lowered``), so each lookup is a plain equality.
+Labels come lower-cased from the parse. A lookup is a position in the list's
+label array, so it stays in generated code.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def lowered(entries: Column) -> Column:
-    """The same list with lower-cased labels."""
-    return F.transform(entries, lambda d: d.withField("label", F.lower(d["label"])))
+def with_value(entries: Column) -> Column:
+    return F.filter(entries, lambda d: d["has_dd"])
 
 
-def value_of(entries: Column, label: str) -> Column:
-    hits = F.filter(entries, lambda d: (d["label"] == label.lower()) & d["has_dd"])
-    return F.coalesce(F.get(hits, F.lit(0))["value"], F.lit(""))
+def with_link(entries: Column) -> Column:
+    return F.filter(entries, lambda d: d["has_dd"] & (F.size(d["anchors"]) > 0))
 
 
-def link_of(entries: Column, label: str) -> Column:
-    hits = F.filter(
-        entries,
-        lambda d: (d["label"] == label.lower()) & d["has_dd"] & (F.size(d["anchors"]) > 0),
-    )
-    return F.coalesce(F.get(F.get(hits, F.lit(0))["anchors"], F.lit(0)), F.lit(""))
+def _place(entries: Column, label: str) -> Column:
+    """0-based, -1 when the label is not there."""
+    return (F.array_position(entries["label"], label.lower()) - 1).cast("int")
+
+
+def value_of(valued: Column, label: str) -> Column:
+    return F.coalesce(F.get(valued["value"], _place(valued, label)), F.lit(""))
+
+
+def link_of(linked: Column, label: str) -> Column:
+    anchors = F.get(linked["anchors"], _place(linked, label))
+    return F.coalesce(F.get(anchors, F.lit(0)), F.lit(""))
 
 
 def first_of(entries: Column, label: str) -> Column:
-    return F.get(F.filter(entries, lambda d: d["label"] == label.lower()), F.lit(0))
+    return F.get(entries, _place(entries, label))

@@ -3,8 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vulnloom.functions.fields import advisory_columns, event_cells, severity_text
-from vulnloom.functions.labels import lowered
+from vulnloom.functions.fields import advisory_columns, lookups
 from vulnloom.operators.crawl_log import response_class
 from vulnloom.operators.parse import parse_pages
 from vulnloom.schema import RAW_COLUMNS
@@ -31,23 +30,11 @@ def extract(pages: DataFrame, keep: list[str] = ()) -> DataFrame:
     the requested id is accepted and flagged by ``id_mismatch``. Columns named
     in ``keep`` are carried along.
     """
-    # Each of these is read by several fields, so it is computed in its own step.
-    ready = (
-        parse_pages(pages)
-        .withColumns({
-            "_details": lowered(F.col("page.details")),
-            "_range": lowered(F.col("page.range")),
-        })
-        .withColumns({
-            "_cvss": severity_text(F.col("_details")),
-            "_cells": event_cells(F.col("_range")),
-        })
-    )
     page, status = F.col("page"), F.col("status")
-    lists = [F.col(c) for c in ("_details", "_range", "_cvss", "_cells")]
+    ready = parse_pages(pages).withColumns(lookups(page))
     return ready.select(
         *keep,
-        *advisory_columns(F.col("cve_id"), page, *lists),
+        *advisory_columns(F.col("cve_id"), page),
         (~page["title"].eqNullSafe(F.col("cve_id"))).alias("id_mismatch"),
         _reject_reason(status, page).alias("reject_reason"),
         _reject_detail(status, page).alias("reject_detail"),

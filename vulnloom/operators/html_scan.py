@@ -318,7 +318,7 @@ def _labelled(page, block, extra, read):
         dd = page.next_sibling(dt, "dd")
         found = dd is not None
         entries.append({
-            "label": page.text(dt),
+            "label": page.text(dt).lower(),
             "has_dd": found,
             "value": page.text(dd) if found else None,
             extra: read(dd) if found else [],

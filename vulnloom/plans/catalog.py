@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vulnloom.functions.fields import event_cells, event_history, reference_links
-from vulnloom.functions.labels import lowered
 from vulnloom.functions.text import listing_address, normalise, page_address
 from vulnloom.operators import analytics, crawl_log, index, merge
 from vulnloom.operators.extract import accepted, extract, rejects
@@ -187,7 +186,7 @@ def _accepted_structs(spark, sf_dir):
 
 @query
 def event_history_(spark, sf_dir):
-    cells = event_cells(lowered(F.col("page.range")))
+    cells = event_cells(F.col("page.range"))
     return (
         _accepted_structs(spark, sf_dir)
         .select("cve_id", cells.alias("cells"))
@@ -203,7 +202,7 @@ def cwe_cna(spark, sf_dir):
 
 @query
 def reference_links_(spark, sf_dir):
-    links = reference_links(lowered(F.col("page.details")))
+    links = reference_links(F.col("page.details"))
     return (
         _accepted_structs(spark, sf_dir)
         .select("cve_id", F.posexplode(links).alias("link_pos", "href"))

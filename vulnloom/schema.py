@@ -44,7 +44,7 @@ FETCH_LOG = (
 )
 
 # What the HTML pass hands back for one advisory page. Both lists hold every
-# <dt> at any depth, in document order.
+# <dt> at any depth, in document order, labels in lower case.
 PARSED = """
     error string,
     has_page boolean,
