@@ -115,7 +115,7 @@ def test_rank_is_limited_before_the_shuffle(spark, lake_pages):
 
 
 def test_first_ids_are_a_bounded_sort(spark):
-    ids = spark.range(10).selectExpr(
+    ids = spark.range(100_000).selectExpr(
         "string(id) cve_id", "2024 year", "0 page_no", "0 dir_pos", "id link_pos", "'1xxx' directory"
     )
     assert "TakeOrderedAndProject" in plan_of(index.first_n(ids, 5000))
@@ -130,3 +130,10 @@ def test_copies_are_reduced_before_the_shuffle(spark):
 def test_unrepeated_ids_are_not_shuffled(spark):
     rows = spark.range(100).selectExpr("string(id) cve_id", "id ord", "cast(null as string) reject_reason")
     assert "Exchange" not in plan_of(merge.first_success(rows, F.col("ord")))
+
+
+def test_ids_are_sorted_by_ready_columns(spark):
+    """A sort on expressions would work them out at every comparison."""
+    ids = spark.range(100).selectExpr("concat('CVE-2024-', id) cve_id")
+    (sort,) = re.findall(r"Sort \[([^\]]*)\]", plan_of(index.in_id_order(ids)))
+    assert "split_part" not in sort and "_year" in sort and "_seq" in sort
