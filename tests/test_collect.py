@@ -86,8 +86,14 @@ def test_target_counts_repeated_rows(spark):
     assert sorted(r.cve_id for r in merge.until_target(existing, new, 4).collect()) == ["a", "a", "b", "c"]
     assert merge.until_target(existing, new, 2).count() == 3
     assert merge.until_target(existing, new).count() == 5
-    row = merge.run_counters(new, existing, new, new.limit(1), 4).first()
-    assert tuple(row) == (2, 3, 2, 1, 1, 4, 4)
+
+
+def test_counters(spark):
+    row = merge.run_counters(spark, 9, existing_rows=5, already_collected=4, attempted=3, successes=2, target=None)
+    assert row.first().asDict() == {
+        "ids_available": 9, "existing_rows": 5, "already_collected": 4, "successes": 2, "skipped": 1,
+        "final_rows": 7, "target": None,
+    }
 
 
 def test_done_ids_are_trimmed(spark):

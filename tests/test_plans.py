@@ -127,9 +127,16 @@ def test_copies_are_reduced_before_the_shuffle(spark):
     assert plan.index("partial_min_by") > plan.index("Exchange")
 
 
-def test_unrepeated_ids_are_not_shuffled(spark):
-    rows = spark.range(100).selectExpr("string(id) cve_id", "id ord", "cast(null as string) reject_reason")
-    assert "Exchange" not in plan_of(merge.first_success(rows, F.col("ord")))
+def test_unrepeated_ids_are_not_reduced(spark, path, monkeypatch):
+    from vulnloom.plans.collect import add_rows, read_advisories
+
+    def refuse(*_):
+        raise AssertionError("no id is there twice")
+
+    monkeypatch.setattr(merge, "first_success", refuse)
+    pages = spark.createDataFrame([(f"CVE-2024-{i}", 200, FULL, i) for i in range(9)], PAGES + ", ord bigint")
+    assert add_rows(extract(pages, ["ord"]), F.col("ord"), 1, path) == 9
+    assert read_advisories(spark, path).count() == 9
 
 
 def test_ids_are_sorted_by_ready_columns(spark):

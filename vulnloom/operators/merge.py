@@ -1,6 +1,6 @@
 """Adding newly read advisories to the dataset."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import id_year, strip
@@ -67,20 +67,22 @@ def wanted_pages(pages: DataFrame, pending: DataFrame, done: DataFrame) -> DataF
     return pages.join(pending.select("cve_id"), "cve_id", "left_semi")
 
 
+def accepted_counts(rows: DataFrame) -> tuple[int, int]:
+    """(accepted rows, distinct ids among them)."""
+    good = rows.filter("reject_reason IS NULL")
+    return tuple(good.agg(F.count("*"), F.count_distinct("cve_id")).first())
+
+
 def first_success(rows: DataFrame, order: Column) -> DataFrame:
     """One accepted row per id, the first by ``order``.
 
-    When no id is there twice, no row is moved. Otherwise copies of a page are
-    reduced before the shuffle, so an id with very many copies costs no more
-    than any other.
+    Copies of a page are reduced before the shuffle, so an id with very many
+    copies costs no more than any other.
     """
-    good = rows.filter("reject_reason IS NULL")
-    n_rows, n_ids = good.agg(F.count("*"), F.count_distinct("cve_id")).first()
-    if n_rows == n_ids:
-        return good
     tie = F.xxhash64(*[c for c in RAW_COLUMNS if c in rows.columns])
     return (
-        good.groupBy("cve_id")
+        rows.filter("reject_reason IS NULL")
+        .groupBy("cve_id")
         .agg(F.min_by(F.struct(*rows.columns), F.struct(order, tie)).alias("row"))
         .select("row.*")
     )
@@ -109,23 +111,28 @@ def until_target(existing: DataFrame, new: DataFrame, target: int | None = None)
 
 
 def run_counters(
-    ids: DataFrame, existing: DataFrame, attempted: DataFrame, added: DataFrame, target: int | None
+    spark: SparkSession,
+    ids_available: int,
+    existing_rows: int,
+    already_collected: int,
+    attempted: int,
+    successes: int,
+    target: int | None,
 ) -> DataFrame:
     """One row of counts about a run.
 
-    ``attempted`` holds the pending ids that were tried, ``added`` the rows
-    that were appended.
+    ``existing_rows`` counts repeats, ``already_collected`` distinct ids;
+    ``attempted`` ids were pending and tried.
     """
-
-    def count_of(df: DataFrame) -> Column:
-        return df.agg(F.count("*")).scalar()
-
-    return ids.agg(F.count("*").alias("ids_available")).select(
-        "ids_available",
-        count_of(existing).alias("existing_rows"),
-        count_of(done_ids(existing)).alias("already_collected"),
-        count_of(added).alias("successes"),
-        (count_of(attempted) - count_of(added)).alias("skipped"),
-        (count_of(existing) + count_of(added)).alias("final_rows"),
-        F.lit(target).cast("bigint").alias("target"),
+    counts = {
+        "ids_available": ids_available,
+        "existing_rows": existing_rows,
+        "already_collected": already_collected,
+        "successes": successes,
+        "skipped": attempted - successes,
+        "final_rows": existing_rows + successes,
+        "target": target,
+    }
+    return spark.createDataFrame(
+        [tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts)
     )

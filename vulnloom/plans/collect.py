@@ -34,13 +34,22 @@ def read_wanted(pages: DataFrame, pending: DataFrame, done: DataFrame, lake: str
     return written(rows, f"{lake}/_staging/rows")
 
 
-def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | None = None) -> None:
-    """Append the first accepted row of each id, as many as there is room for."""
-    new = merge.first_success(rows, order)
-    if room is not None:
-        new = merge.first_in_order(new, room)
-    new = new.withColumn("run", F.lit(run).cast("bigint"))
-    append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(lake))
+def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | None = None) -> int:
+    """Append the first accepted row of each id, as many as there is room for.
+
+    Rows are only moved when a count shows that an id is there twice. Returns
+    the number of rows added.
+    """
+    n_rows, n_ids = merge.accepted_counts(rows)
+    if n_rows > n_ids:
+        rows = merge.first_success(rows, order)
+    new = rows.filter("reject_reason IS NULL")
+    if room is not None and room < n_ids:
+        new, n_ids = merge.first_in_order(new, room), room
+    if n_ids:
+        new = new.withColumn("run", F.lit(run).cast("bigint"))
+        append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(lake))
+    return n_ids
 
 
 def write_rejects(rejected: DataFrame, run: int, lake: str) -> None:
@@ -59,26 +68,29 @@ def collect(
     refused pages go to the rejects table. Returns the run's counters.
     """
     spark = ids.sparkSession
-    existing = written(
-        read_advisories(spark, lake).select("cve_id"), f"{lake}/_staging/existing"
-    )
+    existing = read_advisories(spark, lake)
+    n_existing = existing.count()
     done = written(merge.done_ids(existing), f"{lake}/_staging/done")
     pending = written(merge.pending_ids(ids, done), f"{lake}/_staging/pending")
-    room = None if target is None else max(0, target - existing.count())
+    room = None if target is None else max(0, target - n_existing)
     if room == 0:
         pending = pending.limit(0)
+    counts = {
+        "ids_available": ids.count(),
+        "existing_rows": n_existing,
+        "already_collected": done.count(),
+        "attempted": pending.count(),
+    }
     read = read_wanted(pages, pending, done, lake)
     rows = read.join(pending, "cve_id")
-    add_rows(rows, F.col("ord"), run, lake, room)
+    added = add_rows(rows, F.col("ord"), run, lake, room)
     no_page = pending.join(read.select("cve_id"), "cve_id", "left_anti").select(
         "cve_id",
         F.lit("not_fetched").alias("reject_reason"),
         F.lit(None).cast("string").alias("reject_detail"),
     )
     write_rejects(rejects(rows).unionByName(no_page), run, lake)
-    # The ids this run added: those it tried and the dataset now holds.
-    added = read_advisories(spark, lake).select("cve_id").join(pending, "cve_id", "left_semi")
-    counters = merge.run_counters(ids, existing, pending, added, target)
+    counters = merge.run_counters(spark, **counts, successes=added, target=target)
     return written(counters, f"{lake}/runs/run={run}")
 
 
