@@ -14,6 +14,7 @@ from vulnloom.functions.text import (
     page_address,
     strip,
 )
+from vulnloom.schema import ADVISORY_BASE, LISTING_BASE
 
 SPACES = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
 
@@ -58,13 +59,17 @@ def test_id_parts(spark):
 
 
 def test_addresses(spark):
+    year, directory = F.lit(2024), F.lit("1xxx")
     row = spark.range(1).select(
-        page_address("https://a.example/v/", F.lit("CVE-2024-1")),
-        listing_address("https://l.example/cves", F.lit(2024)),
-        listing_address("https://l.example/cves", F.lit(2024), F.lit("1xxx")),
+        page_address(F.lit("CVE-2024-1"), "https://a.example/v/"),
+        listing_address(year, base="https://l.example/cves"),
+        listing_address(year, directory, "https://l.example/cves"),
+        page_address(F.lit("CVE-2024-1")),
+        listing_address(year, directory),
     ).first()
     assert tuple(row) == (
         "https://a.example/v/CVE-2024-1", "https://l.example/cves/2024", "https://l.example/cves/2024/1xxx",
+        ADVISORY_BASE + "CVE-2024-1", LISTING_BASE + "/2024/1xxx",
     )
 
 

@@ -38,7 +38,8 @@ def collect_pages(spark, args):
 def stream(spark, args):
     read = page_file_stream if args.files else page_stream
     trigger = {"processingTime": args.every} if args.every else {}
-    ingest(read(spark, args.pages), args.lake, args.checkpoint, **trigger).awaitTermination()
+    pages = read(spark, args.pages, maxFilesPerTrigger=args.files_per_batch)
+    ingest(pages, args.lake, args.checkpoint, **trigger).awaitTermination()
 
 
 def export(spark, args):
@@ -91,6 +92,7 @@ def parser() -> argparse.ArgumentParser:
     sub = job("stream", stream, "pages", "lake", "checkpoint")
     sub.add_argument("--every", help="a trigger interval; land what is there and end unless given")
     sub.add_argument("--files", action="store_true", help="pages are HTML files, not Parquet")
+    sub.add_argument("--files-per-batch", type=int, default=10_000)
 
     job("export", export, "lake", "csv")
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vulnloom.schema import ADVISORY_BASE, LISTING_BASE
+
 # One Unicode whitespace character. With (?U) Java's \s covers everything but
 # the four ASCII separators, which are whitespace for the pages' producer too.
 SPACE = r"[\s\x1c-\x1f]"
@@ -35,12 +37,14 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def page_address(base: str, cve_id: Column) -> Column:
+def page_address(cve_id: Column, base: str = ADVISORY_BASE) -> Column:
     """Address of an advisory page."""
     return F.concat(F.lit(base), cve_id)
 
 
-def listing_address(base: str, year: Column, directory: Column | None = None) -> Column:
+def listing_address(
+    year: Column, directory: Column | None = None, base: str = LISTING_BASE
+) -> Column:
     """Address of a year page, or of a range page when a directory is given."""
     parts = [F.lit(base), year.cast("string")]
     return F.concat_ws("/", *parts, *([directory] if directory is not None else []))

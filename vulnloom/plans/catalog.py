@@ -113,8 +113,9 @@ def page_addresses(spark, sf_dir):
     key = F.col("p_partkey")
     directory = F.concat(F.floor(key / 1000).cast("string"), F.lit("xxx"))
     return table(spark, sf_dir, "part").select(
-        page_address("https://advisories.example/", part_id(key)).alias("address"),
-        listing_address("https://listing.example/cves", 2020 + key % 7, directory).alias("listing"),
+        page_address(part_id(key)).alias("address"),
+        listing_address(2020 + key % 7).alias("year_page"),
+        listing_address(2020 + key % 7, directory).alias("range_page"),
     )
 
 

@@ -1,5 +1,7 @@
 """What DuckDB computes straight from the driver tables, without any page."""
 
+from vulnloom.schema import ADVISORY_BASE, LISTING_BASE
+
 # The advisory a page of ``samples.advisory_pages`` stands for, from its part.
 PARTS = r"""
 WITH part_rows AS (
@@ -152,8 +154,9 @@ ORACLES = {
         FROM (SELECT DISTINCT year(o_orderdate) AS y, o_orderkey FROM orders) o""",
     "csv_dataset": f"{PARTS} SELECT {FIELDS} FROM adv",
     "page_addresses": f"""
-        SELECT 'https://advisories.example/' || 'CVE-' || (2020 + p_partkey % 7) || '-' || {_pad('p_partkey')} AS address,
-               'https://listing.example/cves/' || (2020 + p_partkey % 7) || '/' || (p_partkey // 1000) || 'xxx' AS listing
+        SELECT '{ADVISORY_BASE}CVE-' || (2020 + p_partkey % 7) || '-' || {_pad('p_partkey')} AS address,
+               '{LISTING_BASE}/' || (2020 + p_partkey % 7) AS year_page,
+               '{LISTING_BASE}/' || (2020 + p_partkey % 7) || '/' || (p_partkey // 1000) || 'xxx' AS range_page
         FROM part""",
     # Page structure
     "link_extract": """

@@ -71,8 +71,13 @@ def severity_cell(k: Column) -> Column:
 
 
 def _details(k: Column, name: Column, brand: Column, kind: Column, size: Column) -> Column:
-    hour = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(p_partkey % 40000 as int))")
-    later = F.expr("timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, cast(p_partkey % 40000 as int))")
+    published, modified = (
+        F.replace(
+            F.expr(f"timestamp_ntz'{day}' + make_dt_interval(0, cast(p_partkey % 40000 as int))").cast("string"),
+            F.lit(" "), F.lit("T"),
+        )
+        for day in ("2024-01-01", "2024-01-02")
+    )
     return text(
         F.when(k % 21 == 0, "<div><dt>Severity</dt></div>").otherwise(""),
         _entry("Source", _link(text("https://s.example/", k))),
@@ -82,8 +87,8 @@ def _details(k: Column, name: Column, brand: Column, kind: Column, size: Column)
             "<ul>", _repeat(k % 4 - 1, lambda j: text("<li>", _link(F.lit("/a"), text("GHSA-", k + j)), "</li>")), "</ul>",
         )),
         F.when(k % 13 == 0, "").otherwise(
-            _entry("Published", F.date_format(hour, "yyyy-MM-dd'T'HH:mm:ss'Z'"))),
-        _entry("Modified", F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss'.150Z'")),
+            _entry("Published", text(published, "Z"))),
+        _entry("Modified", text(modified, ".150Z")),
         F.when(k % 17 == 0, "").otherwise(_entry("Severity", severity_cell(k))),
         _entry("Summary", text(
             name, "<b>", brand, '</b>&nbsp;&amp; <!-- no --><script>var t="</p>";</script>', kind)),
