@@ -317,6 +317,27 @@ def collect_runs(spark, sf_dir):
     return collect.read_advisories(spark, lake).select("cve_id", "run", "ord", "package", "cwe_ids")
 
 
+@query
+def collect_to_target(spark, sf_dir):
+    lake = work_path(spark, "lake")
+    collect.collect(
+        _part_ids(spark, sf_dir), samples.advisory_pages(spark, sf_dir), lake, run=1,
+        target=TARGET_RECORDS,
+    )
+    return collect.read_advisories(spark, lake).select("cve_id", "ord")
+
+
+@query
+def run_rejects(spark, sf_dir):
+    lake, key = work_path(spark, "lake"), F.col("s_suppkey")
+    no_pages = table(spark, sf_dir, "supplier").select(
+        (-1 - key).alias("ord"), id_text(F.lit(2019), key).alias("cve_id")
+    )
+    ids = _part_ids(spark, sf_dir).unionByName(no_pages)
+    collect.collect(ids, samples.advisory_pages(spark, sf_dir), lake, run=1)
+    return spark.read.parquet(collect.rejects_path(lake)).drop("run")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     lake, landing = work_path(spark, "lake"), work_path(spark, "landing")

@@ -244,6 +244,15 @@ ORACLES = {
         SELECT cve_id, CAST(CASE WHEN reject_reason IS NULL THEN 1 ELSE 2 END AS BIGINT) AS run, k AS ord, package, cwe_ids
         FROM pages_expected WHERE reject_reason IS NULL
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
+    "collect_to_target": f"""{PARTS}
+        SELECT cve_id, k AS ord FROM (SELECT cve_id, k, row_number() OVER (ORDER BY k) AS n FROM adv) a
+        WHERE n <= 2000""",
+    "run_rejects": f"""{PARTS}
+        SELECT cve_id, reject_reason,
+               CASE WHEN reject_reason = 'http_error' THEN 'permanent' END AS reject_detail
+        FROM pages_expected WHERE reject_reason IS NOT NULL
+        UNION ALL
+        SELECT 'CVE-2019-' || {_pad('s_suppkey')}, 'not_fetched', NULL FROM supplier""",
     "stream_ingest": f"""{PARTS}
         SELECT cve_id, CAST(1 AS BIGINT) AS copies, package, cwe_ids FROM pages_expected WHERE reject_reason IS NULL
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
