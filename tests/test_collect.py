@@ -102,7 +102,7 @@ def test_done_ids_are_trimmed(spark):
 
 
 def test_null_ids_are_not_pending(spark):
-    ids = spark.createDataFrame([(1, None), (2, "a")], IDS)
+    ids = spark.createDataFrame([(1, None), (2, "a"), (3, ""), (4, " \u00a0")], IDS)
     done = spark.createDataFrame([], "cve_id string")
     assert [r.cve_id for r in merge.pending_ids(ids, done).collect()] == ["a"]
 

@@ -70,6 +70,7 @@ def test_too_many_years_prune_nothing(spark, lake_pages, monkeypatch):
     ids = spark.createDataFrame([(f"CVE-{y}-0001",) for y in range(2000, 2030)], "cve_id string")
     pages = read_pages(spark, lake_pages)
     assert merge.in_years_of(pages, ids).count() == pages.count() == 100
+    assert merge.in_years_of(pages, ids.limit(0)).count() == 0
 
 
 def test_large_id_sets_are_not_broadcast(spark, lake_pages, monkeypatch):

@@ -26,7 +26,8 @@ def test_each_id_lands_once(spark, tmp_path):
     # Nothing new has arrived.
     assert run(spark, landing, lake) == [("CVE-2024-1", "first")]
     drop(spark, landing, ("CVE-2024-1", 200, page("third")), ("CVE-2023-2", 200, page("x")))
-    drop(spark, landing, ("CVE-2023-2", 200, page("late")), ("GHSA-x", 200, page("y")), (None, 200, FULL))
+    drop(spark, landing, ("CVE-2023-2", 200, page("late")), (" GHSA-x\n", 200, page("y")),
+         (None, 200, FULL), (" ", 200, FULL))
     want = [("CVE-2023-2", "x"), ("CVE-2024-1", "first"), ("GHSA-x", "y")]
     assert run(spark, landing, lake, maxFilesPerTrigger=1) == want
     drop(spark, landing, ("GHSA-x", 200, page("z")))

@@ -67,7 +67,9 @@ def report(spark, args):
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="vulnloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    p = argparse.ArgumentParser(
+        prog="vulnloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     p.add_argument("--master", help="left to spark-submit unless given")
     jobs = p.add_subparsers(required=True)
 

@@ -1,6 +1,6 @@
 """From listing pages to the ordered id index."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import id_sequence, id_year
@@ -33,6 +33,11 @@ def listing_in_scope(
     return listing.filter(F.col("year").between(first_year, last_year) & (F.col("status") == 200))
 
 
+def _match(text: Column, pattern: Column, group: int) -> Column:
+    """A group of the first match of a pattern that is itself a column, or ''."""
+    return F.call_function("regexp_extract", text, pattern, F.lit(group))
+
+
 def directories(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
     """Range directories the year pages link to: year, directory, page_no, dir_pos.
 
@@ -43,7 +48,7 @@ def directories(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
     )
     quoted = F.lit("\\Q" + prefix.replace("\\E", "\\E\\\\E\\Q") + "\\E")
     pattern = F.concat(quoted, F.col("year").cast("string"), F.lit("/([^/]+)"))
-    found = page_links(years).withColumn("directory", F.call_function("regexp_extract", F.col("href"), pattern, F.lit(1)))
+    found = page_links(years).withColumn("directory", _match(F.col("href"), pattern, 1))
     return (
         found.filter(F.col("directory").rlike(RANGE_DIRECTORY))
         .groupBy("year", "directory")
@@ -62,9 +67,7 @@ def range_ids(listing: DataFrame) -> DataFrame:
         "year", "directory", F.when(might_hold(F.col("html"), "CVE-"), F.col("html")).alias("html")
     )
     pattern = F.concat(F.lit("CVE-"), F.col("year").cast("string"), F.lit(ID_FILE))
-    names = F.transform(
-        "page.anchors", lambda href: F.call_function("regexp_extract", href, pattern, F.lit(0))
-    )
+    names = F.transform("page.anchors", lambda href: _match(href, pattern, 0))
     ids = F.transform(
         F.array_distinct(F.filter(names, lambda name: name != "")),
         lambda name: F.left(name, F.length(name) - len(FILE_SUFFIX)),

@@ -23,7 +23,8 @@ def done_ids(existing: DataFrame) -> DataFrame:
 
 def pending_ids(ids: DataFrame, done: DataFrame) -> DataFrame:
     """Listed ids that are not in the dataset, each at its first position."""
-    wanted = ids.filter("cve_id IS NOT NULL").groupBy("cve_id").agg(F.min("ord").alias("ord"))
+    named = ids.filter(strip(F.col("cve_id")) != "")
+    wanted = named.groupBy("cve_id").agg(F.min("ord").alias("ord"))
     return wanted.join(done, "cve_id", "left_anti")
 
 

@@ -29,7 +29,7 @@ def read_wanted(pages: DataFrame, pending: DataFrame, done: DataFrame, lake: str
     ``pending`` and ``done`` are written tables. Every column of ``pages``
     beyond the page itself is kept.
     """
-    keep = [c for c in pages.columns if c not in ("cve_id", "status", "html", "cve_year")]
+    keep = [c for c in pages.columns if c not in ("cve_id", "status", "html", "cve_year", "ord")]
     rows = extract(merge.wanted_pages(pages, pending, done), keep)
     return written(rows, f"{lake}/_staging/rows")
 
@@ -54,7 +54,7 @@ def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | No
 
 def write_rejects(rejected: DataFrame, run: int, lake: str) -> None:
     """Write the refusals of a run; doing it again replaces them."""
-    rejected.write.mode("overwrite").parquet(f"{rejects_path(lake)}/run={run}")
+    rejected.hint("rebalance").write.mode("overwrite").parquet(f"{rejects_path(lake)}/run={run}")
 
 
 def collect(

@@ -71,6 +71,9 @@ def severity_cell(k: Column) -> Column:
 
 
 def _details(k: Column, name: Column, brand: Column, kind: Column, size: Column) -> Column:
+    def alias(j):
+        return text("<li>", _link(F.lit("/a"), text("GHSA-", k + j)), "</li>")
+
     published, modified = (
         F.replace(
             F.expr(f"timestamp_ntz'{day}' + make_dt_interval(0, cast(p_partkey % 40000 as int))").cast("string"),
@@ -83,9 +86,7 @@ def _details(k: Column, name: Column, brand: Column, kind: Column, size: Column)
         _entry("Source", _link(text("https://s.example/", k))),
         _entry(" import  SOURCE ", _link(text("https://i.example/", k))),
         _entry("JSON Data", _link(text("https://j.example/", k, ".json?a=1&amp;b=2"))),
-        _entry("Aliases", text(
-            "<ul>", _repeat(k % 4 - 1, lambda j: text("<li>", _link(F.lit("/a"), text("GHSA-", k + j)), "</li>")), "</ul>",
-        )),
+        _entry("Aliases", text("<ul>", _repeat(k % 4 - 1, alias), "</ul>")),
         F.when(k % 13 == 0, "").otherwise(
             _entry("Published", text(published, "Z"))),
         _entry("Modified", text(modified, ".150Z")),

@@ -1,6 +1,6 @@
 """Id lists: text files with one id per line."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import strip
@@ -26,7 +26,7 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 def _positions(lines: DataFrame) -> DataFrame:
     at = lines.select(
         strip(F.col("value")).alias("cve_id"),
-        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         # Rises along the lines of one split, which is all it is used for.
         F.monotonically_increasing_id().alias("_line"),

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vulnloom.functions.text import strip
 from vulnloom.operators.extract import rejects
 from vulnloom.operators.merge import done_ids, in_years_of
 from vulnloom.plans import collect
@@ -43,7 +44,7 @@ def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     and the batch's rejects replace themselves. One writer per lake.
     """
     spark = batch.sparkSession
-    arrived = batch.filter(F.col("cve_id").isNotNull())
+    arrived = batch.withColumn("cve_id", strip(F.col("cve_id"))).filter("cve_id <> ''")
     # Only the years of this batch are read from the table.
     known = in_years_of(collect.read_advisories(spark, lake), arrived)
     done = written(done_ids(known), f"{lake}/_staging/done")
