@@ -13,7 +13,7 @@ times slower, reads the rest; both give the same record.
 
 import re
 from collections import defaultdict
-from html import unescape
+from html import parser
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -43,11 +43,9 @@ REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
 
 
 WS = r"[ \t\n\r\f]"
-REFERENCE = r"&(?:[a-zA-Z][a-zA-Z0-9]*|\#[0-9]+|\#[xX][0-9a-fA-F]+);"
 ATTRIBUTE = (
     r"([a-zA-Z_:][-a-zA-Z0-9_:.]*+)"
-    rf"""(?:=(?:"([^"&]*+(?:{REFERENCE}[^"&]*+)*+)"|'([^'&]*+(?:{REFERENCE}[^'&]*+)*+)'"""
-    r"""|([^\s"'=<>`&]++)(?=[ \t\n\r\f>]|\Z)))?"""
+    r"""(?:=(?:"([^"]*+)"|'([^']*+)'|([^\s"'=<>`]++)(?=[ \t\n\r\f>]|\Z)))?"""
 )
 UNGROUPED = re.sub(r"\((?!\?)", "(?:", ATTRIBUTE)
 # Text up to a piece of regular markup, and that piece.
@@ -76,6 +74,10 @@ UNPARSED = {
 }
 
 
+# The tokenizer's own reading of references in attributes, which newer versions
+# of Python keep apart from that in text.
+unescape = getattr(parser, "_unescape_attrvalue", parser.unescape)
+
 BARE = {}
 
 
