@@ -141,8 +141,8 @@ def test_whole_run(spark, random_pages, path):
     assert [tuple(r) for r in run.years.orderBy("year").collect()] == want_years
     assert tuple(run.totals.first()) == (150, 150)
     shown = [(r.part, r.cve_id) for r in run.preview.collect()]
-    assert sorted(i for p, i in shown if p == "first") == sorted(in_order[:20])
-    assert sorted(i for p, i in shown if p == "last") == sorted(in_order[-10:])
+    assert [i for p, i in shown if p == "first"] == in_order[:20]
+    assert [i for p, i in shown if p == "last"] == in_order[-10:]
 
 
 def test_totals_cap(spark, random_pages):
@@ -177,3 +177,21 @@ def test_prefilter_never_hides_a_link(spark):
         True, True, True, False,
     ]
     assert [r.href for r in page_links(frame).collect()][:3] == ["/CVE-2024-1000.json"] * 3
+
+
+def test_hot_directory_and_hot_id(spark):
+    """One directory, copied over many pages, holds most links, mostly to one id."""
+    hot = ["CVE-2024-1000"] * 3000 + [f"CVE-2024-{n}" for n in range(1500, 1000, -1)]
+    rows = [(2024, None, 0, 200, links(folder(2024, "1xxx"), folder(2024, "2xxx")))]
+    rows += [(2024, "1xxx", None, 200, links(*[f"/{i}.json" for i in hot]))] * 20
+    rows += [(2024, "2xxx", None, 200, links("/CVE-2024-1000.json", "/CVE-2024-2000.json"))]
+    frame = listing(spark, rows).repartition(7)
+    found = index.discovered(frame)
+    want = list(dict.fromkeys(hot)) + ["CVE-2024-2000"]
+    assert sorted(r.cve_id for r in found.collect()) == sorted(want)
+    for n in (1, 300, 501, 502, 600):
+        kept, by_totals = index.first_n(found, n), index.first_by_totals(found, n)
+        assert {r.cve_id for r in kept.collect()} == set(want[:n])
+        assert sorted(r.cve_id for r in by_totals.collect()) == sorted(want[:n])
+    counts = index.running_counts(frame, found).orderBy("dir_pos").collect()
+    assert [(r.directory, r.new_ids, r.collected) for r in counts] == [("1xxx", 501, 501), ("2xxx", 1, 502)]

@@ -95,7 +95,7 @@ def discovered(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
 def first_n(ids: DataFrame, n: int) -> DataFrame:
     """The first ``n`` ids in discovery order."""
     if n <= SORTED_LIMIT:
-        return ids.orderBy("year", "page_no", "dir_pos", "link_pos").limit(n)
+        return ids.orderBy("year", "page_no", "dir_pos", "link_pos", "cve_id").limit(n)
     return first_by_totals(ids, n)
 
 
@@ -197,10 +197,8 @@ def ranked(ids: DataFrame) -> DataFrame:
 
 
 def preview(ids: DataFrame, first: int = PREVIEW_FIRST, last: int = PREVIEW_LAST) -> DataFrame:
-    """The first and last ids in id order, marked by ``part``."""
+    """The first and last ids, marked by ``part``, each in id order."""
     keyed = with_id_parts(ids.select("cve_id"))
-    head = keyed.orderBy("_year", "_seq").limit(first)
-    tail = keyed.orderBy(F.desc("_year"), F.desc("_seq")).limit(last)
-    return head.select(F.lit("first").alias("part"), "cve_id").unionByName(
-        tail.select(F.lit("last").alias("part"), "cve_id")
-    )
+    head = keyed.orderBy("_year", "_seq").limit(first).withColumn("part", F.lit("first"))
+    tail = keyed.orderBy(F.desc("_year"), F.desc("_seq")).limit(last).withColumn("part", F.lit("last"))
+    return head.unionByName(tail).orderBy("part", "_year", "_seq").select("part", "cve_id")
