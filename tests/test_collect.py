@@ -5,9 +5,15 @@ from golden import FULL
 from pyspark.sql import functions as F
 
 from vulnloom.operators import merge
-from vulnloom.plans.collect import collect, export_csv, read_advisories, rejects_path
+from vulnloom.plans.collect import (
+    collect,
+    export_csv,
+    import_csv,
+    read_advisories,
+    rejects_path,
+)
 from vulnloom.schema import PAGES, RAW_COLUMNS
-from vulnloom.sources.dataset import read_csv_dataset
+from vulnloom.sources.dataset import read_csv_dataset, write_csv_dataset
 
 IDS = "ord bigint, cve_id string"
 
@@ -205,3 +211,20 @@ def test_rows_written_in_part_are_not_written_twice(spark, path):
     collect(ids_of(spark, "CVE-2023-2"), pages_of(spark, CVE_2023_2=True), path, run=1)
     collect(ids, pages_of(spark, CVE_2023_2=True, CVE_2024_1=True), path, run=1)
     assert sorted(i for _, _, i in landed(spark, path)) == ["CVE-2023-2", "CVE-2024-1"]
+
+
+def test_going_on_from_a_csv_dataset(spark, tmp_path):
+    lake, old, out = (str(tmp_path / n) for n in ("lake", "old", "out"))
+    rows = [("CVE-2024-1", "a"), (" CVE-2024-2 ", "b"), ("CVE-2024-1", "again"), ("", "no id")]
+    frame = spark.createDataFrame(rows, "cve_id string, package string")
+    missing = {c: F.lit("") for c in RAW_COLUMNS if c not in frame.columns}
+    write_csv_dataset(frame.coalesce(1).withColumns(missing), old)
+    for _ in range(2):
+        import_csv(spark, old, lake)
+    names = ["CVE-2024-3", "CVE-2024-2", "CVE-2024-1"]
+    pages = pages_of(spark, **{n.replace("-", "_"): True for n in names})
+    row = counters(collect(ids_of(spark, *names), pages, lake, run=1, target=4))
+    assert (row["existing_rows"], row["already_collected"], row["successes"]) == (3, 2, 1)
+    export_csv(spark, lake, out)
+    got = [(r.cve_id, r.package) for r in read_csv_dataset(spark, out).collect()]
+    assert sorted(got) == sorted([*rows[:3], ("CVE-2024-3", "CVE-2024-3")])

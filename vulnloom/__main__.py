@@ -3,6 +3,7 @@
     index    listing pages to the sorted id list
     collect  ids and pages to new rows of the dataset
     stream   page files to new rows of the dataset, as they arrive
+    import   a CSV dataset to go on from
     export   the dataset as CSV
     report   the analytics tables of the dataset
 """
@@ -13,7 +14,7 @@ from vulnloom import schema
 from vulnloom.operators import analytics
 from vulnloom.operators.typed import typed
 from vulnloom.plans.build_index import build_index
-from vulnloom.plans.collect import collect, export_csv, read_advisories
+from vulnloom.plans.collect import collect, export_csv, import_csv, read_advisories
 from vulnloom.session import build_session
 from vulnloom.sources.id_list import read_id_list
 from vulnloom.sources.pages import read_listing_pages, read_page_files, read_pages
@@ -42,6 +43,10 @@ def stream(spark, args):
     ingest(pages, args.lake, args.checkpoint, **trigger).awaitTermination()
 
 
+def import_(spark, args):
+    import_csv(spark, args.csv, args.lake)
+
+
 def export(spark, args):
     export_csv(spark, args.lake, args.csv)
 
@@ -96,6 +101,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--files", action="store_true", help="pages are HTML files, not Parquet")
     sub.add_argument("--files-per-batch", type=int, default=10_000)
 
+    job("import", import_, "csv", "lake")
     job("export", export, "lake", "csv")
 
     sub = job("report", report, "lake", "out")

@@ -317,6 +317,17 @@ def collect_runs(spark, sf_dir):
     return collect.read_advisories(spark, lake).select("cve_id", "run", "ord", "package", "cwe_ids")
 
 
+@query
+def csv_resume(spark, sf_dir):
+    """A CSV dataset is taken over and gone on from with the pages that failed."""
+    lake, old = work_path(spark, "lake"), work_path(spark, "csv")
+    write_csv_dataset(_advisories(spark, sf_dir), old)
+    collect.import_csv(spark, old, lake)
+    healed = samples.advisory_pages(spark, sf_dir, healed=True)
+    collect.collect(_part_ids(spark, sf_dir), healed, lake, run=1)
+    return collect.read_advisories(spark, lake).select("cve_id", "run", "package", "cwe_ids")
+
+
 @query
 def collect_to_target(spark, sf_dir):
     lake = work_path(spark, "lake")

@@ -3,11 +3,17 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vulnloom.functions.text import strip
 from vulnloom.operators import merge
 from vulnloom.operators.extract import extract, rejects
 from vulnloom.schema import LAKE, RAW_COLUMNS
 from vulnloom.session import written
-from vulnloom.sources.dataset import append_by_year, read_table, write_csv_dataset
+from vulnloom.sources.dataset import (
+    append_by_year,
+    read_csv_dataset,
+    read_table,
+    write_csv_dataset,
+)
 
 
 def advisories_path(lake: str) -> str:
@@ -94,6 +100,22 @@ def collect(
     return written(counters, f"{lake}/runs/run={run}")
 
 
+def import_csv(spark: SparkSession, path: str, lake: str) -> None:
+    """Take over a CSV dataset as run 0, to be gone on from.
+
+    Its rows are kept as they are, repeated ids too; ids the lake holds already
+    are left out, so it may be done again.
+    """
+    done = written(merge.done_ids(read_advisories(spark, lake)), f"{lake}/_staging/done")
+    rows = read_csv_dataset(spark, path).withColumns({
+        "_id": strip(F.col("cve_id")),
+        "run": F.lit(0).cast("bigint"),
+        "ord": F.monotonically_increasing_id(),
+    })
+    new = rows.join(done.withColumnRenamed("cve_id", "_id"), "_id", "left_anti").drop("_id")
+    append_by_year(written(new, f"{lake}/_staging/rows"), advisories_path(lake))
+
+
 def export_csv(spark: SparkSession, lake: str, path: str) -> None:
     """Write the dataset as CSV in the order it was collected."""
     rows = read_advisories(spark, lake).orderBy("run", "ord", "cve_id")

@@ -244,6 +244,10 @@ ORACLES = {
         SELECT cve_id, CAST(CASE WHEN reject_reason IS NULL THEN 1 ELSE 2 END AS BIGINT) AS run, k AS ord, package, cwe_ids
         FROM pages_expected WHERE reject_reason IS NULL
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
+    "csv_resume": f"""{PARTS}
+        SELECT cve_id, CAST(CASE WHEN reject_reason IS NULL THEN 0 ELSE 1 END AS BIGINT) AS run, package, cwe_ids
+        FROM pages_expected WHERE reject_reason IS NULL
+           OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
     "collect_to_target": f"""{PARTS}
         SELECT cve_id, k AS ord FROM (SELECT cve_id, k, row_number() OVER (ORDER BY k) AS n FROM adv) a
         WHERE n <= 2000""",
