@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vulnloom.operators.html_scan import PageRecord, read_advisory, read_links
+from vulnloom.operators.html_scan import LinkRecord, PageRecord, read_advisory, read_links, read_title
 
 
 def text_of(html, tag="p"):
@@ -86,14 +86,13 @@ def test_links():
 
 
 def test_first_heading():
-    assert read_links("<h1>a</h1><h1 class='title big'>b<i>c</i></h1>")["title"] == "a"
-    assert read_links("<h1>a</h1><h1 class='title big'>b<i>c</i></h1>", "title")["title"] == "b c"
-    assert read_links("<p>")["title"] == ""
+    assert read_title("<p>x</p><h1 class='t'>b<i>c</i></h1><h1>d</h1>")["title"] == "b c"
+    assert read_title("<p>")["title"] == ""
 
 
 def test_nothing_fetched():
     assert read_advisory(None) == {"has_page": False, "has_details": False}
-    assert read_links(None) == {"title": "", "anchors": []}
+    assert read_links(None) == {"anchors": []} and read_title(None) == {"title": ""}
 
 
 @pytest.mark.parametrize("piece", ["<b>", "<p>x<i></p>", "<br>", "</br></x>", "&amp;", "<dd>", "x<dt>"])
@@ -137,14 +136,16 @@ def contents(page):
 
 
 def readings(html):
-    """(fast, tokenizer alone); an exception stands for itself."""
+    """(fast, tokenizer alone), each with the links; an exception stands for itself."""
     out = []
     for fast in (True, False):
         try:
             with pytest.MonkeyPatch.context() as m:
                 if not fast:
                     m.setattr(PageRecord, "_read_regular", lambda self, html: 0)
-                out.append(contents(PageRecord(html)))
+                page = PageRecord(html)
+                links = [href or "" for href in page.links(0)]
+                out.append((contents(page), LinkRecord(html).hrefs if fast else links))
         except AssertionError as e:
             out.append(str(e))
     return out
@@ -180,3 +181,4 @@ def test_regular_pages_are_read_fast(monkeypatch):
 
     monkeypatch.setattr("vulnloom.operators.html_scan.Tokenizer.read", refuse)
     assert read_advisory(FULL)["has_page"]
+    assert len(read_links("<!DOCTYPE html><title>t</title><style>a{}</style>" + FULL)["anchors"]) == 11

@@ -47,18 +47,27 @@ ATTRIBUTE = (
     r"([a-zA-Z_:][-a-zA-Z0-9_:.]*+)"
     r"""(?:=(?:"([^"]*+)"|'([^']*+)'|([^\s"'=<>`]++)(?=[ \t\n\r\f>]|\Z)))?"""
 )
-UNGROUPED = re.sub(r"\((?!\?)", "(?:", ATTRIBUTE)
-# Text up to a piece of regular markup, and that piece.
-PIECE = re.compile(
-    r"([^<&]*+)(?:"
-    rf"</([a-zA-Z][-a-zA-Z0-9]*+){WS}*+>"
-    rf"|<([a-zA-Z][-a-zA-Z0-9]*+)((?:{WS}++{UNGROUPED})*+){WS}*+(/?)>"
-    r"|&([a-zA-Z][-.a-zA-Z0-9]*+)(?:;|(?=[^-.a-zA-Z0-9;]))"
+
+
+def ungrouped(pattern):
+    return re.sub(r"\((?!\?)", "(?:", pattern)
+
+
+ATTRIBUTE_LIST = rf"(?:{WS}++{ungrouped(ATTRIBUTE)})*+"
+NAME = r"[a-zA-Z][-a-zA-Z0-9]*+"
+REFERENCE = (
+    r"&([a-zA-Z][-.a-zA-Z0-9]*+)(?:;|(?=[^-.a-zA-Z0-9;]))"
     r"|&\#([0-9]++|[xX][0-9a-fA-F]++);"
     r"|(&)(?=[^a-zA-Z\#])"
-    r"|<!--(?!-?>)[^-]*+(?:-(?!-)[^-]*+)*+-->"
+)
+SILENT = (
+    r"<!--(?!-?>)[^-]*+(?:-(?!-)[^-]*+)*+-->"
     r"|<![dD][oO][cC][tT][yY][pP][eE] [^<>]*+>"
-    r")"
+)
+# Text up to a piece of regular markup, and that piece.
+PIECE = re.compile(
+    rf"([^<&]*+)(?:</({NAME}){WS}*+>|<({NAME})({ATTRIBUTE_LIST}){WS}*+(/?)>"
+    rf"|{REFERENCE}|{SILENT})"
 )
 END, START, NAMED, NUMBERED, AMPERSAND = 2, 5, 6, 7, 8
 ATTRIBUTES = re.compile(ATTRIBUTE)
@@ -72,7 +81,13 @@ UNPARSED = {
         ("iframe", "noembed", "noframes", "plaintext", "xmp"), re.compile(r"(?!)")
     ),
 }
-
+# Regular markup that holds no link, and the link after it if there is one.
+LINK = re.compile(
+    rf"(?:[^<&]++|</{NAME}{WS}*+>"
+    rf"|<(?!(?i:a|{'|'.join(UNPARSED)})(?![-a-zA-Z0-9])){NAME}{ATTRIBUTE_LIST}{WS}*+/?>"
+    rf"|{ungrouped(REFERENCE)}|{SILENT})*+"
+    rf"(?:<[aA](?P<link>{ATTRIBUTE_LIST}){WS}*+/?>)?"
+)
 
 # The tokenizer's own reading of references in attributes, which newer versions
 # of Python keep apart from that in text.
@@ -369,18 +384,65 @@ def read_advisory(html):
     return out
 
 
-def read_links(html, title_class=None):
-    """Link targets of a page in document order, and its first heading."""
+def read_title(html):
+    """The first heading of a page."""
     if html is None:
-        return {"title": "", "anchors": []}
+        return {"title": ""}
     try:
         page = PageRecord(html)
     except Exception as e:
         return {"error": f"{type(e).__name__}: {e}"}
-    return {
-        "title": page.text(page.first(0, "h1", title_class)),
-        "anchors": [href or "" for href in page.links(0)],
-    }
+    return {"title": page.text(page.first(0, "h1"))}
+
+
+class LinkRecord:
+    """The targets of the links of a page, in document order."""
+
+    def __init__(self, html):
+        self.hrefs = []
+        rest = self._read_regular(html)
+        if rest < len(html):
+            Tokenizer(self).read(html[rest:])
+
+    def _read_regular(self, html):
+        at = 0
+        while at < len(html):
+            piece = LINK.match(html, at)
+            if (attrs := piece["link"]) is not None:
+                self.start_tag("a", regular_attributes(attrs))
+                at = piece.end()
+                continue
+            at = piece.end()
+            start = PIECE.match(html, at) if at < len(html) else None
+            if start is None or start.lastindex != START:
+                return at
+            tag = start[3].lower()
+            content = UNPARSED[tag].match(html, start.end()) if not start[5] else start
+            if content is None:
+                return at
+            at = content.end() if tag in ("script", "style") else start.end()
+        return at
+
+    def start_tag(self, tag, attrs):
+        if tag == "a":
+            self.hrefs.append(attrs.get("href", ""))
+
+    closed_tag = start_tag
+
+    def ignore(self, *_):
+        pass
+
+    end_tag = data = named = numbered = markup = character_data = ignore
+
+
+def read_links(html):
+    """Link targets of a page in document order, '' for a link without one."""
+    if html is None:
+        return {"anchors": []}
+    try:
+        return {"anchors": LinkRecord(html).hrefs}
+    except Exception as e:
+        return {"error": f"{type(e).__name__}: {e}"}
 
 
 # Pages turned into output rows at a time, to bound a task's memory.

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from vulnloom.operators import html_scan
-from vulnloom.schema import LINKS, PARSED, struct_of
+from vulnloom.schema import LINKS, PARSED, TITLE, struct_of
 
 # Executors need not have this package installed: the page reader travels with
 # the job.
@@ -50,10 +50,15 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def parse_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Replace HTML by ``page``: its first heading and its link targets."""
+    """Replace HTML by ``page``: its link targets."""
     return _read_pages(pages, html, html_scan.read_links, LINKS)
 
 
+def parse_titles(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Replace HTML by ``page``: its first heading."""
+    return _read_pages(pages, html, html_scan.read_title, TITLE)
+
+
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per link: the kept columns, ``link_pos`` and ``href``."""
     parsed = parse_links(pages, html)

@@ -7,7 +7,7 @@ from vulnloom.functions.fields import event_cells, event_history, reference_link
 from vulnloom.functions.text import listing_address, normalise, page_address
 from vulnloom.operators import analytics, crawl_log, index, merge
 from vulnloom.operators.extract import accepted, extract, rejects
-from vulnloom.operators.parse import page_links, parse_links, parse_pages
+from vulnloom.operators.parse import page_links, parse_pages, parse_titles
 from vulnloom.operators.typed import typed
 from vulnloom.plans import collect, samples
 from vulnloom.plans.oracles import ORACLES
@@ -134,7 +134,7 @@ def link_extract(spark, sf_dir):
 
 @query
 def page_title(spark, sf_dir):
-    return parse_links(_raw_pages(spark, sf_dir)).select("page_id", F.col("page.title").alias("title"))
+    return parse_titles(_raw_pages(spark, sf_dir)).select("page_id", F.col("page.title").alias("title"))
 
 
 @query

@@ -60,8 +60,9 @@ PARSED = """
     specific array<string>
 """
 
-# What it hands back for a page read for its links.
-LINKS = "error string, title string, anchors array<string>"
+# What it hands back for a page read for its links, or for its title.
+LINKS = "error string, anchors array<string>"
+TITLE = "error string, title string"
 
 
 def struct_of(ddl: str) -> T.StructType:
