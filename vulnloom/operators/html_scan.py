@@ -12,6 +12,7 @@ times slower, reads the rest; both give the same record.
 """
 
 import re
+from bisect import bisect
 from collections import defaultdict
 from html import parser
 from html.entities import html5
@@ -38,6 +39,11 @@ RANGES_HEADING = "Affected ranges"
 RANGES_CLASS = "vulnerability-package-subsection"
 EVENT_CLASS = "mdc-layout-grid__cell--span-9"
 SPECIFIC_CLASS = "specific"
+DETAIL_LABELS = frozenset((
+    "source", "import source", "json data", "aliases", "published", "modified", "severity",
+    "summary", "details", "references",
+))
+RANGE_LABELS = frozenset(("type", "repo", "events"))
 REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
 # ------------------------------------------------------------------------------
 
@@ -262,7 +268,8 @@ class PageRecord:
 
     def runs(self, element):
         kind = self.tags[element] if self.tags[element] in OWN_TEXT else ""
-        for owner, text in self.texts[self.text_from[element]:self.text_to[element]]:
+        for i in range(self.text_from[element], self.text_to[element]):
+            owner, text = self.texts[i]
             if owner == kind:
                 yield text
 
@@ -276,13 +283,15 @@ class PageRecord:
         """Text with each run trimmed and nothing put between runs."""
         return "".join(self.runs(element))
 
-    def next_sibling(self, element, tag):
-        parent_end, i = self.ends[self.parents[element]], self.ends[element]
-        while i < parent_end:
-            if self.tags[i] == tag:
-                return i
-            i = self.ends[i]
-        return None
+    def values(self, block):
+        """(label, value) elements of a block: a dt and the next dd beside it, or None."""
+        after, found = {}, []
+        for i in range(self.ends[block] - 1, block, -1):
+            if self.tags[i] == "dd":
+                after[self.parents[i]] = i
+            elif self.tags[i] == "dt":
+                found.append((i, after.get(self.parents[i])))
+        return found[::-1]
 
     def enclosing(self, element, cls):
         i = self.parents[element]
@@ -328,18 +337,42 @@ class Tokenizer(HTMLParser):
             self.record.markup()
 
 
-def _labelled(page, block, extra, read):
-    """One entry per label of a block, with what ``read`` finds in its value."""
-    entries = []
-    for dt in page.inside(block, "dt"):
-        dd = page.next_sibling(dt, "dd")
+def _label(page, dt, labels):
+    """The label in lower case; None, found out early, when it is none of ``labels``."""
+    words, room = [], max(map(len, labels))
+    for run in page.runs(dt):
+        for word in run.split():
+            words.append(word)
+            room -= len(word)
+            if room < 0:
+                return None
+    label = " ".join(words).lower()
+    return label if label in labels else None
+
+
+def _labelled(page, block, labels, extra, read):
+    """The labels of a block, with what ``read`` finds in their values.
+
+    Lookups take the first entry of a label, the first with a value or the first
+    with a link, so the first of each kind is kept and a page of any size gives
+    a bounded list.
+    """
+    entries, kinds, links = [], set(), list(page.inside(block, "a"))
+    for dt, dd in page.values(block):
+        label = _label(page, dt, labels)
+        if label is None:
+            continue
         found = dd is not None
-        entries.append({
-            "label": page.text(dt).lower(),
-            "has_dd": found,
-            "value": page.text(dd) if found else None,
-            extra: read(dd) if found else [],
-        })
+        linked = found and bisect(links, dd) < bisect(links, page.ends[dd] - 1)
+        kind = label, found, linked
+        if kind not in kinds:
+            kinds.add(kind)
+            entries.append({
+                "label": label,
+                "has_dd": found,
+                "value": page.text(dd) if found else None,
+                extra: read(dd) if found else [],
+            })
     return entries
 
 
@@ -370,7 +403,7 @@ def read_advisory(html):
     }
     if not has_page or dl is None:
         return out
-    out["details"] = _labelled(page, dl, "anchors", page.links)
+    out["details"] = _labelled(page, dl, DETAIL_LABELS, "anchors", page.links)
     out["specific"] = [page.solid_text(b) for b in page.inside(0, "pre", SPECIFIC_CLASS)]
     if section is not None:
         out["ecosystem"] = page.text(page.first(section, cls=ECOSYSTEM_CLASS))
@@ -378,7 +411,7 @@ def read_advisory(html):
         block = _range_block(page, section)
         if block is not None:
             out["range"] = _labelled(
-                page, block, "cells",
+                page, block, RANGE_LABELS, "cells",
                 lambda dd: [page.text(c) for c in page.inside(dd, cls=EVENT_CLASS)],
             )
     return out

@@ -43,8 +43,9 @@ FETCH_LOG = (
     "cve_id string, attempt int, status int, retry_after string, ts timestamp"
 )
 
-# What the HTML pass hands back for one advisory page. Both lists hold every
-# <dt> at any depth, in document order, labels in lower case.
+# What the HTML pass hands back for one advisory page. Both lists hold <dt>s of
+# any depth in document order, labels in lower case: of each label a column asks
+# for, the first without a value, the first with one and the first with a link.
 PARSED = """
     error string,
     has_page boolean,
