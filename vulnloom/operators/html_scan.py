@@ -253,11 +253,12 @@ class PageRecord:
 
     def inside(self, element, tag=None, cls=None):
         """Elements within ``element``, in order, of a tag and/or class."""
-        for i in range(element + 1, self.ends[element]):
-            if tag is not None and self.tags[i] != tag:
-                continue
-            if cls is None or self.has_class(i, cls):
-                yield i
+        tags, found = self.tags, range(element + 1, self.ends[element])
+        if tag is not None:
+            found = (i for i in found if tags[i] == tag)
+        if cls is not None:
+            found = (i for i in found if self.has_class(i, cls))
+        return iter(found)
 
     def has_class(self, element, cls):
         value = self.attrs[element].get("class", "")
@@ -277,7 +278,7 @@ class PageRecord:
         """Text with runs set apart and whitespace normalised."""
         if element is None:
             return ""
-        return " ".join(word for run in self.runs(element) for word in run.split())
+        return " ".join(" ".join(self.runs(element)).split())
 
     def solid_text(self, element):
         """Text with each run trimmed and nothing put between runs."""
@@ -285,12 +286,13 @@ class PageRecord:
 
     def values(self, block):
         """(label, value) elements of a block: a dt and the next dd beside it, or None."""
-        after, found = {}, []
+        tags, parents, after, found = self.tags, self.parents, {}, []
         for i in range(self.ends[block] - 1, block, -1):
-            if self.tags[i] == "dd":
-                after[self.parents[i]] = i
-            elif self.tags[i] == "dt":
-                found.append((i, after.get(self.parents[i])))
+            tag = tags[i]
+            if tag == "dd":
+                after[parents[i]] = i
+            elif tag == "dt":
+                found.append((i, after.get(parents[i])))
         return found[::-1]
 
     def enclosing(self, element, cls):
@@ -337,9 +339,12 @@ class Tokenizer(HTMLParser):
             self.record.markup()
 
 
+LONGEST_LABEL = max(map(len, DETAIL_LABELS | RANGE_LABELS))
+
+
 def _label(page, dt, labels):
     """The label in lower case; None, found out early, when it is none of ``labels``."""
-    words, room = [], max(map(len, labels))
+    words, room = [], LONGEST_LABEL
     for run in page.runs(dt):
         for word in run.split():
             words.append(word)
