@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from vulnloom.llm.common import Memo, batches, id_texts
 
 N_BEST = 4
-MEMO_WORDS = 250_000
+MEMO_WORDS = 500_000
 
 _SPACE = "▁"
 _WORDS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
@@ -52,27 +53,76 @@ class Lattice:
         for i, piece in enumerate(self.piece_of):
             if not (i in special or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.pieces[piece] = (i, model.get_score(i))
+        #: Ends of pieces: a part of a text that is none of them ends no piece, nor does a longer one.
+        self.tails = {p[i:] for p in self.pieces for i in range(len(p))}
         self.unknown = min(s for _, s in self.pieces.values()) - 10
-        self.longest = max(map(len, self.pieces))
         pairs = {a + b for p in self.pieces for a, b in zip(p, p[1:])}
         #: Whether pieces never cross the place before a comma or full stop after a letter, nor a line end.
         self.marks_apart = not any(b in ",." and a.isalpha() or "\n" in (a, b) for a, b in pairs)
         self.bytes_of = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.piece_of)]
 
     def edges(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each end, (start, ids, score) of the edges that end there."""
-        find, longest = self.pieces.get, self.longest
+        """For each end, (start, ids, score) of the edges that end there, shortest first."""
+        find, tails = self.pieces.get, self.tails
         ends: list[list] = [[] for _ in range(len(text) + 1)]
         for end in range(1, len(text) + 1):
             own = ends[end]
-            for start in range(max(0, end - longest), end):
-                hit = find(text[start:end])
+            for start in range(end - 1, -1, -1):
+                part = text[start:end]
+                if part not in tails:
+                    break
+                hit = find(part)
                 if hit is not None:
                     own.append((start, (hit[0],), hit[1]))
-            if not own or own[-1][0] != end - 1:
-                own.append((end - 1, tuple(self.byte_ids[b] for b in text[end - 1].encode()), self.unknown))
+            if not own or own[0][0] != end - 1:
+                own.append((end - 1, self._bytes(text[end - 1]), self.unknown))
         return ends
 
+    def _bytes(self, char: str) -> tuple[int, ...]:
+        return tuple(self.byte_ids[b] for b in char.encode())
+
+    def two_best(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        """The ids and score of a best segmentation, and what the next best loses: Viterbi scores of
+        the best and the second best way to each place."""
+        find, tails, unknown = self.pieces.get, self.tails, self.unknown
+        first, second, back = [0.0], [-np.inf], [None]
+        for end in range(1, len(text) + 1):
+            best = next_best = -np.inf
+            edge, single = None, False
+            for start in range(end - 1, -1, -1):
+                part = text[start:end]
+                if part not in tails:
+                    break
+                hit = find(part)
+                if hit is None:
+                    continue
+                single = single or start == end - 1
+                score = first[start] + hit[1]
+                if score > best:
+                    best, next_best, edge = score, best, (start, hit[0])
+                elif score > next_best:
+                    next_best = score
+                score = second[start] + hit[1]
+                if score > next_best:
+                    next_best = score
+            if not single:
+                score = first[end - 1] + unknown
+                if score > best:
+                    best, next_best, edge = score, best, (end - 1, None)
+                elif score > next_best:
+                    next_best = score
+                next_best = max(next_best, second[end - 1] + unknown)
+            first.append(best)
+            second.append(next_best)
+            back.append(edge)
+        ids: list[int] = []
+        end = len(text)
+        while end:
+            start, piece = back[end]
+            ids.extend((piece,) if piece is not None else reversed(self._bytes(text[start])))
+            end = start
+        return tuple(reversed(ids)), first[-1], first[-1] - second[-1]
+
     def n_best(self, text: str, n: int) -> list[Path]:
         """The n best segmentations of a text as (score, ids), best first."""
         ends = self.edges(text)
@@ -113,13 +163,12 @@ class Segmenter:
     def __init__(self, path: str, n: int = N_BEST) -> None:
         self.lattice = Lattice(path)
         self.n, self.two_best = n, Memo(self._two_best, MEMO_WORDS)
-        self.n_best = lru_cache(maxsize=20_000)(lambda word: self.lattice.n_best(word, n))
+        self.n_best = lru_cache(maxsize=20_000)(
+            lambda word: [(score, array("I", ids).tobytes()) for score, ids in self.lattice.n_best(word, n)])
 
     def _two_best(self, word: str) -> tuple[bytes, float, float]:
-        """The best ids as bytes, the best score, and what the second best loses."""
-        paths = self.lattice.n_best(word, 2)
-        score, ids = paths[0]
-        return np.array(ids, "<u4").tobytes(), score, score - paths[1][0] if len(paths) > 1 else np.inf
+        ids, score, loss = self.lattice.two_best(word)
+        return array("I", ids).tobytes(), score, loss
 
     def words(self, text: str) -> list[str]:
         """Parts of a text that no piece crosses."""
@@ -139,25 +188,26 @@ class Segmenter:
         if not words:
             return [(0.0, b"")]
         best, scores, losses = zip(*map(self.two_best.__getitem__, words))
-        total = sum(scores)
+        total, best = sum(scores), list(best)
         # The n best differ from the best in the n - 1 words of least loss only.
         odd = range(len(words))
         if len(words) >= self.n > 1:
             odd = sorted(np.argpartition(np.array(losses), self.n - 2)[:self.n - 1].tolist())
+        paths = {at: self.n_best(words[at]) for at in odd}
         kept: list[tuple[float, tuple]] = [(0.0, ())]
-        for at in odd:
-            paths = self.n_best(words[at])
-            grown = [(loss + paths[0][0] - score, (*choice, (at, i)) if i else choice)
-                     for loss, choice in kept for i, (score, _) in enumerate(paths)]
+        for at, own in paths.items():
+            best[at] = own[0][1]
+            grown = [(loss + own[0][0] - score, (*choice, (at, ids)) if i else choice)
+                     for loss, choice in kept for i, (score, ids) in enumerate(own)]
             grown.sort(key=lambda x: x[0])
             kept = grown[:self.n]
         out = []
         for loss, choice in kept:
             parts = best
             if choice:
-                parts = list(best)
-                for at, i in choice:
-                    parts[at] = np.array(self.n_best(words[at])[i][1], "<u4").tobytes()
+                parts = best.copy()
+                for at, ids in choice:
+                    parts[at] = ids
             out.append((total - loss, b"".join(parts)))
         return out
 

@@ -15,6 +15,7 @@ little-endian unsigned 32-bit bytes. How a text is cut follows from its characte
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ from vulnloom.llm.common import Memo
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 250_000
+MEMO_WORDS = 600_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -46,7 +47,7 @@ class Encoder:
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, ID).tobytes()
+        return array("I", ids).tobytes()
 
     def words(self, text: str) -> list[str]:
         if _SEPARATOR.search(text):
