@@ -51,27 +51,30 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Itera
 
 
 class Memo(dict):
-    """What ``find`` gives for a word, for up to twice ``room`` words of up to ``longest`` characters.
+    """What ``find`` gives for a word, remembered for words of up to 48 characters.
 
-    When full, it starts anew and takes over from the one before what is asked again.
+    ``renewed()`` gives the memo to go on with: once this one holds ``room`` words, a new one
+    that takes over from it what is asked again. Up to twice ``room`` are kept.
     """
 
-    def __init__(self, find: Callable, room: int, longest: int = 48) -> None:
+    def __init__(self, find: Callable, room: int, before: dict | None = None) -> None:
         super().__init__()
-        self.find, self.room, self.longest = find, room, longest
-        self.before: dict = {}
+        self.find, self.room, self.before = find, room, before or {}
 
     def __missing__(self, word):
         value = self.before.get(word)
         if value is None:
             value = self.find(word)
-        if len(word) <= self.longest:
-            if len(self) >= self.room:
-                self.before = dict(self)
-                self.clear()
+        if len(word) <= 48:
             self[word] = value
         return value
 
+    def renewed(self) -> Memo:
+        if len(self) < self.room:
+            return self
+        self.before = {}
+        return Memo(self.find, self.room, self)
+
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)]

@@ -30,7 +30,7 @@ from vulnloom.llm.common import id_texts, width
 from vulnloom.llm.tokens import END, ID, encoder
 
 BLOCK = 65536
-LEVEL = 3
+LEVEL = 1
 
 _PART = pa.struct([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.int64()),
                    ("n", pa.int32()), ("n_tokens", pa.int64())])
@@ -168,13 +168,10 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
             yield pa.array([joined_crc([(4 * p["n"], p["crc"]) for p in parts]) for parts in own.to_pylist()], pa.int64())
 
     files = spark.read.schema(FILE).parquet(path)
-    parts = files.mapInArrow(run, f"{_PARTS}, crc long")
-    whole = F.col("n") == F.col("n_tokens")
     key = ["shard", "doc_id", "first", "n_tokens"]
-    cut = (parts.where(~whole).groupBy(key)
-           .agg(F.array_sort(F.collect_list(F.struct("at", "n", "crc"))).alias("own"))
-           .select(*key, F.arrow_udf(join, "long")("own").alias("ids_crc32")))
-    each = parts.where(whole).select(*key, F.col("crc").alias("ids_crc32")).unionByName(cut)
+    each = (files.mapInArrow(run, f"{_PARTS}, crc long").groupBy(key)
+            .agg(F.array_sort(F.collect_list(F.struct("at", "n", "crc"))).alias("own"))
+            .select(*key, F.arrow_udf(join, "long")("own").alias("ids_crc32")))
     # One row per shard, and a shard is a partition of the write: a table of fixed size.
     sizes = files.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from vulnloom.llm.common import Memo, batches, id_texts
 
 N_BEST = 4
-MEMO_WORDS = 500_000
+MEMO_WORDS = 400_000
 
 _SPACE = "▁"
 _WORDS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
@@ -187,6 +187,7 @@ class Segmenter:
         words = self.words(text)
         if not words:
             return [(0.0, b"")]
+        self.two_best = self.two_best.renewed()
         best, scores, losses = zip(*map(self.two_best.__getitem__, words))
         total, best = sum(scores), list(best)
         # The n best differ from the best in the n - 1 words of least loss only.

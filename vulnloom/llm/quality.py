@@ -119,6 +119,7 @@ class WordWeights:
 
     def score(self, text: bytes) -> float:
         own = words(text)
+        self.of = self.of.renewed()
         total = sum(map(self.of.__getitem__, own), 0j) + repeats(own) * self.of[SAME]
         mean = total.real / total.imag if total.imag else 0.0
         return float(1 / (1 + np.exp(-(mean + float(self.fold[-1])))))

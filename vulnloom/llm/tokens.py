@@ -25,7 +25,7 @@ from vulnloom.llm.common import Memo
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 600_000
+MEMO_WORDS = 350_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -63,6 +63,7 @@ class Encoder:
         return cut.split("\x1f")
 
     def encode(self, text: str) -> bytes:
+        self.ids = self.ids.renewed()
         return b"".join(map(self.ids.__getitem__, self.words(text)))
 
 
