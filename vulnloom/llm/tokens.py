@@ -25,13 +25,16 @@ from vulnloom.llm.common import Memo
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 350_000
+MEMO_WORDS = 450_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
 _MARK_AFTER_OTHER = re.compile(rf"[,.](?<=[^\s{_LETTER}][,.])")
 _CASED_ODDLY = re.compile("[\u03a3\u0130]")
-_OTHER_SPACE = re.compile(r"[^\S \n]|\s(?<=\s\s)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_DOUBLE_SPACE = ("  ", "\n\n", " \n", "\n ")
+#: Stands before a part of a text that has no space before it.
+_CLOSE = "\x1f"
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s")
 
 
@@ -43,24 +46,28 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
-        self.ids = Memo(self.whole, MEMO_WORDS)
+        self.ids = Memo(self.spaced if keeps_space else self.whole, MEMO_WORDS)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def spaced(self, word: str) -> bytes:
+        return self.whole(word[1:] if word[:1] == _CLOSE else " " + word)
+
     def words(self, text: str) -> list[str]:
+        """The parts of a text. Where space is kept, one goes without its space, or is marked."""
         if _SEPARATOR.search(text):
-            return [text]
+            return [_CLOSE + text if self.keeps_space else text]
         fine = "'" not in text and not _MARK_AFTER_OTHER.search(text)
         if not self.keeps_space:
             if fine and not _CASED_ODDLY.search(text):
                 text = text.lower().replace(",", " ,").replace(".", " .")
             return text.split()
-        if not fine or _OTHER_SPACE.search(text):
-            return _SPACED.findall(text)
-        cut = text.replace(",", "\x1f,").replace(".", "\x1f.").replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f")
-        return cut.split("\x1f")
+        if not fine or any(pair in text for pair in _DOUBLE_SPACE) or _OTHER_SPACE.search(text):
+            return [_CLOSE + part for part in _SPACED.findall(text)]
+        cut = text.replace(",", f" {_CLOSE},").replace(".", f" {_CLOSE}.").replace("\n", f" {_CLOSE}\n {_CLOSE}")
+        return (_CLOSE + cut).split(" ")
 
     def encode(self, text: str) -> bytes:
         self.ids = self.ids.renewed()
