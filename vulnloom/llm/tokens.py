@@ -25,7 +25,7 @@ from vulnloom.llm.common import Memo
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 450_000
+MEMO_WORDS = 800_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
