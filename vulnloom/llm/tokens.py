@@ -25,7 +25,7 @@ from vulnloom.llm.common import Memo
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 800_000
+MEMO_WORDS = 600_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -46,6 +46,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
+        #: By id, whether its string starts with the sign for a space.
+        self.spaced_id = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.spaced_id[[i for word, i in self.tokenizer.get_vocab().items() if word[0] == "\u0120"]] = True
         self.ids = Memo(self.spaced if keeps_space else self.whole, MEMO_WORDS)
 
     def whole(self, text: str) -> bytes:
@@ -70,8 +73,24 @@ class Encoder:
         return (_CLOSE + cut).split(" ")
 
     def encode(self, text: str) -> bytes:
-        self.ids = self.ids.renewed()
-        return b"".join(map(self.ids.__getitem__, self.words(text)))
+        self.ids = own = self.ids.renewed()
+        parts = self.words(text)
+        found = list(map(own.get, parts))
+        if None in found:
+            if self.keeps_space:
+                self._learn({part for part, ids in zip(parts, found) if ids is None})
+            found = map(own.__getitem__, parts)
+        return b"".join(found)
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode new words in one call, each after a space; where ids start with one, a word starts."""
+        own, before = self.ids, self.ids.before
+        new = [p for p in parts if p and p[0] != _CLOSE and len(p) <= 48 and p not in before]
+        ids = np.array(self.tokenizer.encode(" " + " ".join(new), add_special_tokens=False).ids if new else [], ID)
+        start = np.flatnonzero(self.spaced_id[ids])
+        if len(start) == len(new):
+            raw, at = ids.tobytes(), (4 * start).tolist()
+            own.update(zip(new, (raw[a:b] for a, b in zip(at, [*at[1:], len(raw)]))))
 
 
 @lru_cache(maxsize=2)
