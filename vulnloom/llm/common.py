@@ -76,6 +76,17 @@ class Memo(dict):
         return Memo(self.find, self.room, self)
 
 
+_kept: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What ``make`` gives, kept by this process from task to task until another key is asked."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -51,7 +51,11 @@ def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     if len(planes) == 4:
-        octets = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
+        octets = np.zeros((n, 4), np.uint8)
+        for i, plane in enumerate(planes):
+            own = np.frombuffer(plane, np.uint8)
+            if own.any():
+                octets[:, i] = own
     else:
         bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n, bitorder="little") for p in planes], axis=1)
         octets = np.packbits(bits, axis=1, bitorder="little")

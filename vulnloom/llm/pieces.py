@@ -26,7 +26,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from vulnloom.llm.common import Memo, batches, id_texts
+from vulnloom.llm.common import Memo, batches, id_texts, kept
 
 N_BEST = 4
 MEMO_WORDS = 400_000
@@ -213,9 +213,8 @@ class Segmenter:
         return out
 
 
-@lru_cache(maxsize=1)
 def segmenter(path: str, n: int) -> Segmenter:
-    return Segmenter(path, n)
+    return kept(("segmenter", path, n), lambda: Segmenter(path, n))
 
 
 def encode(docs: DataFrame, model_path: str, n: int = N_BEST) -> DataFrame:

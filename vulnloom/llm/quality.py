@@ -11,14 +11,13 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnloom.llm.common import Memo, id_texts
+from vulnloom.llm.common import Memo, id_texts, kept
 
 BUCKETS = 1 << 17
 DIM = 16
@@ -125,9 +124,8 @@ class WordWeights:
         return float(1 / (1 + np.exp(-(mean + float(self.fold[-1])))))
 
 
-@lru_cache(maxsize=1)
 def _word_weights(fold: bytes) -> WordWeights:
-    return WordWeights(np.frombuffer(fold, np.float32))
+    return kept(("weights", zlib.crc32(fold), len(fold)), lambda: WordWeights(np.frombuffer(fold, np.float32)))
 
 
 def held_out() -> F.Column:

@@ -5,27 +5,26 @@ before they merge, so the ids of a text are the ids of its words one after anoth
 Words repeat; their ids are kept in a bounded memo of the worker process as
 little-endian unsigned 32-bit bytes. How a text is cut follows from its characters:
 
-* where commas and full stops follow letters or white space only, and there is no
-  apostrophe: at white space and before those two;
+* where white space has ids: before each space and around line ends;
+* where it is dropped: at white space, and also before commas and full stops where
+  these follow letters or white space only and there is no apostrophe;
 * holding U+001C to U+001F, which Python takes for white space and the tokenizers do
-  not: nowhere;
-* any other: at white space.
+  not: nowhere.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from vulnloom.llm.common import Memo
+from vulnloom.llm.common import Memo, kept
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -62,38 +61,38 @@ class Encoder:
         """The parts of a text. Where space is kept, one goes without its space, or is marked."""
         if _SEPARATOR.search(text):
             return [_CLOSE + text if self.keeps_space else text]
-        fine = "'" not in text and not _MARK_AFTER_OTHER.search(text)
-        if not self.keeps_space:
-            if fine and not _CASED_ODDLY.search(text):
-                text = text.lower().replace(",", " ,").replace(".", " .")
-            return text.split()
-        if not fine or any(pair in text for pair in _DOUBLE_SPACE) or _OTHER_SPACE.search(text):
-            return [_CLOSE + part for part in _SPACED.findall(text)]
-        cut = text.replace(",", f" {_CLOSE},").replace(".", f" {_CLOSE}.").replace("\n", f" {_CLOSE}\n {_CLOSE}")
-        return (_CLOSE + cut).split(" ")
+        if self.keeps_space:
+            if any(pair in text for pair in _DOUBLE_SPACE) or _OTHER_SPACE.search(text):
+                return [_CLOSE + part for part in _SPACED.findall(text)]
+            return (_CLOSE + text.replace("\n", f" {_CLOSE}\n {_CLOSE}")).split(" ")
+        if "'" not in text and not _MARK_AFTER_OTHER.search(text) and not _CASED_ODDLY.search(text):
+            text = text.lower().replace(",", " ,").replace(".", " .")
+        return text.split()
 
     def encode(self, text: str) -> bytes:
         self.ids = own = self.ids.renewed()
         parts = self.words(text)
         found = list(map(own.get, parts))
         if None in found:
-            if self.keeps_space:
-                self._learn({part for part, ids in zip(parts, found) if ids is None})
-            found = map(own.__getitem__, parts)
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            if self.keeps_space and len(missing) > 4:
+                self._learn({parts[i] for i in missing})
+            for i in missing:
+                found[i] = own[parts[i]]
         return b"".join(found)
 
     def _learn(self, parts: set[str]) -> None:
         """Encode new words in one call, each after a space; where ids start with one, a word starts."""
         own, before = self.ids, self.ids.before
         new = [p for p in parts if p and p[0] != _CLOSE and len(p) <= 48 and p not in before]
-        ids = np.array(self.tokenizer.encode(" " + " ".join(new), add_special_tokens=False).ids if new else [], ID)
+        [found] = self.tokenizer.encode_batch_fast([" " + " ".join(new) if new else ""], add_special_tokens=False)
+        ids = np.array(found.ids, ID)
         start = np.flatnonzero(self.spaced_id[ids])
         if len(start) == len(new):
             raw, at = ids.tobytes(), (4 * start).tolist()
             own.update(zip(new, (raw[a:b] for a, b in zip(at, [*at[1:], len(raw)]))))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, keeps_space: bool) -> Encoder:
     """The encoder of this process, kept from task to task."""
-    return Encoder(path, keeps_space)
+    return kept(("encoder", path, keeps_space), lambda: Encoder(path, keeps_space))
