@@ -1,0 +1,372 @@
+"""Corpus operators against brute force, round trips and edge cases."""
+
+import hashlib
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from vulnloom.llm import id_files, licenses, neighbours, packing, passages, pieces, quality, repeats, simhash, tokens, top_k
+from vulnloom.llm.components import components
+from vulnloom.llm.queries import BYTE_BPE, PIECES, WORD_BPE, ORACLES, QUERIES
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, links string, rest int"
+
+
+def docs_of(spark, texts):
+    rows = [(i, t, None, None, None if t is None else len(t), "x", 1) for i, t in texts]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+def prose(rng, n, words=400):
+    return " ".join(f"w{rng.randrange(words)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Copies, near copies, shared passages, repeats inside a text, odd and empty texts."""
+    rng = random.Random(3)
+    passage = prose(rng, 80, 10_000)
+    texts = [prose(rng, n, 5_000) for n in (3, 30, 60, 200, 400, 900)]
+    texts += [texts[4], texts[4], texts[5].replace("w1", "x1"), f"{texts[1]} {passage} {texts[2]}", f"{texts[3]}\n{passage}",
+              "a" * 700, "ab" * 300, "é漢字 " * 120, "", None, " \t\n", f"{passage} {passage}", "x" * 99, "x" * 100]
+    return [(10 * i, t) for i, t in enumerate(texts)]
+
+
+def brute_repeats(docs, window=100):
+    first, out = {}, {}
+    for doc_id, text in sorted(docs):
+        gone = bytearray(len(text))
+        for i in range(len(text) - window + 1):
+            if first.setdefault(text[i:i + window], (doc_id, i)) != (doc_id, i):
+                gone[i:i + window] = b"\1" * window
+        out[doc_id] = bytes(gone)
+    return out
+
+
+@pytest.mark.parametrize("many", [0, 16])
+def test_repeats_are_those_of_brute_force(spark, corpus, monkeypatch, many):
+    monkeypatch.setattr(repeats, "MANY", many)
+    want = brute_repeats([(i, (t or "").encode()) for i, t in corpus])
+    for row in repeats.deduplicated(docs_of(spark, corpus)).collect():
+        gone = bytearray(row.n_bytes)
+        for s in row.spans:
+            gone[s.start:s.end] = b"\1" * (s.end - s.start)
+        text = (dict(corpus)[row.doc_id] or "").encode()
+        assert bytes(gone) == want[row.doc_id]
+        assert row.kept == bytes(b for b, g in zip(text, gone) if not g)
+
+
+def test_long_texts_are_compared_in_overlapping_parts(monkeypatch):
+    from vulnloom.llm import shared_runs
+
+    text = random.Random(1).randbytes(3 * shared_runs.BLOB + 50)
+    held = [s for group in shared_runs.segments([(1, text)], 100) for s in group]
+    windows = [at + i for _, at, part in held for i in range(len(part) - 99)]
+    assert windows == list(range(len(text) - 99))
+
+
+@pytest.mark.parametrize("path, spaced", [(WORD_BPE, False), (BYTE_BPE, True)])
+def test_word_by_word_ids_are_those_of_whole_texts(corpus, path, spaced):
+    odd = ["a  b   c\n\n d \t e\r\n'sX it's  ", "  lead", "trail  ", "\n", "a b c", "é ́x", "<|endoftext|>x",
+           "ΑΣ Σ İ ǅ", "a\x1cb", "\x1f", "x.,y!,z. a,b.c", "don't 'S 3,000.5 ² œ, ª."]
+    encoder = tokens.Encoder(path, spaced)
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    for text in odd + [t or "" for _, t in corpus]:
+        assert encoder.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def test_memo_hands_over():
+    found = []
+    memo = tokens.Memo(lambda w: found.append(w) or w.upper(), 2)
+    for word in "a b a c".split():
+        memo = memo.renewed()
+        assert memo[word] == word.upper()
+    assert found == ["a", "b", "c"] and len(memo) == 2
+
+
+def test_packing_is_gapless_and_dense(spark, corpus):
+    rows = packing.pack(docs_of(spark, corpus), WORD_BPE, room=64, open_bins=32).collect()
+    whole = Tokenizer.from_file(WORD_BPE)
+    want = {i: [*whole.encode(t or "", add_special_tokens=False).ids, 0] for i, t in corpus}
+    assert {(r.doc_id, r.piece) for r in rows} == {(i, p) for i, ids in want.items() for p in range(-(-len(ids) // 64))}
+    for r in rows:
+        own = want[r.doc_id][64 * r.piece:64 * r.piece + 64]
+        assert (r.start, r.length, r.ids_crc32) == (64 * r.piece, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 64
+    shards = len({s >> 40 for s in by_sequence})
+    assert len(by_sequence) <= -(-sum(map(len, want.values())) // 64) + shards
+
+
+def test_the_fullest_bin_closes_first():
+    bins = packing.OpenBins(10, 2)
+    assert [bins.place(n) for n in (4, 6, 7, 3, 5)] == [(0, 0), (0, 4), (1, 0), (1, 7), (2, 0)]
+    bins = packing.OpenBins(10, 1)
+    assert [bins.place(n) for n in (9, 8, 1, 2)] == [(0, 0), (1, 0), (1, 8), (2, 0)]
+
+
+@pytest.mark.parametrize("kind, block", [("byte", 7), ("bit", 64), ("byte", 1 << 16)])
+def test_ids_come_back_from_files(spark, corpus, tmp_path, kind, block):
+    path = str(tmp_path / "ids")
+    id_files.write_ids(docs_of(spark, corpus), path, BYTE_BPE, kind, block)
+    whole = Tokenizer.from_file(BYTE_BPE)
+    at = 0
+    index = {r.doc_id: r for r in id_files.document_index(spark, path).collect()}
+    parts = {}
+    for r in id_files.read_parts(spark, path).collect():
+        parts.setdefault(r.doc_id, []).append((r.at, bytes(r.ids)))
+    for i, text in sorted(corpus):
+        ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert b"".join(p for _, p in sorted(parts[i])) == ids
+        assert (index[i].start, index[i].n_tokens, index[i].ids_crc32) == (at, len(ids) // 4, zlib.crc32(ids))
+        at += len(ids) // 4
+
+
+def segmentations(lattice, text):
+    if not text:
+        yield 0.0, ()
+        return
+    for end in range(1, len(text) + 1):
+        hit = lattice.pieces.get(text[:end])
+        edge = (hit[1], (hit[0],)) if hit else (lattice.unknown, lattice._bytes(text[0])) if end == 1 else None
+        if edge:
+            for score, ids in segmentations(lattice, text[end:]):
+                yield edge[0] + score, (*edge[1], *ids)
+
+
+@pytest.mark.parametrize("text", ["ab cd.", "the, cat", "漢x 字", " a  b", "x\ny", "aaaa", "𝄞", "", "a.,b", "▁a"])
+def test_n_best_are_those_of_all_segmentations(text):
+    own = pieces.Segmenter(PIECES, 6)
+    marked = "▁" + text.replace(" ", "▁") if text else ""
+    every = sorted((-s, ids) for s, ids in set(segmentations(own.lattice, marked)))
+    found = [(s, tuple(np.frombuffer(ids, "<u4").tolist())) for s, ids in own.encode(text)]
+    assert [s for s, _ in found] == [-s for s, _ in every[:6]]
+    assert len(set(found)) == len(found) and {(-s, ids) for s, ids in found} <= set(every)
+    for _, ids in found:
+        assert own.lattice.decode(ids) == text.replace("▁", " ")
+
+
+def test_encoded_texts_decode(spark, corpus):
+    encoded = pieces.encode(docs_of(spark, corpus), PIECES, 3)
+    ids = encoded.select("doc_id", F.posexplode("nbest").alias("rank", "one")).select("doc_id", "rank", "one.ids")
+    for r in pieces.decode(ids, PIECES).collect():
+        assert r.text == (dict(corpus)[r.doc_id] or "")
+    assert all(r.decoded_same for r in pieces.digest(docs_of(spark, corpus), PIECES).collect())
+
+
+def brute_fingerprint(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    runs = [b" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_simhash_components(spark, corpus):
+    prints = {i: brute_fingerprint(t) for i, t in corpus}
+    linked = [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    want = {i: (f"{prints[i]:016x}", r) for i, r in roots(prints, linked).items()}
+    rows = simhash.near_duplicates(docs_of(spark, corpus)).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == want
+
+
+@pytest.mark.parametrize("tile", [4, 2048])
+def test_links_join_what_close_pairs_join(spark, tile):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    fps = sorted({(b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(5)))) & (1 << 64) - 1 for b in base for _ in range(60)})
+    fps += [fps[0] ^ 1 << 63, fps[-1] ^ 1 << 63 ^ 5]  # apart in the sign bit
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    frame = spark.createDataFrame([(f,) for f in signed], "fp long")
+    found = [(r.a, r.b) for r in simhash.links(frame, tile=tile).collect()]
+    pairs = [(signed[i], signed[j]) for i, j in combinations(range(len(fps)), 2) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    assert roots(signed, found) == roots(signed, pairs)
+    got = components(spark.createDataFrame(found, "a long, b long"))
+    want = {n: r for n, r in roots(signed, pairs).items() if any(n in p for p in pairs)}
+    assert {r.node: r.root for r in got.collect()} == want
+
+
+def test_passages_are_cut_and_clean_texts_are_not(spark):
+    rng = random.Random(7)
+    passage = prose(rng, 120, 50_000).split()
+    fuzzy = [w if rng.random() > 0.06 else "changed" for w in passage]
+    del fuzzy[40:43]
+    own = [prose(rng, 150, 50_000) for _ in range(5)]
+    texts = [(1, f"{own[0]} {' '.join(passage)} end"), (2, f"{own[1]} {' '.join(fuzzy)} {own[2]}"), (3, own[3]), (4, own[4]),
+             (5, f"{own[3]}"), (6, " ".join(passage[:40])), (7, ""), (8, None)]
+    got = {r.doc_id: r for r in passages.deduplicated(docs_of(spark, texts), carry=["links", "rest"]).collect()}
+    assert {i for i, r in got.items() if r.spans} == {2, 5}
+    assert [s.like for s in got[2].spans] == [1] and abs(len(got[2].kept.split()) - 300) <= 6
+    assert got[5].kept == "" and got[8].kept == "" and got[3].rest.asDict() == {"links": "x", "rest": 1}
+
+
+def test_chains_go_up_in_both_texts():
+    at, to = np.array([0, 6, 12, 18, 200, 206]), np.array([10, 16, 3, 28, 210, 216])
+    assert sorted(map(tuple, passages.chains(at, to))) == [(0, 1, 3), (2,), (4, 5)]
+
+
+def vectors_of(spark, n=900, seed=2):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 8))
+    x[n // 2:n // 2 + n // 3] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    odd = [(n, None), (n + 1, [1.0, None] + [0.0] * 6), (n + 2, [float("nan")] * 8), (n + 3, []), (None, [1.0] * 8), (3, x[3].tolist()),
+           (n + 5, [0.0] * 8), (n + 6, [float("inf")] * 8)]
+    return x, spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").repartition(4)
+
+
+def test_top_k_is_exact_with_ties(spark, monkeypatch):
+    from vulnloom.llm import vectors
+
+    monkeypatch.setattr(vectors.indexed, "__defaults__", (100,))
+    x, frame = vectors_of(spark)
+    whole = np.vstack([np.floor(64 * x), np.zeros(8)]).astype(np.int64)
+    ids = [*range(len(x)), len(x) + 5]
+    rows = {}
+    for r in top_k.top_k(frame).collect():
+        rows.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(rows) == {i for i in ids if i % 20 == 0}
+    for q, found in rows.items():
+        scores = whole @ whole[ids.index(q)]
+        want = sorted((-int(s), i) for i, s in zip(ids, scores) if i != q)[:20]
+        assert sorted(found) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+
+
+def test_nearest_finds_nine_of_ten(spark):
+    x, frame = vectors_of(spark, 2000, 4)
+    rows = {}
+    for r in neighbours.nearest(frame).collect():
+        rows.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = 0
+    for q, found in rows.items():
+        scores = x @ x[q]
+        least = sorted(s for i, s in enumerate(scores) if i != q)[-20]
+        assert len(found) == 20 and q not in {i for _, i, _ in found}
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 21))
+        assert all(abs(s - scores[i]) < 1e-12 for _, i, s in found)
+        hits += sum(s >= least - 1e-12 for _, _, s in found)
+    assert len(rows) == 100 and hits >= 0.9 * 2000
+
+
+def test_quality_learns_and_keeps_held_out_rows_out(spark):
+    rng = random.Random(8)
+    good = [(i, prose(rng, 60)) for i in range(150)]
+    bad = [(i, " ".join(f"### w{rng.randrange(400)}!!" for _ in range(40))) for i in range(150, 220)]
+    docs = docs_of(spark, good + bad + [(500, None), (501, "")])
+    rows = [(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad] + [(500, 7), (None, 1), (501, None), (0, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert len(got) == 222 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
+    assert {i for i, r in got.items() if r.held_out} == {i for i in got if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert all(got[i].predicted == 1 for i, _ in good) and all(got[i].predicted == 0 for i, _ in bad)
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert {r.doc_id: r.score for r in quality.classify(docs, flipped).collect()} == {i: r.score for i, r in got.items()}
+    none = quality.classify(docs, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+
+
+def test_license_templates_and_phrases(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    texts = [(1, "Released under the MIT License."), (2, f"{long} under cc by nc {long}"), (3, "all rights\nreserved"),
+             (4, "This work is licensed under the GNU General Public License."), (5, None), (6, "ALL RIGHTS RESERVED the mit license the mit license"),
+             (7, f"{long} Licensed under the Apache License, Version 2.0 {long}"), (8, "")]
+    got = {r.doc_id: r for r in licenses.scan(docs_of(spark, texts)).collect()}
+    assert {i: r.labels for i, r in got.items()} == {
+        1: "mit", 2: "cc-by-nc", 3: "", 4: "gpl-3", 5: "", 6: "all-rights-reserved,mit", 7: "apache-2", 8: ""}
+    assert (got[6].n_base, got[6].first_word, got[6].last_word, got[6].n_words) == (2, 3, 6, 9)
+    assert got[2].first_word == 201 and got[4].score == pytest.approx(10 / 12) and got[5].score == 0
+
+
+@pytest.mark.parametrize("name", ["op3_exact_top_k", "op10_license_scan"])
+def test_query_against_sql(spark, sf_dir, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    frame = QUERIES[name](spark, sf_dir)
+    columns = sorted(frame.columns)
+    found = con.execute(ORACLES[name])
+    at = [[d[0] for d in found.description].index(c) for c in columns]
+    want = sorted((tuple(row[i] for i in at) for row in found.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr) == want and want
+
+
+EMPTY = {
+    "op1": lambda d: repeats.deduplicated(d), "op2": lambda d: packing.pack(d, WORD_BPE), "op4": lambda d: pieces.digest(d, PIECES),
+    "op6": lambda d: simhash.near_duplicates(d), "op7": lambda d: passages.deduplicated(d), "op10": lambda d: licenses.scan(d),
+}
+
+
+@pytest.mark.parametrize("name", EMPTY)
+def test_empty_tables_and_rows_without_id(spark, name):
+    assert EMPTY[name](spark.createDataFrame([], DOCS)).count() == 0
+    assert EMPTY[name](docs_of(spark, [(None, "a b c"), (None, None)])).count() == 0
+
+
+@pytest.mark.parametrize("name", EMPTY)
+def test_repeated_rows(spark, corpus, name):
+    """Rows that repeat a doc_id get one result each, as if alone, but for where they are packed."""
+    twice = docs_of(spark, [corpus[3], corpus[3], corpus[1]])
+    rows = [r.asDict() for r in EMPTY[name](twice).collect()]
+    for r in rows:
+        r.pop("sequence_id", None), r.pop("offset", None)
+    own = [str(r) for r in rows if r["doc_id"] == corpus[3][0]]
+    assert len(own) % 2 == 0 and len(own) == 2 * len(set(own))
+
+
+def test_empty_files_and_vectors(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    id_files.write_ids(spark.createDataFrame([], DOCS), path, BYTE_BPE)
+    assert id_files.document_index(spark, path).count() == 0
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert top_k.top_k(none).count() == 0 and neighbours.nearest(none).count() == 0
+
+
+def test_kept_bytes_are_digested_as_sha256(spark, sf_dir):
+    rows = QUERIES["op1_suffix_array_dedup"](spark, sf_dir).collect()
+    texts = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    whole = [r for r in rows if not r.n_removed]
+    assert whole and all(r.kept_sha256 == hashlib.sha256(texts[r.doc_id]).hexdigest() for r in whole)
+
+
+def test_pipeline_stages_follow_each_other(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        after = pipeline.staged(stage(spark, docs, sf_dir), "test-stage")
+        assert after.columns == docs.columns and 0 < after.count() <= docs.count()
+        assert after.join(docs, "doc_id", "left_anti").count() == 0
+        docs = after
+    assert simhash.near_duplicates(docs).groupBy("component_id").count().where("count > 1").count() <= 1
+    assert pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").distinct().count() == docs.count()

@@ -151,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> bytes:
         fold = train([t for _, t, _ in rows], [q for _, _, q in rows])
         yield pa.RecordBatch.from_arrays([pa.array([fold.tobytes()], pa.binary())], names=["fold"])
 
-    return bytes(learned.repartition(1).mapInArrow(run, "fold binary").first()[0])
+    trained = learned.repartition(1).mapInArrow(run, "fold binary").head()
+    return bytes(trained[0]) if trained else train([], []).tobytes()
 
 
 def scores(fold: bytes, text: F.Column) -> F.Column:

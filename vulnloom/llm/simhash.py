@@ -65,15 +65,16 @@ def block_masks(blocks: int, distance: int) -> list[int]:
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Edges that join what close fingerprints of one tile join, one fewer than its members at most."""
+    bits = fps.view(np.uint64)  # a count of bits takes the size of a signed number
     if len(fps) == 2:
-        return [(fps[0], fps[1])] if int(np.bitwise_count(fps[0] ^ fps[1])) <= distance else []
+        return [(fps[0], fps[1])] if int(np.bitwise_count(bits[0] ^ bits[1])) <= distance else []
     left = np.arange(len(fps))
     edges = []
     while len(left):
         reached, left = left[:1], left[1:]
         while len(reached) and len(left):
             at, reached = reached[0], reached[1:]
-            near = np.bitwise_count(fps[left] ^ fps[at]) <= distance
+            near = np.bitwise_count(bits[left] ^ bits[at]) <= distance
             edges.extend((fps[at], fp) for fp in fps[left[near]])
             reached, left = np.concatenate([reached, left[near]]), left[~near]
     return edges
