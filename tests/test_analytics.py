@@ -165,3 +165,11 @@ def test_typed(spark):
     assert junk.aliases == [] and junk.package is None and junk.cvss_metrics is None
     assert top.cvss_score == Decimal("10.0") and top.cvss_metrics == {"AV": "N", "Au": "N"}
     assert wide.cvss_score is None
+
+
+def test_profile_of_nothing_has_every_column(spark):
+    from vulnloom.schema import RAW_COLUMNS
+    empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in RAW_COLUMNS))
+    for approximate in (False, True):
+        got = analytics.profile(empty, approximate=approximate).collect()
+        assert sorted((r.column, r.rows, r.filled, r.distinct_values) for r in got) == sorted((c, 0, 0, 0) for c in RAW_COLUMNS)

@@ -44,7 +44,8 @@ def landed(spark, lake):
 
 
 def rejected(spark, lake, run):
-    rows = spark.read.parquet(f"{rejects_path(lake)}/run={run}").collect()
+    rows = spark.read.parquet(rejects_path(lake)).filter(F.col("run") == run).collect()
+    assert len({(r.attempt, r.cve_id) for r in rows}) == len(rows)
     return {r.cve_id: r.reject_reason for r in rows}
 
 
@@ -126,19 +127,42 @@ def test_copies_of_a_page(spark, path):
     assert len(got) == 49 and set(got) == {r[0] for r in rows}
 
 
-@pytest.mark.parametrize("limit", ["both", "pending", "done", "neither"])
-def test_every_way_to_find_the_wanted_pages(spark, monkeypatch, limit):
-    pending = spark.createDataFrame([(f"p{i}",) for i in range(20)], "cve_id string")
-    done = spark.createDataFrame([(f"d{i}",) for i in range(20)], "cve_id string")
+@pytest.mark.parametrize("small", [True, False])
+def test_every_way_to_find_the_wanted_pages(spark, monkeypatch, small):
+    pending = spark.createDataFrame([(f"p{i}", i) for i in range(20)], "cve_id string, ord long")
     names = [f"{k}{i}" for k in "pd" for i in range(20)] * 2
-    pages = spark.createDataFrame([(n, 200, "x") for n in names], PAGES)
-    small = {"both": "pd", "pending": "p", "done": "d", "neither": ""}[limit]
-    monkeypatch.setattr(
-        merge, "id_bytes",
-        lambda ids: 0 if ids.first()[0][0] in small else merge.BROADCAST_BYTES + 1,
-    )
-    got = [r.cve_id for r in merge.wanted_pages(pages, pending, done).collect()]
-    assert sorted(got) == sorted(n for n in names if n.startswith("p"))
+    pages = spark.createDataFrame([(f" {n}\n", 200, "x") for n in names], PAGES)
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", 1 << 20 if small else -1)
+    got = [(r.cve_id, r.ord) for r in merge.wanted_pages(pages, pending).collect()]
+    assert sorted(got) == sorted((n, int(n[1:])) for n in names if n.startswith("p"))
+
+
+def test_untrimmed_ids_are_collected_once(spark, path):
+    ids = spark.createDataFrame([(1, " CVE-2024-1 "), (2, "CVE-2024-1")], IDS)
+    pages = spark.createDataFrame([(" CVE-2024-1 ", 200, FULL)], PAGES)
+    for run in (1, 2):
+        collect(ids, pages, path, run=run)
+    assert landed(spark, path) == [(1, 1, "CVE-2024-1")]
+
+
+def test_only_ids_tried_are_counted_and_refused(spark, path):
+    names = [f"CVE-2024-{n}" for n in range(1, 6)]
+    pages = pages_of(spark, CVE_2024_1=404, CVE_2024_2=True, CVE_2024_3=404, CVE_2024_4=True)
+    first = counters(collect(ids_of(spark, *names), pages, path, run=1, target=1))
+    assert (first["successes"], first["skipped"]) == (1, 1)
+    assert rejected(spark, path, 1) == {"CVE-2024-1": "http_error"}
+    again = counters(collect(ids_of(spark, *names), pages, path, run=1, target=1))
+    assert (again["successes"], again["skipped"]) == (0, 0)
+    assert spark.read.parquet(f"{path}/runs").filter("run = 1").agg(F.sum("successes")).first()[0] == 1
+    assert rejected(spark, path, 1) == {"CVE-2024-1": "http_error"}
+
+
+def test_an_accepted_id_is_not_refused(spark, path):
+    rows = [("CVE-2024-1", 404, None), ("CVE-2024-1", 404, None), ("CVE-2024-1", 200, FULL), ("CVE-2024-2", 404, None),
+            ("CVE-2024-2", 200, "<p>")]
+    done = counters(collect(ids_of(spark, "CVE-2024-1", "CVE-2024-2"), spark.createDataFrame(rows, PAGES), path, run=1))
+    assert (done["successes"], done["skipped"]) == (1, 1)
+    assert list(rejected(spark, path, 1)) == ["CVE-2024-2"]
 
 
 def test_id_bytes(spark):

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from vulnloom.plans.catalog import QUERIES
+from vulnloom.plans.oracles import ORACLES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -29,10 +31,11 @@ def in_order(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sf_dir, duck, name):
     frame = contract.queries()[name](spark, sf_dir)
     columns = sorted(frame.columns)
@@ -63,3 +66,15 @@ def test_session_zone_does_not_matter(spark, sf_dir, name):
         assert rows() == here
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("name, shrunk", [("ecosystem_counts", "part"), ("index_year_counts", "orders"), ("id_preview", "orders")])
+def test_answers_follow_the_tables(spark, sf_dir, tmp_path, name, shrunk):
+    """A query reads the given tables on every call."""
+    for t in TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{sf_dir}/{t}.parquet")
+    before = in_order(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
+    few = spark.read.parquet(f"{sf_dir}/{shrunk}.parquet").limit(20)
+    (tmp_path / f"{shrunk}.parquet").unlink()
+    few.write.parquet(str(tmp_path / f"{shrunk}.parquet"))
+    assert in_order(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()) != before

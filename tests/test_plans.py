@@ -6,12 +6,11 @@ import pytest
 from golden import FULL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from vulnloom.operators import analytics, index, merge
 from vulnloom.operators.extract import accepted, extract
 from vulnloom.operators.typed import typed
+from vulnloom.plans.catalog import QUERIES
 from vulnloom.schema import LISTING_PAGES, PAGES
-from vulnloom.session import spread
 from vulnloom.sources.dataset import append_by_year
 from vulnloom.sources.pages import read_pages
 
@@ -32,9 +31,9 @@ def lake_pages(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_query_pairs_rows_or_runs_a_row_udf(spark, sf_dir, name):
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert node not in plan
 
@@ -45,11 +44,6 @@ def test_pages_are_parsed_where_they_lie(spark, lake_pages):
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
 
 
-def test_many_files_are_left_as_they_are(spark, lake_pages):
-    pages = read_pages(spark, lake_pages)
-    assert len(pages.inputFiles()) >= 4 and "Exchange" not in plan_of(spread(pages))
-
-
 def test_a_narrow_question_computes_few_fields(spark, lake_pages):
     plan = plan_of(extract(read_pages(spark, lake_pages)).groupBy("cvss_version").count())
     assert "CVSS_V" in plan and "cna_assigner" not in plan
@@ -57,8 +51,7 @@ def test_a_narrow_question_computes_few_fields(spark, lake_pages):
 
 def test_small_id_sets_are_broadcast_and_years_pruned(spark, lake_pages):
     pending = spark.createDataFrame([("CVE-2021-0001",), ("GHSA-x",)], "cve_id string")
-    done = spark.createDataFrame([], "cve_id string")
-    wanted = merge.wanted_pages(read_pages(spark, lake_pages), pending, done)
+    wanted = merge.wanted_pages(read_pages(spark, lake_pages), pending)
     assert [r.cve_id for r in wanted.collect()] == ["CVE-2021-0001"]
     plan = plan_of(wanted)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
@@ -76,7 +69,7 @@ def test_too_many_years_prune_nothing(spark, lake_pages, monkeypatch):
 def test_large_id_sets_are_not_broadcast(spark, lake_pages, monkeypatch):
     monkeypatch.setattr(merge, "BROADCAST_BYTES", -1)
     ids = spark.range(10).select(F.col("id").cast("string").alias("cve_id"))
-    wanted = merge.wanted_pages(read_pages(spark, lake_pages), ids, ids)
+    wanted = merge.wanted_pages(read_pages(spark, lake_pages), ids)
     assert "ResolvedHint" not in wanted._jdf.queryExecution().analyzed().toString()
 
 

@@ -1,6 +1,6 @@
 from golden import EXPECTED, FULL
 
-from vulnloom.plans.collect import read_advisories, rejects_path
+from vulnloom.plans.collect import collect, read_advisories, rejects_path
 from vulnloom.schema import PAGES, RAW_COLUMNS
 from vulnloom.streaming.ingest import ingest, land, page_file_stream, page_stream
 
@@ -34,10 +34,28 @@ def test_each_id_lands_once(spark, tmp_path):
     assert run(spark, landing, lake) == want
     refused = spark.read.parquet(rejects_path(lake)).collect()
     assert sorted((r.run, r.cve_id, r.reject_reason) for r in refused) == [
-        (0, "CVE-2023-2", "http_error"), (0, "CVE-2024-1", "page_not_found"),
+        (0, "CVE-2023-2", "http_error"),
     ]
 
 
+def test_rejects_of_a_run_outlive_a_stream(spark, tmp_path):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    ids = spark.createDataFrame([(i, f"CVE-2024-{i}") for i in range(5)], "ord long, cve_id string")
+    collect(ids, spark.createDataFrame([], PAGES), lake, run=0)
+    drop(spark, landing, ("CVE-2024-9", 404, None))
+    run(spark, landing, lake)
+    assert spark.read.parquet(rejects_path(lake)).count() == 6
+
+
+def test_only_ids_of_a_batch_are_staged(spark, tmp_path):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    drop(spark, landing, *((f"CVE-2024-{n}", 200, FULL) for n in range(1, 40)))
+    run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-1", 200, FULL), ("CVE-2024-99", 200, FULL))
+    run(spark, landing, lake)
+    assert [r.cve_id for r in spark.read.parquet(f"{lake}/_staging/done").collect()] == ["CVE-2024-1"]
+
+
 def test_a_batch_run_again_adds_nothing(spark, tmp_path):
     landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
     drop(spark, landing, ("CVE-2024-1", 200, FULL), ("CVE-2024-2", 200, "<p>"))

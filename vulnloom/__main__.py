@@ -86,7 +86,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     sub = job("index", index, "listing", "ids")
-    sub.add_argument("--target", type=int, default=schema.TARGET_IDS)
+    sub.add_argument("--target", type=int, help="stop at this many ids; no limit unless given")
     sub.add_argument("--first-year", type=int, default=schema.FIRST_YEAR)
     sub.add_argument("--last-year", type=int, default=schema.LAST_YEAR)
     sub.add_argument("--prefix", default=schema.LISTING_PREFIX)

@@ -39,11 +39,14 @@ def profile(raw: DataFrame, columns: list[str] = RAW_COLUMNS, approximate: bool
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
     )
-    return per_value.groupBy("column").agg(
+    counted = per_value.groupBy("column").agg(
         F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("filled"),
         F.count("value").alias("distinct_values"),
     )
+    # An empty dataset has its columns all the same.
+    named = raw.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return named.join(counted, "column", "left").fillna(0)
 
 
 def _filled(column: str) -> Column:
@@ -56,7 +59,8 @@ def _short(value: Column) -> Column:
 
 def severity_distribution(advisories: DataFrame) -> DataFrame:
     """Advisories per severity band and their share of all."""
-    total = advisories.agg(F.count("*")).scalar()
+    # The window is over the counts, one row per band.
+    total = F.sum("n").over(Window.partitionBy())
     return (
         advisories.groupBy(F.coalesce("severity_band", F.lit("none")).alias("severity_band"))
         .agg(F.count("*").alias("n"))

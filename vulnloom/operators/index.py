@@ -92,8 +92,10 @@ def discovered(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
     )
 
 
-def first_n(ids: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` ids in discovery order."""
+def first_n(ids: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` ids in discovery order, or all; either way of finding them gives the same."""
+    if n is None:
+        return ids
     if n <= SORTED_LIMIT:
         return ids.orderBy("year", "page_no", "dir_pos", "link_pos", "cve_id").limit(n)
     return first_by_totals(ids, n)
@@ -162,12 +164,11 @@ def year_counts(listing: DataFrame, ids: DataFrame, target: int | None = None) -
     return totals if target is None else totals.filter(F.col("total") - F.col("new_ids") < target)
 
 
-def index_totals(ids: DataFrame, target: int) -> DataFrame:
+def index_totals(ids: DataFrame, target: int | None = None) -> DataFrame:
     """Ids discovered, and how many of them the target lets through."""
     n = F.count("*")
-    return ids.agg(
-        n.alias("discovered"), F.least(n, F.lit(target).cast("bigint")).alias("saved")
-    )
+    saved = n if target is None else F.least(n, F.lit(target).cast("bigint"))
+    return ids.agg(n.alias("discovered"), saved.alias("saved"))
 
 
 def with_id_parts(ids: DataFrame) -> DataFrame:
@@ -183,7 +184,7 @@ def with_id_parts(ids: DataFrame) -> DataFrame:
 
 def in_id_order(ids: DataFrame) -> DataFrame:
     """Sorted by year and sequence as numbers: 9999 comes before 10000."""
-    return with_id_parts(ids).orderBy("_year", "_seq").select(*ids.columns)
+    return with_id_parts(ids).orderBy("_year", "_seq", "cve_id").select(*ids.columns)
 
 
 def ranked(ids: DataFrame) -> DataFrame:

@@ -22,8 +22,8 @@ def done_ids(existing: DataFrame) -> DataFrame:
 
 
 def pending_ids(ids: DataFrame, done: DataFrame) -> DataFrame:
-    """Listed ids that are not in the dataset, each at its first position."""
-    named = ids.filter(strip(F.col("cve_id")) != "")
+    """Listed ids, trimmed, that are not in the dataset, each at its first position."""
+    named = ids.withColumn("cve_id", strip(F.col("cve_id"))).filter("cve_id <> ''")
     wanted = named.groupBy("cve_id").agg(F.min("ord").alias("ord"))
     return wanted.join(done, "cve_id", "left_anti")
 
@@ -52,20 +52,17 @@ def id_bytes(ids: DataFrame) -> int:
     return size or 0
 
 
-def wanted_pages(pages: DataFrame, pending: DataFrame, done: DataFrame) -> DataFrame:
-    """The pages worth parsing; give it id sets that are already written.
+def wanted_pages(pages: DataFrame, pending: DataFrame) -> DataFrame:
+    """The pages of pending ids, with what ``pending`` tells of them; give it a written table.
 
-    A page is far larger than its id, so HTML is moved only as a last resort:
-    a small id set is broadcast to where the pages lie. When neither set is
-    small the semi join shuffles pages, which costs less than parsing pages
-    that are then thrown away; a hot id is split by adaptive execution.
+    Ids are trimmed and unique in ``pending``, so the join finds and places a page at
+    once. A page is far larger than its id: an id set measured to be small is broadcast
+    to where the pages lie, and only a large one makes Spark move pages.
     """
-    pages = in_years_of(pages, pending)
-    if id_bytes(pending) <= BROADCAST_BYTES:
-        return pages.join(F.broadcast(pending.select("cve_id")), "cve_id", "left_semi")
-    if id_bytes(done) <= BROADCAST_BYTES:
-        return pages.join(F.broadcast(done), "cve_id", "left_anti")
-    return pages.join(pending.select("cve_id"), "cve_id", "left_semi")
+    own = [c for c in pages.columns if c == "cve_id" or c not in pending.columns]
+    pages = in_years_of(pages.select(*own).withColumn("cve_id", strip(F.col("cve_id"))), pending)
+    small = id_bytes(pending) <= BROADCAST_BYTES
+    return pages.join(F.broadcast(pending) if small else pending, "cve_id")
 
 
 def accepted_counts(rows: DataFrame) -> tuple[int, int]:
@@ -90,17 +87,53 @@ def first_success(rows: DataFrame, order: Column) -> DataFrame:
 
 
 def first_in_order(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` rows of lowest ``ord``: a bounded sort, or totals per block."""
+    """The ``n`` rows of lowest ``ord``, ties by ``cve_id``, null first.
+
+    A bounded sort, or totals per block where ``n`` is too large for one task; both
+    give the same rows.
+    """
     if n <= SORTED_LIMIT:
-        return rows.orderBy("ord").limit(n)
+        return rows.orderBy("ord", "cve_id").limit(n)
     wide = RANK_BLOCK * RANK_BLOCK
     blocked = rows.withColumns(
         {"_wide": F.floor(F.col("ord") / wide), "_block": F.floor(F.col("ord") / RANK_BLOCK)}
     )
-    placed = running_total(blocked, [], [["_wide"], ["_block"]], ["ord"], F.lit(1), "_nth")
+    placed = running_total(blocked, [], [["_wide"], ["_block"]], ["ord", "cve_id"], F.lit(1), "_nth")
     return placed.filter(F.col("_nth") <= n).select(*rows.columns)
 
 
+def last_tried(rows: DataFrame, room: int) -> tuple[int, str] | None:
+    """(ord, cve_id) of the id whose acceptance fills the room; None where nothing does.
+
+    Found on ids and positions alone.
+    """
+    firsts = rows.filter("reject_reason IS NULL").groupBy("cve_id").agg(F.min("ord").alias("ord"))
+    filling = first_in_order(firsts, room).agg(
+        F.count("*").alias("n"), F.max(F.struct("ord", "cve_id")).alias("last")
+    ).first()
+    return (filling.last.ord, filling.last.cve_id) if filling.n == room else None
+
+
+def up_to(rows: DataFrame, last: tuple[int, str] | None) -> DataFrame:
+    """Rows of ids that come no later than ``last``."""
+    if last is None:
+        return rows
+    ord_, cve_id = F.col("ord"), F.col("cve_id")
+    return rows.filter((ord_ < last[0]) | ((ord_ == last[0]) & (cve_id <= last[1])))
+
+
+def refused(rows: DataFrame) -> DataFrame:
+    """One reason for each id of which no page was accepted."""
+    reason = F.struct("reject_reason", "reject_detail")
+    return (
+        rows.groupBy("cve_id")
+        .agg(F.count_if(F.col("reject_reason").isNull()).alias("_good"),
+             F.min(F.when(F.col("reject_reason").isNotNull(), reason)).alias("_why"))
+        .filter("_good = 0")
+        .select("cve_id", "_why.*")
+    )
+
+
 def until_target(existing: DataFrame, new: DataFrame, target: int | None = None) -> DataFrame:
     """Existing rows, then new rows in ``ord`` order until the target is met.
 

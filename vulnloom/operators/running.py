@@ -39,9 +39,12 @@ def running_total(
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
+    # Null keys are a block like any other.
+    named = before.select(*(F.col(c).alias(f"_{i}_key") for i, c in enumerate([*keys, *block])), "_before")
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}_key")) for i, c in enumerate([*keys, *block])]
     return (
         running_total(df, [*keys, *block], smaller, order, value, name)
-        .join(before, [*keys, *block])
+        .join(named, same)
         .withColumn(name, F.col("_before") + F.col(name))
-        .drop("_before")
+        .drop(*named.columns)
     )

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from vulnloom.operators import index
-from vulnloom.schema import FIRST_YEAR, LAST_YEAR, LISTING_PREFIX, TARGET_IDS
+from vulnloom.schema import FIRST_YEAR, LAST_YEAR, LISTING_PREFIX
 from vulnloom.session import work_path, written
 from vulnloom.sources.id_list import write_id_list
 
@@ -24,15 +24,15 @@ class IndexRun:
 def build_index(
     listing: DataFrame,
     path: str,
-    target: int = TARGET_IDS,
+    target: int | None = None,
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
     prefix: str = LISTING_PREFIX,
 ) -> IndexRun:
-    """Write the first ``target`` ids, sorted, and report on the run.
+    """Write the ids found, sorted, or the first ``target`` of them, and report on the run.
 
-    The pages are parsed once: the ids found are written before they are cut
-    and counted.
+    The ids found are written before they are cut and counted. The report per directory
+    reads the year pages again.
     """
     spark = listing.sparkSession
     pages = index.listing_in_scope(listing, first_year, last_year)

@@ -13,7 +13,7 @@ from vulnloom.plans import collect, samples
 from vulnloom.plans.oracles import ORACLES
 from vulnloom.plans.samples import id_text, part_id, table
 from vulnloom.schema import RAW_COLUMNS, TARGET_IDS, TARGET_RECORDS
-from vulnloom.session import read_if_present, spread, work_path
+from vulnloom.session import work_path, written
 from vulnloom.sources.dataset import read_csv_dataset, write_csv_dataset
 from vulnloom.sources.id_list import read_id_list, write_id_list
 from vulnloom.streaming.ingest import ingest, page_stream
@@ -30,23 +30,9 @@ def query(fn):
 # -- inputs ---------------------------------------------------------------------
 
 
-def _kept(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A table of the lake: built once per application, then read."""
-    tag = "".join(c if c.isalnum() else "_" for c in sf_dir)
-    path = work_path(spark, f"{name}-{tag}", unique=False)
-
-    def build_it():
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    return read_if_present(lambda: spark.read.parquet(path), build_it)
-
-
 def _advisories(spark, sf_dir):
-    """The dataset of the sample lake, as an analyst finds it: in Parquet."""
-    return _kept(
-        spark, sf_dir, "advisories", lambda: accepted(extract(samples.advisory_pages(spark, sf_dir)))
-    )
+    """The dataset of the sample pages, read anew."""
+    return accepted(extract(samples.advisory_pages(spark, sf_dir)))
 
 
 def _typed(spark, sf_dir):
@@ -59,7 +45,7 @@ def _listing(spark, sf_dir):
 
 def _found(spark, sf_dir):
     """Ids of the sample listing; counts and cuts read them from a table."""
-    return _kept(spark, sf_dir, "found-ids", lambda: index.discovered(_listing(spark, sf_dir)))
+    return written(index.discovered(_listing(spark, sf_dir)), work_path(spark, "found-ids"))
 
 
 def _order_ids(spark, sf_dir):
@@ -123,7 +109,7 @@ def page_addresses(spark, sf_dir):
 
 
 def _raw_pages(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
 @query
@@ -139,7 +125,7 @@ def page_title(spark, sf_dir):
 
 @query
 def text_normalise(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(normalise(F.col("text"))).alias("text_md5")
     )
 
@@ -346,7 +332,27 @@ def run_rejects(spark, sf_dir):
     )
     ids = _part_ids(spark, sf_dir).unionByName(no_pages)
     collect.collect(ids, samples.advisory_pages(spark, sf_dir), lake, run=1)
-    return spark.read.parquet(collect.rejects_path(lake)).drop("run")
+    return spark.read.parquet(collect.rejects_path(lake)).select("cve_id", "reject_reason", "reject_detail")
+
+
+@query
+def run_counters_to_target(spark, sf_dir):
+    parts = table(spark, sf_dir, "part")
+    counters = collect.collect(
+        _part_ids(spark, sf_dir), samples.advisory_pages(spark, sf_dir),
+        work_path(spark, "lake"), run=1, target=max(1, parts.count() // 4),
+    )
+    return counters.drop("target")
+
+
+@query
+def target_rejects(spark, sf_dir):
+    lake, parts = work_path(spark, "lake"), table(spark, sf_dir, "part")
+    collect.collect(
+        _part_ids(spark, sf_dir), samples.advisory_pages(spark, sf_dir), lake, run=1,
+        target=max(1, parts.count() // 4),
+    )
+    return spark.read.parquet(collect.rejects_path(lake)).select("cve_id", "reject_reason", "reject_detail")
 
 
 @query

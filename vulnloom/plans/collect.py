@@ -1,11 +1,13 @@
 """Ids and pages to new rows of the dataset."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import strip
 from vulnloom.operators import merge
-from vulnloom.operators.extract import extract, rejects
+from vulnloom.operators.extract import extract
 from vulnloom.schema import LAKE, RAW_COLUMNS
 from vulnloom.session import written
 from vulnloom.sources.dataset import (
@@ -29,19 +31,19 @@ def read_advisories(spark: SparkSession, lake: str) -> DataFrame:
     return read_table(spark, advisories_path(lake), LAKE)
 
 
-def read_wanted(pages: DataFrame, pending: DataFrame, done: DataFrame, lake: str) -> DataFrame:
+def read_wanted(pages: DataFrame, pending: DataFrame, lake: str) -> DataFrame:
     """Extract the pages of pending ids, once, into the staging table.
 
-    ``pending`` and ``done`` are written tables. Every column of ``pages``
-    beyond the page itself is kept.
+    ``pending`` is a written table. Its columns, and every column of ``pages`` beyond
+    the page itself, are kept.
     """
-    keep = [c for c in pages.columns if c not in ("cve_id", "status", "html", "cve_year", "ord")]
-    rows = extract(merge.wanted_pages(pages, pending, done), keep)
-    return written(rows, f"{lake}/_staging/rows")
+    wanted = merge.wanted_pages(pages, pending)
+    keep = [c for c in wanted.columns if c not in ("cve_id", "status", "html", "cve_year")]
+    return written(extract(wanted, keep), f"{lake}/_staging/rows")
 
 
-def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | None = None) -> int:
-    """Append the first accepted row of each id, as many as there is room for.
+def add_rows(rows: DataFrame, order: Column, run: int, lake: str) -> int:
+    """Append the first accepted row of each id.
 
     Rows are only moved when a count shows that an id is there twice. Returns
     the number of rows added.
@@ -49,18 +51,16 @@ def add_rows(rows: DataFrame, order: Column, run: int, lake: str, room: int | No
     n_rows, n_ids = merge.accepted_counts(rows)
     if n_rows > n_ids:
         rows = merge.first_success(rows, order)
-    new = rows.filter("reject_reason IS NULL")
-    if room is not None and room < n_ids:
-        new, n_ids = merge.first_in_order(new, room), room
     if n_ids:
-        new = new.withColumn("run", F.lit(run).cast("bigint"))
+        new = rows.filter("reject_reason IS NULL").withColumn("run", F.lit(run).cast("bigint"))
         append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(lake))
     return n_ids
 
 
-def write_rejects(rejected: DataFrame, run: int, lake: str) -> None:
-    """Write the refusals of a run; doing it again replaces them."""
-    rejected.hint("rebalance").write.mode("overwrite").parquet(f"{rejects_path(lake)}/run={run}")
+def write_rejects(rejected: DataFrame, lake: str, kind: str, run: int, attempt: str) -> None:
+    """Write the refused ids of one attempt at a run; only the same attempt replaces them."""
+    path = f"{rejects_path(lake)}/kind={kind}/run={run}/attempt={attempt}"
+    rejected.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def collect(
@@ -70,10 +70,12 @@ def collect(
 
     Ids already collected are dropped before any page is parsed, and only the
     difference is appended, so a run that is repeated adds nothing. ``ids`` has
-    (ord, cve_id), ``pages`` (cve_id, status, html); ids without a page and
-    refused pages go to the rejects table. Returns the run's counters.
+    (ord, cve_id), ``pages`` (cve_id, status, html). Every id tried is either added or
+    in the rejects table, once: without a page, or with one reason its pages were
+    refused for. Ids after the one that meets the target are not tried. Returns the
+    run's counters, which are kept per attempt, like the rejects.
     """
-    spark = ids.sparkSession
+    spark, attempt = ids.sparkSession, uuid.uuid4().hex
     existing = read_advisories(spark, lake)
     n_existing = existing.count()
     done = written(merge.done_ids(existing), f"{lake}/_staging/done")
@@ -81,23 +83,25 @@ def collect(
     room = None if target is None else max(0, target - n_existing)
     if room == 0:
         pending = pending.limit(0)
+    read = rows = read_wanted(pages, pending, lake)
+    if room:
+        last = merge.last_tried(rows, room)
+        rows, pending = merge.up_to(rows, last), merge.up_to(pending, last)
     counts = {
         "ids_available": ids.count(),
         "existing_rows": n_existing,
         "already_collected": done.count(),
         "attempted": pending.count(),
     }
-    read = read_wanted(pages, pending, done, lake)
-    rows = read.join(pending, "cve_id")
-    added = add_rows(rows, F.col("ord"), run, lake, room)
+    added = add_rows(rows, F.col("ord"), run, lake)
     no_page = pending.join(read.select("cve_id"), "cve_id", "left_anti").select(
         "cve_id",
         F.lit("not_fetched").alias("reject_reason"),
         F.lit(None).cast("string").alias("reject_detail"),
     )
-    write_rejects(rejects(rows).unionByName(no_page), run, lake)
+    write_rejects(merge.refused(rows).unionByName(no_page), lake, "collect", run, attempt)
     counters = merge.run_counters(spark, **counts, successes=added, target=target)
-    return written(counters, f"{lake}/runs/run={run}")
+    return written(counters, f"{lake}/runs/run={run}/attempt={attempt}")
 
 
 def import_csv(spark: SparkSession, path: str, lake: str) -> None:

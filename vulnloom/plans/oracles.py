@@ -257,6 +257,24 @@ ORACLES = {
         FROM pages_expected WHERE reject_reason IS NOT NULL
         UNION ALL
         SELECT 'CVE-2019-' || {_pad('s_suppkey')}, 'not_fetched', NULL FROM supplier""",
+    "run_counters_to_target": f"""{PARTS},
+        tried AS (
+          SELECT *, coalesce(sum(CASE WHEN reject_reason IS NULL THEN 1 ELSE 0 END)
+                     OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS had FROM pages_expected
+        ), room AS (SELECT greatest(1, count(*) // 4) AS n FROM part),
+        run AS (
+          SELECT count(*) FILTER (WHERE reject_reason IS NULL) AS good, count(*) FILTER (WHERE reject_reason IS NOT NULL) AS bad
+          FROM tried, room WHERE had < n
+        )
+        SELECT (SELECT count(*) FROM part) AS ids_available, CAST(0 AS BIGINT) AS existing_rows,
+               CAST(0 AS BIGINT) AS already_collected, good AS successes, bad AS skipped, good AS final_rows FROM run""",
+    "target_rejects": f"""{PARTS},
+        tried AS (
+          SELECT *, coalesce(sum(CASE WHEN reject_reason IS NULL THEN 1 ELSE 0 END)
+                     OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS had FROM pages_expected
+        ), room AS (SELECT greatest(1, count(*) // 4) AS n FROM part)
+        SELECT cve_id, reject_reason, CASE WHEN reject_reason = 'http_error' THEN 'permanent' END AS reject_detail
+        FROM tried, room WHERE reject_reason IS NOT NULL AND had < n""",
     "stream_ingest": f"""{PARTS}
         SELECT cve_id, CAST(1 AS BIGINT) AS copies, package, cwe_ids FROM pages_expected WHERE reject_reason IS NULL
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from vulnloom.functions.text import escape_html
 from vulnloom.schema import LISTING_PREFIX
-from vulnloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,7 +130,7 @@ def advisory_pages(spark: SparkSession, sf_dir: str, healed: bool = False) -> Da
     Some cannot be accepted: wrong status, page class or details list missing.
     ``healed`` is a later crawl in which every status is 200.
     """
-    parts = spread(
+    parts = (
         table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     )
     k = F.col("p_partkey")
@@ -160,7 +159,7 @@ def advisory_pages(spark: SparkSession, sf_dir: str, healed: bool = False) -> Da
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One advisory page per document, its whole text as the details."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     html = text(
         '<div class="vulnerability-page"><dl class="vulnerability-details">',
         _entry("Details", escape_html(F.coalesce("text", F.lit("")))), "</dl></div>",

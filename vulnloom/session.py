@@ -67,14 +67,3 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give the HTML pass one partition per core when a scan has fewer.
-
-    Only for a plain scan of a few small files; a lake is left as it is, so no
-    page is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < cores
-    return df.repartition(cores) if few else df

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vulnloom.functions.text import strip
-from vulnloom.operators.extract import rejects
-from vulnloom.operators.merge import done_ids, in_years_of
+from vulnloom.operators.merge import BROADCAST_BYTES, id_bytes, in_years_of, refused
 from vulnloom.plans import collect
 from vulnloom.schema import PAGES
 from vulnloom.session import written
@@ -40,20 +39,26 @@ def page_file_stream(spark: SparkSession, path: str, **options) -> DataFrame:
 def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     """Add one batch of pages to the lake.
 
-    A batch that is run again adds nothing: ids in the table are dropped first,
-    and the batch's rejects replace themselves. One writer per lake.
+    A batch that is run again adds nothing: ids in the table are dropped first, and
+    the batch's rejects replace themselves. Of the table, only the ids of the batch are
+    staged. One writer per lake.
     """
     spark = batch.sparkSession
     arrived = batch.withColumn("cve_id", strip(F.col("cve_id"))).filter("cve_id <> ''")
+    asked = written(arrived.select("cve_id").distinct(), f"{lake}/_staging/asked")
     # Only the years of this batch are read from the table.
-    known = in_years_of(collect.read_advisories(spark, lake), arrived)
-    done = written(done_ids(known), f"{lake}/_staging/done")
-    fresh = arrived.select("cve_id").distinct().join(done, "cve_id", "left_anti")
-    pending = written(fresh, f"{lake}/_staging/pending")
-    rows = collect.read_wanted(arrived, pending, done, lake).join(pending, "cve_id")
+    table = in_years_of(collect.read_advisories(spark, lake), asked)
+    known = table.select(strip(F.col("cve_id")).alias("cve_id"))
+    small = id_bytes(asked) <= BROADCAST_BYTES
+    hits = known.join(F.broadcast(asked) if small else asked, "cve_id", "left_semi")
+    done = written(hits.distinct(), f"{lake}/_staging/done")
+    pending = written(asked.join(done, "cve_id", "left_anti"), f"{lake}/_staging/pending")
+    rows = collect.read_wanted(arrived, pending, lake)
     rows = rows.withColumn("ord", F.unix_micros("arrived"))
     collect.add_rows(rows, F.struct(*ARRIVAL), batch_id, lake)
-    collect.write_rejects(rejects(rows), batch_id, lake)
+    # A query keeps its id in its checkpoint; a new checkpoint is another query.
+    source = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    collect.write_rejects(refused(rows), lake, f"stream-{source}", batch_id, "0")
 
 
 def ingest(pages: DataFrame, lake: str, checkpoint: str, **trigger) -> StreamingQuery:
