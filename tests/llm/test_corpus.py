@@ -84,6 +84,35 @@ def test_word_by_word_ids_are_those_of_whole_texts(corpus, path, spaced):
         assert encoder.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_texts_encoded_together_are_those_of_whole_texts(corpus, monkeypatch):
+    monkeypatch.setattr(tokens, "SPAN", 5)
+    monkeypatch.setattr(tokens, "LEARNT", 3)
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 20)
+    rng = random.Random(3)
+    odd = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "'s", "3,000.5", "é", "語", "\x1f", "\x1c", "\xa0", "<|endoftext|>", "x" * 60]
+    texts = [t or "" for _, t in corpus] + ["".join(rng.choices(odd, k=rng.randrange(30))) for _ in range(200)]
+    encoder = tokens.Encoder(BYTE_BPE, True)
+    whole = Tokenizer.from_file(BYTE_BPE)
+    whole.encode_special_tokens = True
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for _ in range(2):
+        got = []
+        for at in range(0, len(texts), 40):
+            got += encoder.encode_all(texts[at:at + 40])
+        assert got == want
+    assert encoder.encode_all(["", ""]) == [b"", b""]
+
+
+def test_rows_are_taken_together_in_order():
+    import pyarrow as pa
+
+    texts = ["ab", "", "x" * 50, "c", "de", ""]
+    parts = [pa.RecordBatch.from_arrays([pa.array(range(a, a + 3)), pa.array(texts[a:a + 3])], ["doc_id", "text"]) for a in (0, 3)]
+    got = list(id_files._together(parts, 10))
+    assert got == [([0, 1], ["ab", ""]), ([2], ["x" * 50]), ([3, 4, 5], ["c", "de", ""])]
+    assert list(id_files._together([], 10)) == []
+
+
 def test_memo_hands_over():
     found = []
     memo = tokens.Memo(lambda w: found.append(w) or w.upper(), 2)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vulnloom.llm.common import id_texts, width
-from vulnloom.llm.tokens import END, ID, encoder
+from vulnloom.llm.tokens import END, ID, TOGETHER, encoder
 
 BLOCK = 65536
 LEVEL = 1
@@ -81,7 +81,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, press = encoder(tokenizer_path, True).encode, zstandard.ZstdCompressor(level=LEVEL)
+        own, press = encoder(tokenizer_path, True), zstandard.ZstdCompressor(level=LEVEL)
         shard, number, first = TaskContext.get().partitionId(), 0, 0
         held, here = bytearray(), []
 
@@ -94,9 +94,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip(row, _FILE)], schema=_FILE)
 
-        for part in parts:
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                ids = encode(text.as_py()) + END
+        for doc_ids, texts in _together(parts):
+            for doc_id, ids in zip(doc_ids, own.encode_all(texts)):
+                ids += END
                 total, at, start = len(ids) // 4, 0, first + len(held) // 4
                 while at < total:
                     n = min(total - at, block - len(held) // 4)
@@ -113,6 +113,21 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
      .mapInArrow(run, FILE).write.option("compression", "uncompressed").parquet(path))
 
 
+def _together(parts: Iterator[pa.RecordBatch], room: int = TOGETHER) -> Iterator[tuple[list[int], list[str]]]:
+    """doc_id and text of rows in order, some megabytes of text at a time or one longer text."""
+    doc_ids, texts, size = [], [], 0
+    for part in parts:
+        for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)):
+            if texts and size + len(text) > room:
+                yield doc_ids, texts
+                doc_ids, texts, size = [], [], 0
+            doc_ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield doc_ids, texts
+
+
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
     """Every document's ids as the files hold them: one row per part, ``ids`` binary."""
 

@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from vulnloom.llm.common import Memo, kept
@@ -25,6 +28,10 @@ from vulnloom.llm.common import Memo, kept
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
 MEMO_WORDS = 400_000
+#: Characters of text that are encoded together, words learnt in one call, words put together at once.
+TOGETHER = 1 << 23
+LEARNT = 1 << 13
+SPAN = 1 << 18
 
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -37,6 +44,16 @@ _CLOSE = "\x1f"
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s")
 
 
+def _uneven(text: str) -> bool:
+    """Whether white space stands in a row, or is other than spaces and line ends."""
+    return any(pair in text for pair in _DOUBLE_SPACE) or bool(_OTHER_SPACE.search(text))
+
+
+def _marked(text: str) -> str:
+    """A text that is not uneven, to be cut at its spaces: line ends and what follows them are marked."""
+    return _CLOSE + text.replace("\n", f" {_CLOSE}\n {_CLOSE}")
+
+
 class Encoder:
     """Text to id bytes. ``keeps_space``: white space has ids, a word takes one space before
     it and case counts; else white space and case are dropped."""
@@ -62,35 +79,73 @@ class Encoder:
         if _SEPARATOR.search(text):
             return [_CLOSE + text if self.keeps_space else text]
         if self.keeps_space:
-            if any(pair in text for pair in _DOUBLE_SPACE) or _OTHER_SPACE.search(text):
+            if _uneven(text):
                 return [_CLOSE + part for part in _SPACED.findall(text)]
-            return (_CLOSE + text.replace("\n", f" {_CLOSE}\n {_CLOSE}")).split(" ")
+            return _marked(text).split(" ")
         if "'" not in text and not _MARK_AFTER_OTHER.search(text) and not _CASED_ODDLY.search(text):
             text = text.lower().replace(",", " ,").replace(".", " .")
         return text.split()
 
     def encode(self, text: str) -> bytes:
+        if self.keeps_space:
+            return self.encode_all([text])[0]
+        self.ids = own = self.ids.renewed()
+        return b"".join(map(own.__getitem__, self.words(text)))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The id bytes of each of some texts whose space is kept, every distinct word looked up once."""
+        uneven = [bool(_SEPARATOR.search(text)) or _uneven(text) for text in texts]
+        order = sorted(range(len(texts)), key=uneven.__getitem__)
+        n_even = len(texts) - sum(uneven)
+        even = pc.split_pattern(pa.array([_marked(texts[i]) for i in order[:n_even]], pa.large_string()), " ")
+        own = [pa.array(self.words(texts[i]), pa.large_string()) for i in order[n_even:]]
+        words = pa.concat_arrays([even.flatten(), *own]).dictionary_encode()
+        ends = np.cumsum(np.concatenate([np.diff(even.offsets.to_numpy()), np.array(list(map(len, own)), np.int64)]))
+        found = self._found(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        number = words.indices.to_numpy()
+        size = np.array(list(map(len, found)), np.int64) // len(END)
+        ids = np.frombuffer(b"".join(found), ID)
+        first = np.cumsum(size) - size
+        joined, n_ids = [], np.zeros(len(number) + 1, np.int64)
+        for a in range(0, len(number), SPAN):
+            here = number[a:a + SPAN]
+            n = size[here]
+            upto = np.cumsum(n)
+            joined.append(ids[np.repeat(first[here] - upto + n, n) + np.arange(n.sum())].tobytes())
+            n_ids[a + 1:a + 1 + len(here)] = n_ids[a] + upto
+        raw, cuts = b"".join(joined), len(END) * n_ids[np.r_[0, ends]]
+        out = [b""] * len(texts)
+        for i, a, b in zip(order, cuts.tolist(), cuts[1:].tolist()):
+            out[i] = raw[a:b]
+        return out
+
+    def _found(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
         self.ids = own = self.ids.renewed()
-        parts = self.words(text)
+        before = own.before.get
         found = list(map(own.get, parts))
-        if None in found:
-            missing = [i for i, ids in enumerate(found) if ids is None]
-            if self.keeps_space and len(missing) > 4:
-                self._learn({parts[i] for i in missing})
-            for i in missing:
-                found[i] = own[parts[i]]
-        return b"".join(found)
-
-    def _learn(self, parts: set[str]) -> None:
+        missing = []
+        for i in (i for i, ids in enumerate(found) if ids is None):
+            ids = before(parts[i])
+            if ids is None:
+                missing.append(i)
+            else:
+                found[i] = own[parts[i]] = ids
+        for a in range(0, len(missing), LEARNT):
+            self._learn([parts[i] for i in missing[a:a + LEARNT]])
+        for i in missing:
+            found[i] = own[parts[i]]
+        return found
+
+    def _learn(self, parts: Iterable[str]) -> None:
         """Encode new words in one call, each after a space; where ids start with one, a word starts."""
-        own, before = self.ids, self.ids.before
-        new = [p for p in parts if p and p[0] != _CLOSE and len(p) <= 48 and p not in before]
+        new = [p for p in parts if p and p[0] != _CLOSE and len(p) <= 48]
         [found] = self.tokenizer.encode_batch_fast([" " + " ".join(new) if new else ""], add_special_tokens=False)
-        ids = np.array(found.ids, ID)
-        start = np.flatnonzero(self.spaced_id[ids])
+        raw = array("I", found.ids).tobytes()
+        start = np.flatnonzero(self.spaced_id[np.frombuffer(raw, ID)])
         if len(start) == len(new):
-            raw, at = ids.tobytes(), (4 * start).tolist()
-            own.update(zip(new, (raw[a:b] for a, b in zip(at, [*at[1:], len(raw)]))))
+            at = (len(END) * start).tolist()
+            self.ids.update(zip(new, (raw[a:b] for a, b in zip(at, [*at[1:], len(raw)]))))
 
 
 def encoder(path: str, keeps_space: bool) -> Encoder:
