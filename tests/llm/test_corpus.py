@@ -258,6 +258,19 @@ def test_passages_are_cut_and_clean_texts_are_not(spark):
     assert got[5].kept == "" and got[8].kept == "" and got[3].rest.asDict() == {"links": "x", "rest": 1}
 
 
+def test_text_that_repeats_itself_is_a_passage(spark):
+    rng = random.Random(11)
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(4)]
+    lines = "read more here\n" * 60
+    corpus = [(1, f"{own[0]} {'so ' * 300}"), (2, f"{own[1]} {'so ' * 300}"), (3, lines + own[2]), (4, f"{own[3]}\n{lines}"),
+              (5, f"{own[1]} {own[1]} a b c"), (6, "so so so so so so so so"), (7, "so " * 40)]
+    kept = {r.doc_id: r.kept.split() for r in passages.deduplicated(docs_of(spark, corpus)).collect()}
+    assert kept[1] == corpus[0][1].split() and kept[2] == own[1].split()
+    assert kept[3] == corpus[2][1].split() and kept[4] == own[3].split()
+    assert kept[5] == ["a", "b", "c"]
+    assert kept[6] == ["so"] * 8 and kept[7] == ["so"] * 40
+
+
 def test_chains_go_up_in_both_texts():
     at, to = np.array([0, 6, 12, 18, 200, 206]), np.array([10, 16, 3, 28, 210, 216])
     assert sorted(map(tuple, passages.chains(at, to))) == [(0, 1, 3), (2,), (4, 5)]
