@@ -276,6 +276,37 @@ def test_chains_go_up_in_both_texts():
     assert sorted(map(tuple, passages.chains(at, to))) == [(0, 1, 3), (2,), (4, 5)]
 
 
+def brute_chain_score(at, to, k=5, cost=0.05, largest=40):
+    score = []
+    for j in range(len(at)):
+        near = [score[i] - cost * (at[j] - at[i] + to[j] - to[i] - 2 * k) for i in range(j)
+                if 0 < at[j] - at[i] <= largest + k and 0 < to[j] - to[i] <= largest + k]
+        score.append(k + max([0, *near]))
+    return max(score)
+
+
+def test_a_distant_chain_hides_no_near_one():
+    rng = random.Random(13)
+    at = np.array([*range(0, 100, 6), *range(300, 400, 6)])
+    assert sorted(map(len, passages.chains(at, at + 7))) == [17, 17]
+    for _ in range(200):
+        links = sorted({(rng.randrange(150), rng.randrange(150)) for _ in range(rng.randrange(2, 60))})
+        at, to = (np.array(c) for c in zip(*links))
+        found = passages.chains(at, to)
+        assert sorted(i for c in found for i in c) == list(range(len(links)))
+        worth = [sum(5 - 0.05 * (at[j] - at[i] + to[j] - to[i] - 10) for i, j in zip(c, c[1:])) + 5 for c in found]
+        assert max(worth) == pytest.approx(brute_chain_score(at.tolist(), to.tolist()))
+        assert all(0 < d[j] - d[i] <= 45 for c in found for i, j in zip(c, c[1:]) for d in (at, to))
+
+
+def test_header_and_footer_are_both_passages(spark):
+    rng = random.Random(17)
+    header, footer, *own = (prose(rng, n, 10**6) for n in (100, 100, 200, 200, 30))
+    corpus = [(1, f"{header} {own[0]} {footer}"), (2, f"{header} {own[1]} {footer} {own[2]}")]
+    kept = {r.doc_id: r.kept.split() for r in passages.deduplicated(docs_of(spark, corpus)).collect()}
+    assert kept[1] == corpus[0][1].split() and kept[2] == f"{own[1]} {own[2]}".split()
+
+
 def vectors_of(spark, n=900, seed=2):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, 8))
