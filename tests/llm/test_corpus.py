@@ -307,6 +307,35 @@ def test_header_and_footer_are_both_passages(spark):
     assert kept[1] == corpus[0][1].split() and kept[2] == f"{own[1]} {own[2]}".split()
 
 
+def test_parts_of_a_chain_are_passages(spark):
+    rng = random.Random(19)
+    one, two, *own = (prose(rng, n, 10**6) for n in (50, 50, 100, 28, 28, 100, 70, 70, 26, 26))
+    corpus = [(1, f"{own[0]} {one} {own[1]} {two}"), (2, f"{one} {own[2]} {two} {own[3]}"),
+              (3, f"{own[4]} {own[5]}"), (4, f"{own[4]} {own[6]} {own[7]} {own[5]}")]
+    kept = {r.doc_id: r.kept.split() for r in passages.deduplicated(docs_of(spark, corpus)).collect()}
+    assert kept[1] == corpus[0][1].split() and kept[2] == f"{own[2]} {own[3]}".split()
+    assert kept[3] == corpus[2][1].split() and not set(f"{own[4]} {own[5]}".split()) & set(kept[4])
+
+
+@pytest.mark.parametrize("run, gap, n, want", [
+    (50, 28, 2, [(0, 50), (78, 128)]), (60, 28, 2, [(0, 148)]), (30, 8, 2, [(0, 68)]), (30, 20, 3, []), (49, 13, 1, []),
+    (60, 28, 3, [(0, 236)]), (4, 1, 11, [(0, 54)]), (50, 40, 3, [(0, 50), (90, 140), (180, 230)])])
+def test_spans_are_all_parts_alike_enough(run, gap, n, want):
+    at, own, other = 0, [], []
+    links = []
+    for part in range(n):
+        links += [(at + i, at + i) for i in range(0, run - 4, 5)] or [(at, at)][:part == 0]
+        own += range(at, at + run)
+        other += range(at, at + run)
+        at += run
+        if part < n - 1:
+            own += range(10**6 + at, 10**6 + at + gap)
+            other += range(10**7 + at, 10**7 + at + gap)
+            at += gap
+    k = 5 if run > 4 else 4
+    assert passages.aligned(np.array(own, np.uint64), np.array(other, np.uint64), np.array(links), k) == want
+
+
 def vectors_of(spark, n=900, seed=2):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, 8))
