@@ -336,6 +336,18 @@ def test_spans_are_all_parts_alike_enough(run, gap, n, want):
     assert passages.aligned(np.array(own, np.uint64), np.array(other, np.uint64), np.array(links), k) == want
 
 
+def test_seeds_meet_their_earliest_document_beyond_the_task(spark):
+    rng = random.Random(23)
+    passage = prose(rng, 60, 10**6).split()
+    own = [prose(rng, 80, 10**6) for _ in range(4)]
+    texts = [(10, f"{own[0]} {' '.join(passage)}"), (11, ""), (12, ""), (100, f"{own[1]} {' '.join(passage[:40])}"),
+             (101, f"{own[2]} {' '.join(passage[20:])}"), (102, f"{own[3]} {' '.join(passage)}")]
+    halves = spark.createDataFrame(spark.sparkContext.parallelize(texts, 2), "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.deduplicated(halves).collect()}
+    assert got[102].kept.split() == own[3].split() and [s.like for s in got[102].spans] == [10]
+    assert not any(got[i].spans for i in (10, 100, 101))
+
+
 def vectors_of(spark, n=900, seed=2):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, 8))
