@@ -484,3 +484,17 @@ def test_pipeline_stages_follow_each_other(spark, sf_dir):
         docs = after
     assert simhash.near_duplicates(docs).groupBy("component_id").count().where("count > 1").count() <= 1
     assert pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").distinct().count() == docs.count()
+
+
+def test_pipeline_keeps_rows_that_are_no_near_duplicates(spark):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(29)
+    one, two, three, four = (prose(rng, 60, 10**6) for _ in range(4))
+    docs = docs_of(spark, [(1, one), (1, two), (2, two), (2, three), (3, one), (4, four), (4, four), (None, four), (None, "x"), (None, "x")])
+    kept = pipeline.staged(pipeline.one_of_each(spark, docs, ""), "test-stage")
+    want = [(1, one), (1, two), (2, three), (4, four), (None, four), (None, "x"), (None, "x")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    after = pipeline.without_passages(spark, kept, "")
+    assert after.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in after.collect()), key=repr) == sorted(want, key=repr)

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnloom.llm.common import batches, id_text_rows, id_texts, staged
@@ -38,15 +38,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(octets), bitorder="little").view("<u8")[0])
 
 
+def text_key() -> Column:
+    """What tells rows that repeat a doc_id apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and its fingerprint as a signed long. A null text has no words."""
+    """doc_id, its fingerprint as a signed long and the key of its text. A null text has no words."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-        rows = ((doc_id, fingerprint(text, shingle)) for doc_id, text in id_text_rows(parts))
-        yield from batches(((d, f - (1 << 64) if f >> 63 else f) for d, f in rows), schema)
+        for part in parts:
+            fps = [fingerprint(text, shingle) for _, text in id_text_rows([part])]
+            signed = np.array(fps, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(signed), part.column("key")], names=["doc_id", "fp", "key"])
 
-    return id_texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_texts(docs, key=text_key()).mapInArrow(run, "doc_id long, fp long, key long")
 
 
 def block_masks(blocks: int, distance: int) -> list[int]:
@@ -127,6 +133,23 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, tile:
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+            blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+    """doc_id, fp, key, root and component_id of every row with a doc_id.
+
+    ``root`` is the smallest fingerprint of the component. Components of unrelated texts
+    under one doc_id can share component_id, but not root.
+    """
+    own = staged(fingerprints(docs, shingle), "fingerprints")
+    classes = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    roots = components(links(own, distance, blocks, tile))
+    joined = classes.join(roots, F.col("fp") == F.col("node"), "left")
+    joined = joined.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = joined.join(least, "root").select("fp", "root", "component_id")
+    return own.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document.
@@ -137,12 +160,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     link like any other; rows that repeat a doc_id are returned each; a row without
     doc_id takes no part; an empty table gives no rows.
     """
-    own = staged(fingerprints(docs, shingle), "fingerprints")
-    classes = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(own, distance, blocks, tile))
-    joined = classes.join(roots, F.col("fp") == F.col("node"), "left")
-    joined = joined.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(least, "root").select("fp", "component_id")
-    return own.join(named, "fp").select(
+    return grouped(docs, shingle, distance, blocks, tile).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
