@@ -38,6 +38,28 @@ def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_facts(rows: DataFrame, facts: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """``rows`` with what ``facts`` has on their key; rows of other keys are left out.
+
+    ``facts`` has one row per key and ``copies``, the number of rows of that key, of
+    ``n_rows`` in all; give it a written table. A key of a thousandth of the rows or more
+    would be one large group of a shuffle. There are a thousand such keys at most, so they
+    are broadcast and their rows stay where they are; the others are joined by shuffle.
+    """
+    own = [c for c in facts.columns if c not in (key, "copies")]
+    hot = F.col("copies") * 1000 >= n_rows
+    told = F.struct(*own)
+    often = facts.where(hot).select(F.col(key).alias("_hot"), told.alias("_often"))
+    seldom = facts.where(~hot).select(F.col(key).alias("_cold"), told.alias("_seldom"))
+    met = rows.join(F.broadcast(often), F.col(key) == F.col("_hot"), "left")
+    # What has met its facts needs a key that nobody has, another one for every row.
+    spread = F.concat(F.lit("-").cast("binary"), F.unhex(F.hex(F.xxhash64(*rows.columns))))
+    met = met.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(spread))
+    both = met.join(seldom, F.col("_key") == F.col("_cold"), "left")
+    return (both.withColumn("_told", F.coalesce("_often", "_seldom")).where("_told IS NOT NULL")
+            .select(*rows.columns, *(F.col(f"_told.{c}").alias(c) for c in own)))
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Iterator[pa.RecordBatch]:
     """Tuples as Arrow batches of a bounded number of rows."""
     held: list[tuple] = []

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnloom.llm import id_files, licenses, neighbours, packing, passages, pieces, quality, repeats, simhash, top_k
+from vulnloom.llm import (
+    alignment,
+    filter_audit,
+    id_files,
+    licenses,
+    line_dedup,
+    neighbours,
+    packing,
+    passages,
+    pieces,
+    quality,
+    repeats,
+    simhash,
+    top_k,
+)
 from vulnloom.llm.common import documents
 from vulnloom.session import work_path
 
@@ -62,6 +76,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), BYTE_BPE, PIECES)
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1,
     "op2_best_fit_packing": op2,
@@ -73,6 +100,9 @@ QUERIES = {
     "op8_nearest_neighbours": op8,
     "op9_quality_classifier": op9,
     "op10_license_scan": op10,
+    "op11_filter_audit": op11,
+    "op12_line_dedup": op12,
+    "op13_tokenizer_alignment": op13,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -96,6 +126,9 @@ def _templates() -> str:
 
 
 _SIZE = licenses.BLOCK_WORDS
+_KEYS = (r"translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), "
+         "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_ORDERS = ", ".join(f"('{order}')" for order in filter_audit.ORDERS)
 
 ORACLES = {
     "op3_exact_top_k": """
@@ -135,4 +168,50 @@ ORACLES = {
             array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
             CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
         FROM words LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)""",
+    "op11_filter_audit": rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+        marks AS (SELECT doc_id, max((quality = 1)::int) AS good, max((toxic = 1)::int) AS toxic FROM labels GROUP BY doc_id),
+        failing AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN d.doc_id > first_id THEN 'E' ELSE '' END AS fails
+            FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+        ), cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails),
+        steps AS (
+            SELECT o AS filter_order, s::int AS step, substr(o, s, 1) AS own, substr(o, 1, s - 1) AS before
+            FROM (VALUES {_ORDERS}) orders(o), range(1, 6) places(s)
+        ), judged AS (
+            SELECT *, contains(fails, own) AS hit, translate(fails, before, '') <> fails AS gone FROM cells, steps
+        ), measured AS (
+            SELECT part, filter_order, step, own,
+                sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+            FROM judged GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+            unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM measured""",
+    "op12_line_dedup": rf"""
+        WITH lines AS (
+            SELECT doc_id, nth, line, {_KEYS} AS k
+            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nth FROM documents)
+        ), repeats AS (
+            SELECT k, min(doc_id) AS first_id FROM lines WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id > first_id) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (first_id IS NULL OR doc_id = first_id), '')) AS kept_sha256
+        FROM lines LEFT JOIN repeats USING (k) GROUP BY doc_id""",
 }
