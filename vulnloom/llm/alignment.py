@@ -40,10 +40,17 @@ LEARNT = 1 << 13
 #: Stands before a part that has no space before it.
 _CLOSE = "\x1f"
 #: Where a text is not cut: white space other than single spaces and line ends, or at its ends.
-_UNEVEN = re.compile(r"[^\S \n]|[\x1c-\x1f]|[ \n]{2}|\A[ \n]|[ \n]\Z")
+_IN_A_ROW = ("  ", "\n\n", " \n", "\n ")
+_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f]")
 _SPACE_MARK = "▁"
 
 
+def falls_apart(text: str) -> bool:
+    """Whether a text can be cut at all its white space."""
+    return bool(text) and not (text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in _IN_A_ROW)
+                               or _OTHER_SPACE.search(text))
+
+
 def byte_level() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for.
 
@@ -166,12 +173,16 @@ class Aligner:
         parts = self._apart(b" " + text.encode(), np.array([len(w.encode()) + 1 for w in words]), *self.ids(text))
         return parts if parts is not None else [self.whole(w) for w in words]
 
-    def _closed(self, word: str) -> Part | None:
-        """A line end, or a word after one: what comes after a word of one letter, less that."""
-        before = "a" if word == "\n" else "a\n"
-        a, b = self.ids(before + word)
-        parts = self._apart(f" {before}{word}".encode(), np.array([1 + len(before), len(word.encode())]), a, b)
-        return parts and parts[1]
+    def _learn_closed(self, words: list[str]) -> list[Part | None]:
+        """Line ends, and words that stand after one: read as lines after a word of one letter."""
+        lines = [w for w in words if w != "\n"]
+        text = "a\n" + "\n".join(lines)
+        sizes = [2, *(n for w in lines for n in (1, len(w.encode())))] if lines else [2, 1]
+        parts = self._apart(f" {text}".encode(), np.array(sizes), *self.ids(text))
+        if parts is not None:
+            found = iter(parts[2::2])
+            return [parts[1] if w == "\n" else next(found) for w in words]
+        return [None] if len(words) == 1 else [part for w in words for part in self._learn_closed([w])]
 
     def found(self, words: list[str]) -> list[Part | None]:
         """What distinct words align to; one is a word after a space, or marked as without."""
@@ -185,16 +196,15 @@ class Aligner:
                 found[i] = own[word] = own.before[word]
             else:
                 missing.append(i)
-        spaced = [i for i in missing if words[i][:1] != _CLOSE]
-        for a in range(0, len(spaced), LEARNT):
-            some = spaced[a:a + LEARNT]
-            for i, part in zip(some, self._learn([words[i] for i in some])):
-                found[i] = part
-        for i in missing:
-            if words[i][:1] == _CLOSE:
-                found[i] = self._closed(words[i][1:])
-            if len(words[i]) <= 48:
-                own[words[i]] = found[i]
+        closed = [words[i][:1] == _CLOSE for i in missing]
+        for learn, own_kind in ((self._learn, False), (self._learn_closed, True)):
+            these = [i for i, c in zip(missing, closed) if c == own_kind]
+            for a in range(0, len(these), LEARNT):
+                some = these[a:a + LEARNT]
+                for i, part in zip(some, learn([words[i].removeprefix(_CLOSE) for i in some])):
+                    found[i] = part
+                    if len(words[i]) <= 48:
+                        own[words[i]] = part
         return found
 
 
@@ -215,7 +225,7 @@ class Block:
     """Some texts aligned: per text its measures and its distinct pairs with their links."""
 
     def __init__(self, own: Aligner, texts: list[str]) -> None:
-        cut = [bool(text) and not _UNEVEN.search(text) for text in texts]
+        cut = list(map(falls_apart, texts))
         marked = [text.replace("\n", f" {_CLOSE}\n {_CLOSE}") for text, c in zip(texts, cut) if c]
         split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
         words = split.flatten().dictionary_encode()
