@@ -127,16 +127,57 @@ def test_copies_of_a_page(spark, path):
     assert len(got) == 49 and set(got) == {r[0] for r in rows}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_every_way_to_find_the_wanted_pages(spark, monkeypatch, small):
+@pytest.mark.parametrize("words", [1 << 20, 1])
+def test_wanted_pages_are_found_whatever_the_filter_holds(spark, monkeypatch, words):
+    """A filter of one word lets many others through, which the narrow join leaves out."""
     pending = spark.createDataFrame([(f"p{i}", i) for i in range(20)], "cve_id string, ord long")
     names = [f"{k}{i}" for k in "pd" for i in range(20)] * 2
     pages = spark.createDataFrame([(f" {n}\n", 200, "x") for n in names], PAGES)
-    monkeypatch.setattr(merge, "BROADCAST_BYTES", 1 << 20 if small else -1)
-    got = [(r.cve_id, r.ord) for r in merge.wanted_pages(pages, pending).collect()]
+    monkeypatch.setattr(merge, "MIN_WORDS", 1)
+    monkeypatch.setattr(merge, "MAX_WORDS", words)
+    near = merge.wanted_pages(pages, pending)
+    assert near.columns == pages.columns
+    got = [(r.cve_id, r.ord) for r in merge.placed(near, pending).collect()]
     assert sorted(got) == sorted((n, int(n[1:])) for n in names if n.startswith("p"))
 
 
+def test_an_id_filter_loses_nothing_and_lets_little_through(spark):
+    ids = spark.range(0, 40_000, 2).select(F.col("id").cast("string").alias("cve_id"))
+    rows = spark.range(40_000).select(F.col("id").cast("string").alias("cve_id"), "id")
+    found = merge.may_hold(rows, ids)
+    assert found.columns == ["cve_id", "id"]
+    assert found.filter("id % 2 = 0").count() == 20_000
+    assert found.filter("id % 2 = 1").count() < 20_000 * 0.03
+    assert merge.may_hold(rows, ids.limit(0)).count() == 0
+    assert [merge.filter_words(n) for n in (0, 5000, 10**12)] == [merge.MIN_WORDS, 2048, merge.MAX_WORDS]
+
+
+@pytest.mark.parametrize("share, target", [(1, 40), (2, 40), (5, 30), (5, 400)])
+def test_a_target_reads_little_more_than_it_needs(spark, path, share, target):
+    """One page in ``share`` is good: the rows are those of a run over all, the pages read few."""
+    n = 600
+    ids = spark.createDataFrame([(i, f"CVE-2024-{i}") for i in range(n)], IDS)
+    pages = spark.createDataFrame([(f"CVE-2024-{i}", 200, FULL if i % share == 0 else "<p>") for i in range(n)], PAGES)
+    collect(ids, pages, path, run=1, target=target)
+    want = [f"CVE-2024-{i}" for i in range(0, n, share)][:target]
+    assert sorted(i for _, _, i in landed(spark, path)) == sorted(want)
+    read = spark.read.parquet(f"{path}/_staging/verdicts").count()
+    assert read <= min(n, 2 * target * share + 1)
+    tried = n if len(want) < target else int(want[-1].split("-")[-1]) + 1
+    assert set(rejected(spark, path, 1)) == {f"CVE-2024-{i}" for i in range(tried)} - set(want)
+
+
+def test_the_first_good_copy_is_picked_by_its_place(spark, path):
+    """Of equal rank the same copy is taken whatever the order of the pages."""
+    copies = [("CVE-2024-1", 200, FULL.replace("CVE-2024-0001", f"CVE-2024-{i}")) for i in range(2, 9)]
+    got = []
+    for run in (1, 2):
+        pages = spark.createDataFrame(copies[::1 if run == 1 else -1], PAGES).repartition(3)
+        collect(ids_of(spark, "CVE-2024-1"), pages, f"{path}{run}", run=1)
+        got.append(read_advisories(spark, f"{path}{run}").drop("run").collect())
+    assert got[0] == got[1] and len(got[0]) == 1
+
+
 def test_untrimmed_ids_are_collected_once(spark, path):
     ids = spark.createDataFrame([(1, " CVE-2024-1 "), (2, "CVE-2024-1")], IDS)
     pages = spark.createDataFrame([(" CVE-2024-1 ", 200, FULL)], PAGES)
@@ -165,11 +206,6 @@ def test_an_accepted_id_is_not_refused(spark, path):
     assert list(rejected(spark, path, 1)) == ["CVE-2024-2"]
 
 
-def test_id_bytes(spark):
-    assert merge.id_bytes(spark.createDataFrame([], "cve_id string")) == 0
-    assert merge.id_bytes(spark.createDataFrame([("abcd",), ("é",)], "cve_id string")) == 2 * 64 + 6
-
-
 def test_accepted_and_rejected_are_all_ids(spark, path):
     rng = random.Random(9)
     names = [f"CVE-2024-{n}" for n in range(200)]

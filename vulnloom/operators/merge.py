@@ -8,8 +8,10 @@ from vulnloom.operators.index import RANK_BLOCK, SORTED_LIMIT
 from vulnloom.operators.running import running_total
 from vulnloom.schema import RAW_COLUMNS
 
-# A set of ids is broadcast only when it is measured to be below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Words of 64 bits of an id filter, at least and at most, and ids a word is meant for.
+MIN_WORDS = 1 << 10
+MAX_WORDS = 1 << 20
+IDS_PER_WORD = 4
 # More years than this are not used to prune partitions.
 MAX_YEARS = 500
 
@@ -46,43 +48,67 @@ def in_years_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows if len(found) > MAX_YEARS else rows.filter(F.col("cve_year").isin(found))
 
 
-def id_bytes(ids: DataFrame) -> int:
-    """Measured size of an id set: text plus the per-row cost of a hash table."""
-    size = ids.agg(F.sum(F.octet_length("cve_id") + 64)).first()[0]
-    return size or 0
+def _bits(word_bits: Column) -> Column:
+    """The four bits of a word that an id sets, from its hash."""
+    one = F.lit(1).cast("bigint")
+    places = [F.shiftright(word_bits, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
+    bits = [F.call_function("shiftleft", one, place) for place in places]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def filter_words(n_ids: int) -> int:
+    """How many words a filter of so many ids has."""
+    words = MIN_WORDS
+    while words < MAX_WORDS and words * IDS_PER_WORD < n_ids:
+        words *= 2
+    return words
+
+
+def may_hold(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is among ``ids``, and a few others, found where the rows lie.
+
+    ``ids`` is a written table. Its Bloom filter has rows (_word, _bits): an id is four bits
+    of one 64-bit word. There are ``MAX_WORDS`` rows of two numbers at most, however many
+    ids, so the filter may always be broadcast; more ids than it is meant for let more
+    others through.
+    """
+    code = F.xxhash64("cve_id")
+    word = F.pmod(F.shiftright(code, 32), F.lit(filter_words(ids.count())))
+    bits = _bits(code)
+    own = {"_word": word, "_own": bits}
+    held = ids.withColumns(own).groupBy("_word").agg(F.bit_or("_own").alias("_bits"))
+    near = rows.withColumns(own).join(F.broadcast(held), "_word")
+    return near.filter(F.col("_bits").bitwiseAND(F.col("_own")) == F.col("_own")).select(*rows.columns)
 
 
 def wanted_pages(pages: DataFrame, pending: DataFrame) -> DataFrame:
-    """The pages of pending ids, with what ``pending`` tells of them; give it a written table.
+    """The pages whose ids may be pending; give it a written table of pending ids.
 
-    Ids are trimmed and unique in ``pending``, so the join finds and places a page at
-    once. A page is far larger than its id: an id set measured to be small is broadcast
-    to where the pages lie, and only a large one makes Spark move pages.
+    A page is far larger than its id, so it is never moved to be looked up: a Bloom filter
+    of the pending ids is tested where the pages lie. The few other pages that pass it are
+    left out by ``placed``, after they are read.
     """
-    own = [c for c in pages.columns if c == "cve_id" or c not in pending.columns]
-    pages = in_years_of(pages.select(*own).withColumn("cve_id", strip(F.col("cve_id"))), pending)
-    small = id_bytes(pending) <= BROADCAST_BYTES
-    return pages.join(F.broadcast(pending) if small else pending, "cve_id")
+    pages = pages.withColumn("cve_id", strip(F.col("cve_id")))
+    return may_hold(in_years_of(pages, pending), pending)
 
 
-def accepted_counts(rows: DataFrame) -> tuple[int, int]:
-    """(accepted rows, distinct ids among them)."""
-    good = rows.filter("reject_reason IS NULL")
-    return tuple(good.agg(F.count("*"), F.count_distinct("cve_id")).first())
+def placed(rows: DataFrame, pending: DataFrame) -> DataFrame:
+    """Rows of pending ids, with what ``pending`` tells of them; give it narrow rows."""
+    own = [c for c in rows.columns if c == "cve_id" or c not in pending.columns]
+    return rows.select(*own).join(pending, "cve_id")
 
 
-def first_success(rows: DataFrame, order: Column) -> DataFrame:
-    """One accepted row per id, the first by ``order``.
+def first_success(rows: DataFrame, order: Column, keep: list[str]) -> DataFrame:
+    """cve_id and the columns ``keep`` of one accepted row per id, the first by ``order``.
 
-    Copies of a page are reduced before the shuffle, so an id with very many
-    copies costs no more than any other.
+    Give it narrow rows that name their place. Copies of a page are reduced before the
+    shuffle, so an id with very many copies costs no more than any other.
     """
-    tie = F.xxhash64(*[c for c in RAW_COLUMNS if c in rows.columns])
     return (
         rows.filter("reject_reason IS NULL")
         .groupBy("cve_id")
-        .agg(F.min_by(F.struct(*rows.columns), F.struct(order, tie)).alias("row"))
-        .select("row.*")
+        .agg(F.min(F.struct(order.alias("_order"), *keep)).alias("at"))
+        .select("cve_id", *[f"at.{c}" for c in keep])
     )
 
 
@@ -94,12 +120,17 @@ def first_in_order(rows: DataFrame, n: int) -> DataFrame:
     """
     if n <= SORTED_LIMIT:
         return rows.orderBy("ord", "cve_id").limit(n)
+    return in_ord_order(rows).filter(F.col("_nth") <= n).select(*rows.columns)
+
+
+def in_ord_order(ids: DataFrame) -> DataFrame:
+    """Distinct ids with their 1-based place by (ord, cve_id), as ``_nth``; no task sorts them all."""
     wide = RANK_BLOCK * RANK_BLOCK
-    blocked = rows.withColumns(
+    blocked = ids.withColumns(
         {"_wide": F.floor(F.col("ord") / wide), "_block": F.floor(F.col("ord") / RANK_BLOCK)}
     )
-    placed = running_total(blocked, [], [["_wide"], ["_block"]], ["ord", "cve_id"], F.lit(1), "_nth")
-    return placed.filter(F.col("_nth") <= n).select(*rows.columns)
+    return running_total(blocked, [], [["_wide"], ["_block"]], ["ord", "cve_id"], F.lit(1), "_nth").select(
+        *ids.columns, "_nth")
 
 
 def last_tried(rows: DataFrame, room: int) -> tuple[int, str] | None:

@@ -1,9 +1,11 @@
 """Ids and pages to new rows of the dataset."""
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vulnloom.functions.text import strip
 from vulnloom.operators import merge
@@ -31,29 +33,88 @@ def read_advisories(spark: SparkSession, lake: str) -> DataFrame:
     return read_table(spark, advisories_path(lake), LAKE)
 
 
-def read_wanted(pages: DataFrame, pending: DataFrame, lake: str) -> DataFrame:
-    """Extract the pages of pending ids, once, into the staging table.
+# Where a row of the staging table lies.
+PLACE = ["_file", "_row"]
+# The next ids to be tried are as many as the acceptance so far asks for, and so much more.
+MARGIN = 1.05
 
-    ``pending`` is a written table. Its columns, and every column of ``pages`` beyond
-    the page itself, are kept.
-    """
-    wanted = merge.wanted_pages(pages, pending)
-    keep = [c for c in wanted.columns if c not in ("cve_id", "status", "html", "cve_year")]
-    return written(extract(wanted, keep), f"{lake}/_staging/rows")
+
+def staged_rows(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """Extracted rows, each with its place."""
+    return spark.read.schema(schema).parquet(*paths).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
 
 
-def add_rows(rows: DataFrame, order: Column, run: int, lake: str) -> int:
-    """Append the first accepted row of each id.
+class Staging:
+    """What a run or batch reads of its pages, each page once.
 
-    Rows are only moved when a count shows that an id is there twice. Returns
-    the number of rows added.
+    ``rows`` are wide and stay where they were written. ``verdicts`` has one narrow row for
+    each of them that is of a pending id: what ``pending`` tells of it, its fate, its place.
     """
-    n_rows, n_ids = merge.accepted_counts(rows)
-    if n_rows > n_ids:
-        rows = merge.first_success(rows, order)
+
+    def __init__(self, pages: DataFrame, lake: str, order: list[str] = ()) -> None:
+        self.pages, self.lake, self.order = pages, lake, list(order)
+        self.spark = pages.sparkSession
+        self.keep = [c for c in pages.columns if c not in ("cve_id", "status", "html", "cve_year", "ord")]
+        self.paths: list[str] = []
+        self.rows = self.verdicts = None
+
+    def read(self, pending: DataFrame) -> DataFrame:
+        """Extract the pages of some pending ids, a written table; returns their verdicts."""
+        number = len(self.paths)
+        own = extract(merge.wanted_pages(self.pages, pending), self.keep)
+        own = own.withColumn("_tie", F.xxhash64(*RAW_COLUMNS))
+        path = f"{self.lake}/_staging/rows/slice={number}"
+        own.write.mode("overwrite").parquet(path)
+        narrow = staged_rows(self.spark, [path], own.schema).select(
+            "cve_id", "reject_reason", "reject_detail", "_tie", *self.order, *PLACE
+        )
+        verdicts = written(merge.placed(narrow, pending), f"{self.lake}/_staging/verdicts/slice={number}")
+        self.paths.append(path)
+        self.rows = staged_rows(self.spark, self.paths, own.schema)
+        self.verdicts = verdicts if self.verdicts is None else self.verdicts.unionByName(verdicts)
+        return verdicts
+
+
+def read_until(staging: Staging, pending: DataFrame, room: int) -> tuple[int, str] | None:
+    """Read pending ids in order until ``room`` of them are accepted; (ord, cve_id) of the last of these.
+
+    Ids are read in slices: as many as would fill the room if all were accepted, then as
+    many as the share accepted so far asks for, so of a share that stays alike little more
+    is read than needed. None where the ids do not fill the room.
+    """
+    spark = pending.sparkSession
+    ranked = written(merge.in_ord_order(pending), f"{staging.lake}/_staging/ranked")
+    n_ids, tried, accepted = ranked.count(), 0, 0
+    while accepted < room and tried < n_ids:
+        missing = room - accepted
+        share = accepted / tried if tried else 1.0
+        size = math.ceil(missing / share * MARGIN) if accepted else max(missing, 2 * tried)
+        path = f"{staging.lake}/_staging/slice"
+        now = written(ranked.filter(F.col("_nth").between(tried + 1, tried + size)).drop("_nth"), path)
+        verdicts = staging.read(now)
+        accepted += verdicts.filter("reject_reason IS NULL").select("cve_id").distinct().count()
+        tried = min(tried + size, n_ids)
+    if not tried:
+        staging.read(written(pending.limit(0), f"{staging.lake}/_staging/slice"))
+    return merge.last_tried(staging.verdicts, room)
+
+
+def add_rows(staging: Staging, verdicts: DataFrame, order: Column, run: int) -> int:
+    """Append the first accepted row of each id; returns how many.
+
+    The first is found among verdicts; the rows themselves are then picked by their place.
+    """
+    chosen = written(
+        merge.first_success(verdicts, F.struct(order, "_tie", *PLACE), ["ord", *PLACE]),
+        f"{staging.lake}/_staging/chosen",
+    )
+    n_ids = chosen.count()
     if n_ids:
-        new = rows.filter("reject_reason IS NULL").withColumn("run", F.lit(run).cast("bigint"))
-        append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(lake))
+        new = staging.rows.join(chosen.select("ord", *PLACE), PLACE)
+        new = new.withColumn("run", F.lit(run).cast("bigint"))
+        append_by_year(new.select(*RAW_COLUMNS, "run", "ord"), advisories_path(staging.lake))
     return n_ids
 
 
@@ -69,7 +130,8 @@ def collect(
     """Add the advisories of ``ids`` that the lake does not hold yet.
 
     Ids already collected are dropped before any page is parsed, and only the
-    difference is appended, so a run that is repeated adds nothing. ``ids`` has
+    difference is appended, so a run that is repeated adds nothing. Pages are never moved;
+    with a ``target`` they are read in slices of ids until it is met. ``ids`` has
     (ord, cve_id), ``pages`` (cve_id, status, html). Every id tried is either added or
     in the rejects table, once: without a page, or with one reason its pages were
     refused for. Ids after the one that meets the target are not tried. Returns the
@@ -81,20 +143,24 @@ def collect(
     done = written(merge.done_ids(existing), f"{lake}/_staging/done")
     pending = written(merge.pending_ids(ids, done), f"{lake}/_staging/pending")
     room = None if target is None else max(0, target - n_existing)
-    if room == 0:
+    staging = Staging(pages, lake)
+    if room is None:
+        staging.read(pending)
+        rows = staging.verdicts
+    elif room == 0:
         pending = pending.limit(0)
-    read = rows = read_wanted(pages, pending, lake)
-    if room:
-        last = merge.last_tried(rows, room)
-        rows, pending = merge.up_to(rows, last), merge.up_to(pending, last)
+        rows = staging.read(written(pending, f"{lake}/_staging/slice"))
+    else:
+        last = read_until(staging, pending, room)
+        rows, pending = merge.up_to(staging.verdicts, last), merge.up_to(pending, last)
     counts = {
         "ids_available": ids.count(),
         "existing_rows": n_existing,
         "already_collected": done.count(),
         "attempted": pending.count(),
     }
-    added = add_rows(rows, F.col("ord"), run, lake)
-    no_page = pending.join(read.select("cve_id"), "cve_id", "left_anti").select(
+    added = add_rows(staging, rows, F.col("ord"), run)
+    no_page = pending.join(staging.verdicts.select("cve_id"), "cve_id", "left_anti").select(
         "cve_id",
         F.lit("not_fetched").alias("reject_reason"),
         F.lit(None).cast("string").alias("reject_detail"),

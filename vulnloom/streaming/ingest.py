@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vulnloom.functions.text import strip
-from vulnloom.operators.merge import BROADCAST_BYTES, id_bytes, in_years_of, refused
+from vulnloom.operators import merge
 from vulnloom.plans import collect
 from vulnloom.schema import PAGES
 from vulnloom.session import written
@@ -47,18 +47,17 @@ def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     arrived = batch.withColumn("cve_id", strip(F.col("cve_id"))).filter("cve_id <> ''")
     asked = written(arrived.select("cve_id").distinct(), f"{lake}/_staging/asked")
     # Only the years of this batch are read from the table.
-    table = in_years_of(collect.read_advisories(spark, lake), asked)
+    table = merge.in_years_of(collect.read_advisories(spark, lake), asked)
     known = table.select(strip(F.col("cve_id")).alias("cve_id"))
-    small = id_bytes(asked) <= BROADCAST_BYTES
-    hits = known.join(F.broadcast(asked) if small else asked, "cve_id", "left_semi")
+    hits = merge.may_hold(known, asked).join(asked, "cve_id", "left_semi")
     done = written(hits.distinct(), f"{lake}/_staging/done")
     pending = written(asked.join(done, "cve_id", "left_anti"), f"{lake}/_staging/pending")
-    rows = collect.read_wanted(arrived, pending, lake)
-    rows = rows.withColumn("ord", F.unix_micros("arrived"))
-    collect.add_rows(rows, F.struct(*ARRIVAL), batch_id, lake)
+    staging = collect.Staging(arrived, lake, ARRIVAL)
+    rows = staging.read(pending).withColumn("ord", F.unix_micros("arrived"))
+    collect.add_rows(staging, rows, F.struct(*ARRIVAL), batch_id)
     # A query keeps its id in its checkpoint; a new checkpoint is another query.
     source = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    collect.write_rejects(refused(rows), lake, f"stream-{source}", batch_id, "0")
+    collect.write_rejects(merge.refused(rows), lake, f"stream-{source}", batch_id, "0")
 
 
 def ingest(pages: DataFrame, lake: str, checkpoint: str, **trigger) -> StreamingQuery:
