@@ -200,6 +200,7 @@ def ranked(ids: DataFrame) -> DataFrame:
 def preview(ids: DataFrame, first: int = PREVIEW_FIRST, last: int = PREVIEW_LAST) -> DataFrame:
     """The first and last ids, marked by ``part``, each in id order."""
     keyed = with_id_parts(ids.select("cve_id"))
-    head = keyed.orderBy("_year", "_seq").limit(first).withColumn("part", F.lit("first"))
-    tail = keyed.orderBy(F.desc("_year"), F.desc("_seq")).limit(last).withColumn("part", F.lit("last"))
-    return head.unionByName(tail).orderBy("part", "_year", "_seq").select("part", "cve_id")
+    order = ["_year", "_seq", "cve_id"]
+    head = keyed.orderBy(*order).limit(first).withColumn("part", F.lit("first"))
+    tail = keyed.orderBy(*map(F.desc, order)).limit(last).withColumn("part", F.lit("last"))
+    return head.unionByName(tail).orderBy("part", *order).select("part", "cve_id")

@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt to all tasks before pages are rendered from them: a small table is one
+    row group, and its pages would all be read by one task. Pages themselves are not moved."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def text(*parts) -> Column:
     """Concatenate strings and columns."""
     return F.concat(*[
@@ -130,8 +136,8 @@ def advisory_pages(spark: SparkSession, sf_dir: str, healed: bool = False) -> Da
     Some cannot be accepted: wrong status, page class or details list missing.
     ``healed`` is a later crawl in which every status is 200.
     """
-    parts = (
-        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    parts = dealt(
+        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), "p_partkey"
     )
     k = F.col("p_partkey")
     name, brand, kind = (escape_html(F.col(c)) for c in ("p_name", "p_brand", "p_type"))
@@ -159,7 +165,7 @@ def advisory_pages(spark: SparkSession, sf_dir: str, healed: bool = False) -> Da
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One advisory page per document, its whole text as the details."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     html = text(
         '<div class="vulnerability-page"><dl class="vulnerability-details">',
         _entry("Details", escape_html(F.coalesce("text", F.lit("")))), "</dl></div>",
