@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written where dots and marks mean something."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def as_row(columns: list[str]) -> Column:
+    """Columns as one struct, in which no name of theirs meets another."""
+    return F.struct(*(F.col(quoted(c)) for c in columns))
+
+
 def id_texts(docs: DataFrame, **more: Column) -> DataFrame:
     """doc_id and text alone, and what ``more`` names; a null text is empty, a row without doc_id
     takes no part."""
@@ -72,6 +83,29 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Itera
         yield _batch(held, schema)
 
 
+def by_group(parts: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Batches sorted by long keys, cut so that rows of one key stay together; a row is copied once."""
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        if not len(part):
+            continue
+        own = [part.column(k).to_numpy() for k in keys]
+        goes_on = bool(held) and all(held[-1].column(k)[-1].as_py() == c[0] for k, c in zip(keys, own))
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in own], axis=0)) + 1
+        if len(change):
+            cut = int(change[-1])
+        elif goes_on:
+            held.append(part)
+            continue
+        else:
+            cut = 0
+        if held or cut:
+            yield pa.Table.from_batches([*held, part.slice(0, cut)]).combine_chunks()
+        held = [part.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 class Memo(dict):
     """What ``find`` gives for a word, remembered for words of up to 48 characters.
 
