@@ -8,8 +8,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from vulnloom.llm.common import batches, id_texts, staged
+from vulnloom.llm.common import as_row, batches, id_texts, staged
 from vulnloom.llm.tokens import END, encoder
 
 ROOM = 2048
@@ -91,26 +92,28 @@ def place(pieces: DataFrame, room: int = ROOM, open_bins: int = OPEN_BINS) -> Da
     total = pieces.agg(F.sum("length")).first()[0] or 0
     shards = -(-2 * total // (open_bins * room)) or 1
     columns = pieces.columns
+    shard_of = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, bins = None, None
         for part in parts:
             numbers, offsets = [], []
-            for own, length in zip(part.column("__shard").to_pylist(), part.column("length").to_pylist()):
+            rows = part.column("row").flatten()
+            for own, length in zip(part.column("shard").to_pylist(), rows[columns.index("length")].to_pylist()):
                 if own != shard:
                     shard, bins = own, OpenBins(room, open_bins)
                 number, offset = bins.place(length)
                 numbers.append((own << 40) + number)
                 offsets.append(offset)
             yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in columns] + [pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())],
+                rows + [pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())],
                 names=[*columns, "sequence_id", "offset"])
 
-    dealt = pieces.withColumn("__shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return (dealt.repartition("__shard")
-            .sortWithinPartitions("__shard", F.desc("length"), "doc_id", "piece")
-            .mapInArrow(run, f"{kinds}, sequence_id long, offset long"))
+    # Given columns travel in a struct, so no name of theirs meets one of these.
+    dealt = pieces.select(shard_of.alias("shard"), as_row(columns).alias("row"))
+    return (dealt.repartition("shard")
+            .sortWithinPartitions("shard", F.desc("row.length"), "row.doc_id", "row.piece")
+            .mapInArrow(run, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, room: int = ROOM, open_bins: int = OPEN_BINS) -> DataFrame:
