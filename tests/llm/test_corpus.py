@@ -415,7 +415,7 @@ def test_license_templates_and_phrases(spark):
              (7, f"{long} Licensed under the Apache License, Version 2.0 {long}"), (8, "")]
     got = {r.doc_id: r for r in licenses.scan(docs_of(spark, texts)).collect()}
     assert {i: r.labels for i, r in got.items()} == {
-        1: "mit", 2: "cc-by-nc", 3: "", 4: "gpl-3", 5: "", 6: "all-rights-reserved,mit", 7: "apache-2", 8: ""}
+        1: "mit", 2: "cc-by-nc", 3: "all-rights-reserved", 4: "gpl-3", 5: "", 6: "all-rights-reserved,mit", 7: "apache-2", 8: ""}
     assert (got[6].n_base, got[6].first_word, got[6].last_word, got[6].n_words) == (2, 3, 6, 9)
     assert got[2].first_word == 201 and got[4].score == pytest.approx(10 / 12) and got[5].score == 0
 

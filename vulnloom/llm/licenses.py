@@ -12,24 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vulnloom.llm.common import batches, id_text_rows, id_texts, staged
+from vulnloom.llm.license_texts import NOTICES, PHRASES
 
 THRESHOLD = 0.8
-BLOCK_WORDS = 64
-
-# The base phrases and their labels.
-PHRASES = [("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-
-# Wording of common license notices, as words.
-TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("all-rights-reserved", "all rights reserved"),
-]
+# A block is at least this long, so a notice of a few words is not put together from afar.
+LEAST_REACH = 4
 
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -39,14 +26,19 @@ def needed(n: int, threshold: float = THRESHOLD) -> int:
     return ceil(round(threshold * n, 9))
 
 
-def blocks(words: list[bytes], size: int = BLOCK_WORDS) -> Iterator[list[bytes]]:
-    """A line, or where it is longer than ``size`` words, half-overlapping runs of it."""
-    for at in range(0, max(len(words) - size // 2, 1), size // 2):
-        yield words[at:at + size]
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(_WORD_BYTES).split()
 
 
-def lines(text: bytes) -> list[list[bytes]]:
-    return [line.translate(_WORD_BYTES).split() for line in text.split(b"\n")]
+def reach(n_words: int, threshold: float = THRESHOLD) -> int:
+    """Words over which a template of ``n_words`` words in all may be spread and is surely found."""
+    return max(LEAST_REACH, ceil(round(n_words / threshold, 9)))
+
+
+def n_blocks(n_words: int, size: int) -> int:
+    """Blocks of a text: runs of twice ``size`` words, each ``size`` after the one before, whatever
+    the line ends; so every run of ``size`` words lies in one of them."""
+    return max(ceil((n_words - size) / size), 1)
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -55,15 +47,16 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     found = []
     for phrase, label in PHRASES:
         own = b" " + phrase.encode() + b" "
-        at = run.find(own)
+        at, before, upto = run.find(own), 0, 0
         while at >= 0:
-            found.append((run.count(b" ", 0, at), label))
+            before, upto = before + run.count(b" ", upto, at), at
+            found.append((before, label))
             at = run.find(own, at + 1)
     return found
 
 
 def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """In how many blocks of all documents each word of the templates stands.
+    """How often each word of the templates stands in all documents.
 
     Counts are combined per task, and the driver gets one per template word.
     """
@@ -71,9 +64,7 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter[bytes] = Counter()
         for _, text in id_text_rows(parts):
-            for line in lines(text):
-                for block in blocks(line):
-                    count.update(vocabulary.intersection(block))
+            count.update(w for w in words_of(text) if w in vocabulary)
         yield from batches(count.items(), pa.schema([("word", pa.binary()), ("n", pa.int64())]))
 
     rows = id_texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -83,10 +74,11 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Labels of every document.
 
-    A block is a line, cut to half-overlapping runs of 64 words where longer. A template
-    is found in a block that holds at least ``threshold`` of its distinct words. Words
-    are ordered by their frequency over all blocks, rarest first. A block can only reach
-    the threshold if it holds one of the first words of a template (prefix filter), has
+    Blocks are half-overlapping runs of words over the whole document, across line ends, and
+    as long as the template needs (``reach``): wherever a run of that many words holds
+    ``threshold`` of its distinct words, a block does. Templates of one length share blocks.
+    Words are ordered by their frequency over all documents, rarest first. A block can only
+    reach the threshold if it holds one of the first words of a template (prefix filter), has
     words enough (length filter) and enough left after the first shared one (positional
     filter); what passes is verified.
 
@@ -96,36 +88,45 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
     returned each; a row without doc_id takes no part; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    wording = [(label, sorted(set(text.encode().split()))) for label, text in templates or TEMPLATES]
-    vocabulary = frozenset(w for _, words in wording for w in words)
+    wording = []
+    for label, text in templates or NOTICES:
+        words = words_of(text.encode())
+        wording.append((label, sorted(set(words)), reach(len(words), threshold)))
+    vocabulary = frozenset(w for _, words, _ in wording for w in words)
     seen = frequencies(docs, vocabulary)
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
     prefix = []
-    for number, (label, words) in enumerate(wording):
+    # Of each length of blocks, the words that matter and those that open a prefix.
+    every: dict[int, set[bytes]] = {}
+    first: dict[int, set[bytes]] = {}
+    for number, (label, words, size) in enumerate(wording):
         ranked, least = sorted(words, key=order.get), needed(len(words), threshold)
+        every.setdefault(size, set()).update(words)
+        first.setdefault(size, set()).update(ranked[:len(words) - least + 1])
         for i in range(len(words) - least + 1):
-            prefix.append((order[ranked[i]], number, i, len(words), least, label, [order[w] for w in ranked]))
-    first_words = frozenset(w for w in vocabulary if order[w] in {row[0] for row in prefix})
+            prefix.append((order[ranked[i]], size, number, i, len(words), least, label, [order[w] for w in ranked]))
+    any_first = frozenset().union(*first.values())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         schema = pa.schema([
             ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()),
             ("first_word", pa.int64()), ("last_word", pa.int64()), ("base", pa.list_(pa.string())),
-            ("blocks", pa.list_(pa.struct([("size", pa.int32()), ("words", pa.list_(pa.int32()))])))])
+            ("blocks", pa.list_(pa.struct([("reach", pa.int32()), ("size", pa.int32()), ("words", pa.list_(pa.int32()))])))])
 
         def rows():
             for number, (doc_id, text) in enumerate(id_text_rows(parts)):
-                by_line = lines(text)
-                words = [w for line in by_line for w in line]
+                words = words_of(text)
                 held = []
-                if not first_words.isdisjoint(words):
-                    for line in by_line:
-                        for block in blocks(line):
-                            if not first_words.isdisjoint(block):
-                                own = sorted(order[w] for w in vocabulary.intersection(block))
-                                held.append({"size": len(set(block)), "words": own})
-                places = base_places(words) if held or len(words) > 1 else []
+                hits = [] if any_first.isdisjoint(words) else [(i, w) for i, w in enumerate(words) if w in any_first]
+                for size in first if hits else ():
+                    last = n_blocks(len(words), size) - 1
+                    near = {min(b, last) for i, w in hits if w in first[size] for b in (i // size, max(i // size - 1, 0))}
+                    for b in sorted(near):
+                        block = set(words[b * size:(b + 2) * size])
+                        own = sorted(order[w] for w in every[size] & block)
+                        held.append({"reach": size, "size": len(block), "words": own})
+                places = base_places(words)
                 at = [a for a, _ in places]
                 yield (base + number, doc_id, len(words), len(places), min(at, default=None), max(at, default=None),
                        sorted({label for _, label in places}), held)
@@ -134,13 +135,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
 
     own = staged(id_texts(docs).mapInArrow(
         run, "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
-             "blocks array<struct<size: int, words: array<int>>>"), "license-blocks")
+             "blocks array<struct<reach: int, size: int, words: array<int>>>"), "license-blocks")
     # One row per prefix word of the templates: a table of fixed size.
     index = F.broadcast(spark.createDataFrame(
-        prefix, "word int, template int, i int, n int, least int, label string, wording array<int>"))
-    held = own.select("row", F.posexplode("blocks").alias("block", "b")).select("row", "block", "b.size", "b.words")
-    pairs = (held.select("row", "block", "size", "words", F.posexplode("words").alias("j", "word"))
-             .join(index, "word")
+        prefix, "word int, reach int, template int, i int, n int, least int, label string, wording array<int>"))
+    held = own.select("row", F.posexplode("blocks").alias("block", "b")).select("row", "block", "b.reach", "b.size", "b.words")
+    pairs = (held.select("row", "block", "reach", "size", "words", F.posexplode("words").alias("j", "word"))
+             .join(index, ["word", "reach"])
              .where("size >= least")
              .where("1 + least(n - i - 1, size(words) - j - 1) >= least OR i > 0"))
     found = (pairs.groupBy("row", "block", "template")

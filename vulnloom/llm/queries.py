@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,11 +123,14 @@ def _places() -> str:
 
 
 def _templates() -> str:
-    rows = [f"({i}, '{label}', {sorted(set(text.split()))})" for i, (label, text) in enumerate(licenses.TEMPLATES)]
+    """SQL values of the templates: number, label, distinct words, length of the runs to look in."""
+    rows = []
+    for i, (label, text) in enumerate(licenses.NOTICES):
+        words = re.findall("[a-z0-9]+", text.lower())
+        rows.append(f"({i}, '{label}', {sorted(set(words))}, {licenses.reach(len(words))})")
     return ", ".join(rows)
 
 
-_SIZE = licenses.BLOCK_WORDS
 _KEYS = (r"translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), "
          "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 _ORDERS = ", ".join(f"('{order}')" for order in filter_audit.ORDERS)
@@ -149,18 +154,16 @@ ORACLES = {
             SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
             FROM places GROUP BY doc_id
         ),
-        lines AS (
-            SELECT doc_id, regexp_extract_all(line, '{_WORDS}') AS w
-            FROM (SELECT doc_id, unnest(string_split({_LOWERED}, chr(10))) AS line FROM documents)
-        ),
+        templates AS (SELECT * FROM (VALUES {_templates()}) t(i, label, t, reach)),
         blocks AS (
-            SELECT doc_id, list_distinct(w[s + 1:s + {_SIZE}]) AS b
-            FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {_SIZE // 2}, 1), {_SIZE // 2})) AS s FROM lines)
+            SELECT doc_id, reach, list_distinct(w[s + 1:s + 2 * reach]) AS b
+            FROM (SELECT doc_id, w, reach, unnest(range(0, greatest(len(w) - reach, 1), reach)) AS s
+                  FROM words, (SELECT DISTINCT reach FROM templates))
         ),
         held AS (
-            SELECT doc_id, t.label, len(list_intersect(b, t.w)) / len(t.w) AS share
-            FROM blocks JOIN (VALUES {_templates()}) t(i, label, w)
-                ON len(list_intersect(b, t.w)) >= ceil(round({licenses.THRESHOLD} * len(t.w), 9))
+            SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS share
+            FROM blocks JOIN templates USING (reach)
+            WHERE len(list_intersect(b, t)) >= ceil(round({licenses.THRESHOLD} * len(t), 9))
         ),
         more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM held GROUP BY doc_id)
         SELECT doc_id, len(words.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
