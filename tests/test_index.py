@@ -4,6 +4,7 @@ import pytest
 
 from vulnloom.operators import index
 from vulnloom.operators.parse import might_hold, page_links
+from vulnloom.operators.running import running_total
 from vulnloom.plans.build_index import build_index
 from vulnloom.schema import LISTING_PAGES, LISTING_PREFIX
 
@@ -202,3 +203,19 @@ def test_preview_of_ids_without_numbers_is_in_their_order(spark):
     got = [(r.part, r.cve_id) for r in index.preview(ids, 3, 2).collect()]
     names = sorted(f"X{i}" for i in range(100))
     assert got == [("first", n) for n in names[:3]] + [("last", n) for n in names[-2:]]
+
+
+def test_ids_without_numbers_are_ranked_in_bounded_blocks(spark, monkeypatch):
+    ids = [f"X{n}" for n in range(6000)] + ["CVE-2024-0007", "CVE-2024-0007", ""]
+    frame = spark.createDataFrame([(i,) for i in ids], "cve_id string")
+    cut = []
+    monkeypatch.setattr(index, "running_total", lambda df, *a: cut.append(df) or running_total(df, *a))
+    got = {r.cve_id: r.position for r in index.ranked(frame, rows=500).collect()}
+    want = ["", *sorted(f"X{n}" for n in range(6000)), "CVE-2024-0007"]
+    assert got == {cve_id: n for n, cve_id in enumerate(want, 1)}
+    sizes = [r["count"] for r in cut[0].groupBy("_block").count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 1500
+
+
+def test_no_ids_have_no_rank(spark):
+    assert index.ranked(spark.createDataFrame([], "cve_id string")).count() == 0

@@ -1,4 +1,5 @@
 import csv
+import io
 import random
 from pathlib import Path
 
@@ -6,8 +7,9 @@ import pytest
 from golden import EXPECTED, FULL
 
 from vulnloom.operators.extract import accepted, extract
+from vulnloom.plans import collect
 from vulnloom.schema import RAW, RAW_COLUMNS
-from vulnloom.sources.dataset import read_csv_dataset, write_csv_dataset
+from vulnloom.sources.dataset import read_csv_dataset, read_csv_leniently, write_csv_dataset
 from vulnloom.sources.id_list import read_id_list, write_id_list
 from vulnloom.sources.pages import read_listing_pages, read_page_files, read_pages
 
@@ -159,3 +161,27 @@ def test_page_tables(spark, tmp_path):
 
     scope = listing_in_scope(read_listing_pages(spark, listing), 2025, 2025)
     assert [tuple(r) for r in scope.select("year", "html").collect()] == [(2025, "y")]
+
+
+def test_bad_records_are_set_aside_whole(spark, tmp_path):
+    path, lake = tmp_path / "old.csv", str(tmp_path / "lake")
+    good = ["CVE-2024-0001", *["", 'a "b",\nc'], *["x"] * 19]
+    out = io.StringIO()
+    csv.writer(out).writerows([RAW_COLUMNS, good, ["CVE-2024-0002", *["y"] * 21], [" ", *["z"] * 21]])
+    text = out.getvalue() + "CVE-2024-0003,cut\r\n" + ",".join(["CVE-2024-0004"] * 23) + "\r\n" + 'CVE-2024-0005,"open,\nrest\n'
+    path.write_text(text, newline="")
+    with pytest.raises(Exception):
+        collect.import_csv(spark, str(path), lake)
+    for _ in range(2):
+        collect.import_csv(spark, str(path), lake, keep_bad=True)
+    rows = {r.cve_id: r for r in collect.read_advisories(spark, lake).collect()}
+    assert sorted(rows) == ["CVE-2024-0001", "CVE-2024-0002"] and rows["CVE-2024-0001"].json_data == "x"
+    assert [rows["CVE-2024-0001"][c] for c in RAW_COLUMNS] == good
+    bad = {r.record.strip() for r in spark.read.parquet(collect.bad_rows_path(lake)).collect()}
+    assert bad == {"CVE-2024-0003,cut", 'CVE-2024-0005,"open,\nrest', ",".join(["CVE-2024-0004"] * 23)}
+    assert path.read_text(newline="") == text
+
+
+def test_no_csv_has_no_bad_records(spark, tmp_path):
+    rows, bad = read_csv_leniently(spark, str(tmp_path / "none"), str(tmp_path / "work"))
+    assert rows.count() == 0 and bad.count() == 0

@@ -1,0 +1,71 @@
+"""Statistics kept per run against the same questions over all rows."""
+
+import random
+
+import pytest
+
+from vulnloom.operators import analytics
+from vulnloom.operators.typed import typed
+from vulnloom.plans import collect, statistics
+from vulnloom.schema import RAW_COLUMNS
+from vulnloom.sources.dataset import append_by_year
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(9)
+    out = []
+    for n in range(3000):
+        row = dict.fromkeys(RAW_COLUMNS, "") | {
+            "cve_id": f"CVE-{2020 + n % 3}-{n:04d}", "ecosystem": rng.choice(["", "npm", "PyPI"]),
+            "cvss_score": rng.choice(["", "x", f"{rng.randrange(101) / 10}"]), "cvss_version": "CVSS_V3",
+            "summary": f"s{rng.randrange(500)}", "details": f"d{n}"}
+        out.append((*(row[c] for c in RAW_COLUMNS), 1 + n % 7 % 3, n))
+    return out
+
+
+@pytest.fixture
+def lake(spark, tmp_path, rows):
+    frame = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in RAW_COLUMNS) + ", run long, ord long")
+    append_by_year(frame, collect.advisories_path(str(tmp_path)))
+    for run in (1, 2, 3, 2):  # a run counted again replaces itself
+        statistics.keep_statistics(spark, str(tmp_path), run)
+    return str(tmp_path)
+
+
+def test_profile_of_runs(spark, lake):
+    exact = {r.column: r for r in analytics.profile(collect.read_advisories(spark, lake)).collect()}
+    merged = {r.column: r for r in statistics.profile(spark, lake).collect()}
+    assert set(merged) == set(RAW_COLUMNS)
+    for c, r in merged.items():
+        assert (r.rows, r.filled) == (exact[c].rows, exact[c].filled) and r.rows == 3000
+        assert r.distinct_values == pytest.approx(exact[c].distinct_values, rel=0.04, abs=1)
+    assert spark.read.parquet(statistics.profiles_path(lake)).count() == 3 * len(RAW_COLUMNS)
+
+
+@pytest.mark.parametrize("by", statistics.SCORE_GROUPS)
+def test_scores_of_runs_are_exact(spark, lake, by):
+    whole = analytics.score_summary(typed(collect.read_advisories(spark, lake)), by).collect()
+    kept = statistics.score_summary(spark, lake, by).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(map(tuple, whole), key=repr) and kept
+
+
+def test_error_of_sketches(spark):
+    """Merged sketches of overlapping sets see each value once, within four standard errors."""
+    frame = spark.range(400_000).selectExpr("CAST(id % 150000 AS STRING) AS v", "id % 4 AS part")
+    sketches = [analytics.profile_sketches(frame.filter(f"part = {n}").select("v"), ["v"]) for n in range(4)]
+    union = sketches[0]
+    for s in sketches[1:]:
+        union = union.unionByName(s)
+    got = analytics.merged_profile(union).first()
+    assert (got.rows, got.filled) == (400_000, 400_000)
+    assert got.distinct_values == pytest.approx(150_000, rel=4 * 1.04 / 2 ** (analytics.SKETCH_LG_K / 2))
+
+
+def test_nothing_kept_and_empty_runs(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    assert statistics.profile(spark, lake).count() == 0 and statistics.score_summary(spark, lake, "ecosystem").count() == 0
+    statistics.keep_statistics(spark, lake, 1)
+    got = statistics.profile(spark, lake).collect()
+    assert {(r.rows, r.filled, r.distinct_values) for r in got} == {(0, 0, 0)} and len(got) == len(RAW_COLUMNS)
+    assert statistics.score_summary(spark, lake, "ecosystem").count() == 0

@@ -44,7 +44,7 @@ def stream(spark, args):
 
 
 def import_(spark, args):
-    import_csv(spark, args.csv, args.lake)
+    import_csv(spark, args.csv, args.lake, args.keep_bad)
 
 
 def export(spark, args):
@@ -101,7 +101,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--files", action="store_true", help="pages are HTML files, not Parquet")
     sub.add_argument("--files-per-batch", type=int, default=10_000)
 
-    job("import", import_, "csv", "lake")
+    sub = job("import", import_, "csv", "lake")
+    sub.add_argument("--keep-bad", action="store_true", help="set records that do not fit aside instead of stopping")
     job("export", export, "lake", "csv")
 
     sub = job("report", report, "lake", "out")

@@ -14,6 +14,8 @@ from vulnloom.schema import RAW_COLUMNS
 
 # Values up to this long are compared as they are, longer ones by SHA-256.
 PLAIN_VALUE = 64
+# Log of the registers of a stored sketch.
+SKETCH_LG_K = 14
 
 
 def profile(raw: DataFrame, columns: list[str] = RAW_COLUMNS, approximate: bool = False) -> DataFrame:
@@ -49,6 +51,36 @@ def profile(raw: DataFrame, columns: list[str] = RAW_COLUMNS, approximate: bool
     return named.join(counted, "column", "left").fillna(0)
 
 
+def profile_sketches(raw: DataFrame, columns: list[str] = RAW_COLUMNS, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """What ``merged_profile`` needs of a set of rows: per column its counts and a sketch of its values.
+
+    One pass; a sketch has some 16 KB however many values it has seen.
+    """
+    per_column = F.array(*[
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count("*").alias("rows"),
+            F.count(_filled(c)).alias("filled"),
+            F.hll_sketch_agg(_filled(c), lg_k).alias("sketch"),
+        )
+        for c in columns
+    ])
+    return raw.agg(per_column.alias("columns")).select(F.inline("columns"))
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all sets that were sketched, without reading them again.
+
+    Rows and filled cells are exact. Distinct values are an estimate, whose standard error is
+    1.04 / sqrt(2 ** lg_k), below one percent, however many sets are merged.
+    """
+    return sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("filled").alias("filled"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"),
+    )
+
+
 def _filled(column: str) -> Column:
     return F.nullif(F.col(column), F.lit(""))
 
@@ -74,11 +106,21 @@ def score_summary(advisories: DataFrame, by: str = "cvss_version") -> DataFrame:
     Scores have one decimal, so a group has few distinct ones. They are counted
     first, as tenths, and the exact median is taken over the counts.
     """
-    scores = (
+    return summary_of_counts(score_counts(advisories, by), by)
+
+
+def score_counts(advisories: DataFrame, by: str) -> DataFrame:
+    """How often each group has each score: (by, tenths, n). Counts of two sets of advisories add up."""
+    return (
         advisories.filter("cvss_score IS NOT NULL")
         .groupBy(by, (F.col("cvss_score") * 10).cast("int").alias("tenths"))
         .agg(F.count("*").alias("n"))
     )
+
+
+def summary_of_counts(counts: DataFrame, by: str) -> DataFrame:
+    """The summary of all advisories counted; the counts of several sets may stand in one table."""
+    scores = counts.groupBy(by, "tenths").agg(F.sum("n").alias("n"))
     return scores.groupBy(by).agg(
         F.sum("n").alias("scored"),
         (F.min("tenths") / 10).alias("min_score"),

@@ -53,17 +53,29 @@ def attempt_wait(attempt: Column, status: Column, retry_after: Column) -> Column
     )
 
 
-def retry_frontier(fetch_log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Per id, where its latest attempt leaves it.
+def due(frontier: DataFrame, now: Column) -> DataFrame:
+    """Ids whose wait is over: those to be tried again at ``now``."""
+    return frontier.filter((F.col("outcome") == "retry") & (F.col("due_at") <= now))
+
+
+def latest_attempts(fetch_log: DataFrame) -> DataFrame:
+    """The latest attempt at each id, with the columns of the log.
+
+    It is a plain maximum, so that of several parts of a log is found among those of the parts.
+    """
+    last = F.max(F.struct("attempt", "ts", "status", "retry_after")).alias("last")
+    return fetch_log.groupBy("cve_id").agg(last).select("cve_id", "last.*")
+
+
+def frontier(fetch_log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Per id, where its latest attempt leaves it, and when its wait is over, as ``due_at``.
 
     The latest attempt is a plain maximum, combined before the shuffle, so an
     id with very many attempts costs no more than any other.
     """
-    latest = fetch_log.groupBy("cve_id").agg(
-        F.max(F.struct("attempt", "ts", "status", "retry_after")).alias("last")
-    )
-    attempt, status = F.col("last.attempt"), F.col("last.status")
-    wait = attempt_wait(attempt, status, F.col("last.retry_after"))
+    latest = latest_attempts(fetch_log)
+    attempt, status = F.col("attempt"), F.col("status")
+    wait = attempt_wait(attempt, status, F.col("retry_after"))
     outcome = (
         F.when(response_class(status) == "ok", "ok")
         .when(F.col("wait").isNull(), "permanent")
@@ -72,10 +84,17 @@ def retry_frontier(fetch_log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> Da
     )
     return latest.withColumn("wait", wait).select(
         "cve_id",
-        attempt.alias("attempt"),
-        status.alias("status"),
+        "attempt",
+        "status",
         outcome.alias("outcome"),
         F.when(outcome == "retry", F.col("wait"))
         .otherwise(F.lit(0).cast("bigint"))
         .alias("wait_seconds"),
+        F.when(outcome == "retry", F.col("ts") + F.make_dt_interval(secs=F.col("wait")))
+        .alias("due_at"),
     )
+
+
+def retry_frontier(fetch_log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Per id, where its latest attempt leaves it."""
+    return frontier(fetch_log, max_attempts).drop("due_at")

@@ -1,5 +1,7 @@
 """From listing pages to the ordered id index."""
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from vulnloom.schema import (
     PREVIEW_FIRST,
     PREVIEW_LAST,
 )
+from vulnloom.session import work_path, written
 
 # --- Fixed values ---------------------------------------------------------------
 RANGE_DIRECTORY = r"^[0-9]+xxx\z"
@@ -22,6 +25,8 @@ FILE_SUFFIX = ".json"
 
 # Ids whose sequence numbers share this quotient are numbered together.
 RANK_BLOCK = 10_000
+# Ids that one task puts in order when ids are ranked.
+RANKED_ROWS = 100_000
 # Up to here the first ids are found by a bounded sort, beyond it by totals.
 SORTED_LIMIT = 50_000
 
@@ -187,14 +192,21 @@ def in_id_order(ids: DataFrame) -> DataFrame:
     return with_id_parts(ids).orderBy("_year", "_seq", "cve_id").select(*ids.columns)
 
 
-def ranked(ids: DataFrame) -> DataFrame:
-    """Distinct ids with their 1-based place in id order, as ``position``."""
-    keyed = with_id_parts(ids.select("cve_id").distinct()).withColumn(
-        "_block", F.floor(F.col("_seq") / RANK_BLOCK)
+def ranked(ids: DataFrame, rows: int = RANKED_ROWS) -> DataFrame:
+    """Distinct ids with their 1-based place in id order, as ``position``.
+
+    Blocks are ranges of the order itself, cut at sampled ids to about ``rows`` each, so ids
+    without numbers, or of one year, fill as many blocks as they need.
+    """
+    spark, order = ids.sparkSession, ["_year", "_seq", "cve_id"]
+    own = written(ids.select("cve_id").distinct(), work_path(spark, "rank-ids"))
+    n_blocks = max(1, math.ceil(own.count() / rows))
+    # Written, so a task run again finds the blocks as they were cut.
+    blocks = written(
+        with_id_parts(own).repartitionByRange(n_blocks, *order).withColumn("_block", F.spark_partition_id()),
+        work_path(spark, "rank-blocks"),
     )
-    return running_total(
-        keyed, [], [["_year"], ["_block"]], ["_seq", "cve_id"], F.lit(1), "position"
-    ).select("cve_id", "position")
+    return running_total(blocks, [], [["_block"]], order, F.lit(1), "position").select("cve_id", "position")
 
 
 def preview(ids: DataFrame, first: int = PREVIEW_FIRST, last: int = PREVIEW_LAST) -> DataFrame:

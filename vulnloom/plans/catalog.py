@@ -9,13 +9,14 @@ from vulnloom.operators import analytics, crawl_log, index, merge
 from vulnloom.operators.extract import accepted, extract, rejects
 from vulnloom.operators.parse import page_links, parse_pages, parse_titles
 from vulnloom.operators.typed import typed
-from vulnloom.plans import collect, samples
+from vulnloom.plans import collect, samples, statistics
 from vulnloom.plans.oracles import ORACLES
 from vulnloom.plans.samples import id_text, part_id, table
 from vulnloom.schema import RAW_COLUMNS, TARGET_IDS, TARGET_RECORDS
 from vulnloom.session import work_path, written
 from vulnloom.sources.dataset import read_csv_dataset, write_csv_dataset
 from vulnloom.sources.id_list import read_id_list, write_id_list
+from vulnloom.streaming import attempts
 from vulnloom.streaming.ingest import ingest, page_stream
 
 QUERIES = {}
@@ -59,9 +60,8 @@ def _customer_ids(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("ord"), id_text(F.lit(2024), F.col("o_custkey")).alias("cve_id")
     )
-    existing = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(
-        id_text(F.lit(2024), F.col("c_custkey")).alias("cve_id")
-    )
+    year = F.when(F.col("c_acctbal") < 0, 2024).otherwise(2023)
+    existing = table(spark, sf_dir, "customer").select(id_text(year, F.col("c_custkey")).alias("cve_id"))
     return ids, existing
 
 
@@ -314,6 +314,45 @@ def csv_resume(spark, sf_dir):
     return collect.read_advisories(spark, lake).select("cve_id", "run", "package", "cwe_ids")
 
 
+@query
+def csv_bad_rows(spark, sf_dir):
+    """A CSV with records of too few and of too many cells is taken over; these are kept as they are."""
+    lake, old = work_path(spark, "lake"), work_path(spark, "csv")
+    samples.csv_lines(spark, sf_dir, old)
+    collect.import_csv(spark, f"{old}/*", lake, keep_bad=True)
+    bad = spark.read.parquet(collect.bad_rows_path(lake))
+    return collect.read_advisories(spark, lake).select(
+        F.lit("row").alias("kind"), F.concat_ws("|", "cve_id", "summary", "references").alias("content")
+    ).unionByName(bad.select(F.lit("bad").alias("kind"), F.col("record").alias("content")))
+
+
+def _two_runs(spark, sf_dir):
+    """A lake filled by a run, and by another one after pages have healed, with statistics of each."""
+    lake, ids = work_path(spark, "lake"), _part_ids(spark, sf_dir)
+    for run, healed in ((1, False), (2, True)):
+        collect.collect(ids, samples.advisory_pages(spark, sf_dir, healed=healed), lake, run=run)
+        statistics.keep_statistics(spark, lake, run)
+    return lake
+
+
+@query
+def profile_over_runs(spark, sf_dir):
+    """The profile merged from what was kept of each run; its estimates lie close to exact counts."""
+    lake = _two_runs(spark, sf_dir)
+    exact = analytics.profile(collect.read_advisories(spark, lake)).select(
+        "column", F.col("distinct_values").alias("exact")
+    )
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.04 * F.col("exact")
+    return statistics.profile(spark, lake).join(exact, "column").select(
+        "column", "rows", "filled", near.alias("is_near")
+    )
+
+
+@query
+def score_summary_over_runs(spark, sf_dir):
+    return statistics.score_summary(spark, _two_runs(spark, sf_dir), "ecosystem")
+
+
 @query
 def collect_to_target(spark, sf_dir):
     lake = work_path(spark, "lake")
@@ -387,6 +426,20 @@ def fetch_outcome(spark, sf_dir):
     })
 
 
+@query
+def live_frontier(spark, sf_dir):
+    """The same log taken in as a stream, a file a batch, and when each id is due."""
+    path, landing = work_path(spark, "attempts"), work_path(spark, "landing")
+    instant = F.expr("TIMESTAMP '1970-01-01 00:00:00Z' + (ts - TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    samples.fetch_log(spark, sf_dir).withColumn("ts", instant).repartition(3).write.parquet(landing)
+    log = attempts.attempt_stream(spark, landing, maxFilesPerTrigger=1)
+    attempts.follow(log, path, f"{path}/_checkpoint").awaitTermination()
+    return attempts.frontier(spark, path).select(
+        "cve_id", F.col("attempt").cast("bigint").alias("attempt"), "outcome", "wait_seconds",
+        F.unix_millis("due_at").alias("due_ms"),
+    )
+
+
 # -- analytics --------------------------------------------------------------------------------
 
 

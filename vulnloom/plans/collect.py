@@ -1,5 +1,6 @@
 """Ids and pages to new rows of the dataset."""
 
+import hashlib
 import math
 import uuid
 
@@ -15,6 +16,7 @@ from vulnloom.session import written
 from vulnloom.sources.dataset import (
     append_by_year,
     read_csv_dataset,
+    read_csv_leniently,
     read_table,
     write_csv_dataset,
 )
@@ -170,14 +172,27 @@ def collect(
     return written(counters, f"{lake}/runs/run={run}/attempt={attempt}")
 
 
-def import_csv(spark: SparkSession, path: str, lake: str) -> None:
+def bad_rows_path(lake: str) -> str:
+    return f"{lake}/bad_rows"
+
+
+def import_csv(spark: SparkSession, path: str, lake: str, keep_bad: bool = False) -> None:
     """Take over a CSV dataset as run 0, to be gone on from.
 
     Its rows are kept as they are, repeated ids too; ids the lake holds already
-    are left out, so it may be done again.
+    are left out, so it may be done again. A record that does not fit is an error; with
+    ``keep_bad`` its text goes to the lake's bad rows instead and the others are taken over.
+    The CSV itself is never written to.
     """
+    if keep_bad:
+        given, bad = read_csv_leniently(spark, path, f"{lake}/_staging/csv")
+        # Named after the source, so an import done again replaces its own.
+        source = hashlib.sha256(path.encode()).hexdigest()[:16]
+        bad.write.mode("overwrite").parquet(f"{bad_rows_path(lake)}/source={source}")
+    else:
+        given = read_csv_dataset(spark, path)
     done = written(merge.done_ids(read_advisories(spark, lake)), f"{lake}/_staging/done")
-    rows = read_csv_dataset(spark, path).withColumns({
+    rows = given.withColumns({
         "_id": strip(F.col("cve_id")),
         "run": F.lit(0).cast("bigint"),
         "ord": F.monotonically_increasing_id(),

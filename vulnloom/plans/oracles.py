@@ -1,6 +1,6 @@
 """What DuckDB computes straight from the driver tables, without any page."""
 
-from vulnloom.schema import ADVISORY_BASE, LISTING_BASE
+from vulnloom.schema import ADVISORY_BASE, LISTING_BASE, RAW_COLUMNS
 
 # The advisory a page of ``samples.advisory_pages`` stands for, from its part.
 PARTS = r"""
@@ -116,7 +116,7 @@ WITH wanted AS (
   SELECT 'CVE-2024-' || {_pad('o_custkey')} AS cve_id, min(o_orderkey) AS ord
   FROM orders GROUP BY 1
 ), existing AS (
-  SELECT 'CVE-2024-' || {_pad('c_custkey')} AS cve_id FROM customer WHERE c_acctbal < 0
+  SELECT CASE WHEN c_acctbal < 0 THEN 'CVE-2024-' ELSE 'CVE-2023-' END || {_pad('c_custkey')} AS cve_id FROM customer
 ), pending AS (
   SELECT * FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.cve_id = w.cve_id)
 )
@@ -138,6 +138,24 @@ WITH log AS (
 )
 """
 
+# Where the latest attempt leaves each id.
+OUTCOMES = f"""{CRAWL},
+latest AS (
+  SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY attempt DESC, ts DESC) AS rn FROM classed
+), waits AS (
+  SELECT cve_id, attempt, ts, status, response,
+    CASE WHEN response = 'rate_limited' THEN
+           CASE WHEN coalesce(retry_after, '') = '' THEN least(60 * attempt, 300)
+                WHEN retry_after = '7' THEN 7 WHEN retry_after = ' 9_0 ' THEN 90
+                WHEN retry_after = 'soon' THEN 60 END
+         WHEN response IN ('server_error', 'no_response') THEN least(30 * attempt, 180) END AS wait
+  FROM latest WHERE rn = 1
+), outcomes AS (
+  SELECT *, CASE WHEN response = 'ok' THEN 'ok' WHEN wait IS NULL THEN 'permanent'
+                 WHEN attempt >= 8 THEN 'exhausted' ELSE 'retry' END AS outcome FROM waits
+)
+"""
+
 ORACLES = {
     # Sources and sinks
     "id_lines": rf"""
@@ -248,6 +266,28 @@ ORACLES = {
         SELECT cve_id, CAST(CASE WHEN reject_reason IS NULL THEN 0 ELSE 1 END AS BIGINT) AS run, package, cwe_ids
         FROM pages_expected WHERE reject_reason IS NULL
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
+    "csv_bad_rows": f"""{PARTS}, given AS (
+          SELECT k, cve_id, p_name || ', "new"' || chr(10) || 'size ' || p_size AS summary,
+                 ',,,,,,,,,,,"' || p_name || ', ""new""' || chr(10) || 'size ' || p_size || '",x,x,x,x,x,x,x,x,x,https://r.example/' || k AS cells
+          FROM (SELECT k, cve_id, details FROM pages_expected) JOIN part_rows USING (k)
+        )
+        SELECT 'row' AS kind, cve_id || '|' || summary || '|https://r.example/' || k AS content FROM given WHERE k % 7 <> 0 AND k % 11 <> 0
+        UNION ALL SELECT 'bad', cve_id || ',' || p_name || ',cut' FROM given JOIN part_rows USING (k) WHERE k % 7 = 0
+        UNION ALL SELECT 'bad', cve_id || cells || ',more' FROM given WHERE k % 7 <> 0 AND k % 11 = 0""",
+    "profile_over_runs": f"""{PARTS}, kept AS (
+          SELECT * FROM pages_expected WHERE reject_reason IS NULL
+           OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)
+        ) """ + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(nullif("{c}", '')) AS filled, TRUE AS is_near FROM kept"""
+        for c in RAW_COLUMNS
+    ),
+    "score_summary_over_runs": f"""{PARTS}
+        SELECT nullif(ecosystem, '') AS ecosystem, CAST(count(*) AS BIGINT) AS scored, min(t) / 10 AS min_score,
+               CAST(sum(t) AS DOUBLE) / (count(*) * 10) AS avg_score, max(t) / 10 AS max_score,
+               quantile_cont(CAST(t AS DOUBLE), 0.5) / 10 AS median_score
+        FROM (SELECT ecosystem, k % 101 AS t FROM pages_expected WHERE cvss_score <> '' AND (reject_reason IS NULL
+           OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0))) s
+        GROUP BY 1""",
     "collect_to_target": f"""{PARTS}
         SELECT cve_id, k AS ord FROM (SELECT cve_id, k, row_number() OVER (ORDER BY k) AS n FROM adv) a
         WHERE n <= 2000""",
@@ -280,24 +320,14 @@ ORACLES = {
            OR (reject_reason = 'http_error' AND k % 10 <> 0 AND k % 11 <> 0)""",
     # Crawl log
     "response_class": f"{CRAWL} SELECT response, count(*) AS n FROM classed GROUP BY response",
-    "fetch_outcome": f"""{CRAWL},
-        latest AS (
-          SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY attempt DESC, ts DESC) AS rn FROM classed
-        ), waits AS (
-          SELECT cve_id, attempt, status, response,
-            CASE WHEN response = 'rate_limited' THEN
-                   CASE WHEN coalesce(retry_after, '') = '' THEN least(60 * attempt, 300)
-                        WHEN retry_after = '7' THEN 7 WHEN retry_after = ' 9_0 ' THEN 90
-                        WHEN retry_after = 'soon' THEN 60 END
-                 WHEN response IN ('server_error', 'no_response') THEN least(30 * attempt, 180) END AS wait
-          FROM latest WHERE rn = 1
-        ), outcomes AS (
-          SELECT *, CASE WHEN response = 'ok' THEN 'ok' WHEN wait IS NULL THEN 'permanent'
-                         WHEN attempt >= 8 THEN 'exhausted' ELSE 'retry' END AS outcome FROM waits
-        )
+    "fetch_outcome": f"""{OUTCOMES}
         SELECT cve_id, attempt, CAST(status AS BIGINT) AS status, outcome,
                CAST(CASE WHEN outcome = 'retry' THEN wait ELSE 0 END AS BIGINT) AS wait_seconds
         FROM outcomes""",
+    "live_frontier": f"""{OUTCOMES}
+        SELECT cve_id, attempt, outcome, CAST(CASE WHEN outcome = 'retry' THEN wait ELSE 0 END AS BIGINT) AS wait_seconds,
+               CASE WHEN outcome = 'retry' THEN epoch_ms(ts) + 1000 * wait END AS due_ms
+        FROM outcomes""",
     # Analytics
     "typed_view": f"""{PARTS}
         SELECT cve_id, 2020 + k % 7 AS cve_year, k AS cve_seq,

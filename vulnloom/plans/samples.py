@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnloom.functions.text import escape_html
-from vulnloom.schema import LISTING_PREFIX
+from vulnloom.schema import LISTING_PREFIX, RAW_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,3 +246,24 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         retry_after.alias("retry_after"),
         F.col("ts"),
     )
+
+
+def csv_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """CSV files with a header each, one per 100,000 parts: most records have 22 cells, some 3 or 23."""
+    k = F.col("p_partkey")
+    cells = F.concat(
+        F.array(part_id(k)), F.array_repeat(F.lit(""), 10),
+        F.array(F.concat(F.lit('"'), "p_name", F.lit(', ""new""\nsize '), F.col("p_size").cast("string"), F.lit('"'))),
+        F.array_repeat(F.lit("x"), 9), F.array(F.concat(F.lit("https://r.example/"), k.cast("string"))),
+    )
+    short = F.array(part_id(k), F.col("p_name"), F.lit("cut"))
+    line = F.array_join(
+        F.when(k % 7 == 0, short).when(k % 11 == 0, F.array_append(cells, F.lit("more"))).otherwise(cells), ","
+    )
+    parts = table(spark, sf_dir, "part")
+    rows = parts.select(F.floor(k / 100_000).alias("block"), k.alias("place"), line.alias("value"))
+    header = rows.select("block").distinct().select("block", F.lit(-1).alias("place"), F.lit(",".join(RAW_COLUMNS)).alias("value"))
+    (
+        rows.unionByName(header).repartition("block").sortWithinPartitions("block", "place")
+        .select("block", "value").write.partitionBy("block").text(path)
+    )
