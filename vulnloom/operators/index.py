@@ -54,11 +54,16 @@ def directories(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
     quoted = F.lit("\\Q" + prefix.replace("\\E", "\\E\\\\E\\Q") + "\\E")
     pattern = F.concat(quoted, F.col("year").cast("string"), F.lit("/([^/]+)"))
     found = page_links(years).withColumn("directory", _match(F.col("href"), pattern, 1))
+    ranges = found.filter(F.col("directory").rlike(RANGE_DIRECTORY))
+    return first_links(ranges.withColumnRenamed("link_pos", "dir_pos"))
+
+
+def first_links(found: DataFrame) -> DataFrame:
+    """Where each directory is linked first; it may be linked by several pages, or parts of an index."""
     return (
-        found.filter(F.col("directory").rlike(RANGE_DIRECTORY))
-        .groupBy("year", "directory")
-        .agg(F.min(F.struct("page_no", "link_pos")).alias("at"))
-        .select("year", "directory", "at.page_no", F.col("at.link_pos").alias("dir_pos"))
+        found.groupBy("year", "directory")
+        .agg(F.min(F.struct("page_no", "dir_pos")).alias("at"))
+        .select("year", "directory", "at.*")
     )
 
 
@@ -88,10 +93,15 @@ def discovered(listing: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame:
     An id holds its year, so it is only ever found under that year. The HTML is
     read in place; what is joined are short id rows.
     """
-    links = range_ids(listing).join(directories(listing, prefix), ["year", "directory"])
+    return first_places(range_ids(listing), directories(listing, prefix))
+
+
+def first_places(links: DataFrame, dirs: DataFrame) -> DataFrame:
+    """Distinct ids of ``links`` with the first place the directories give them."""
     place = ["year", "page_no", "dir_pos", "link_pos", "directory"]
     return (
-        links.groupBy("cve_id")
+        links.join(dirs, ["year", "directory"])
+        .groupBy("cve_id")
         .agg(F.min(F.struct(*place)).alias("at"))
         .select("cve_id", *[f"at.{c}" for c in place])
     )
@@ -119,6 +129,20 @@ def first_by_totals(ids: DataFrame, n: int) -> DataFrame:
     return placed.filter(F.col("_nth") <= n).select(*ids.columns)
 
 
+def readable(listing: DataFrame) -> DataFrame:
+    return listing.filter("directory IS NOT NULL").select("year", "directory").distinct()
+
+
+def new_ids(dirs: DataFrame, opened: DataFrame, ids: DataFrame) -> DataFrame:
+    """Directories that were opened, with the number of ids first seen in them."""
+    new = ids.groupBy("year", "directory").agg(F.count("*").alias("new_ids"))
+    return (
+        dirs.join(opened, ["year", "directory"])
+        .join(new, ["year", "directory"], "left")
+        .fillna(0, ["new_ids"])
+    )
+
+
 def visited(
     listing: DataFrame, ids: DataFrame, target: int | None = None, prefix: str = LISTING_PREFIX
 ) -> DataFrame:
@@ -127,14 +151,7 @@ def visited(
     ``ids`` are the ids kept. With a ``target``, directories after the one that
     met it were never opened and are left out.
     """
-    readable = listing.filter("directory IS NOT NULL").select("year", "directory").distinct()
-    new = ids.groupBy("year", "directory").agg(F.count("*").alias("new_ids"))
-    opened = (
-        directories(listing, prefix)
-        .join(readable, ["year", "directory"])
-        .join(new, ["year", "directory"], "left")
-        .fillna(0, ["new_ids"])
-    )
+    opened = new_ids(directories(listing, prefix), readable(listing), ids)
     if target is None:
         return opened
     return (
@@ -150,7 +167,11 @@ def running_counts(
     listing: DataFrame, ids: DataFrame, target: int | None = None, prefix: str = LISTING_PREFIX
 ) -> DataFrame:
     """Per directory opened, the ids found in its year so far."""
-    opened = visited(listing, ids, target, prefix)
+    return running_in_year(visited(listing, ids, target, prefix))
+
+
+def running_in_year(opened: DataFrame) -> DataFrame:
+    """Directories opened, with the ids found in their year so far."""
     return running_total(
         opened, ["year"], [["page_no"]], ["dir_pos"], F.col("new_ids"), "collected"
     ).select("year", "directory", "page_no", "dir_pos", "new_ids", "collected")

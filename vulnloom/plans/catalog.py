@@ -9,7 +9,7 @@ from vulnloom.operators import analytics, crawl_log, index, merge
 from vulnloom.operators.extract import accepted, extract, rejects
 from vulnloom.operators.parse import page_links, parse_pages, parse_titles
 from vulnloom.operators.typed import typed
-from vulnloom.plans import collect, samples, statistics
+from vulnloom.plans import collect, grow_index, samples, statistics
 from vulnloom.plans.oracles import ORACLES
 from vulnloom.plans.samples import id_text, part_id, table
 from vulnloom.schema import RAW_COLUMNS, TARGET_IDS, TARGET_RECORDS
@@ -230,6 +230,30 @@ def index_ids(spark, sf_dir):
     )
 
 
+def _grown(spark, sf_dir):
+    """An index that got every other listing page first, then the rest, and the rest once more."""
+    path = work_path(spark, "index")
+    pages = samples.listing_pages(spark, sf_dir)
+    half = F.pmod(F.xxhash64("year", "directory", "page_no"), F.lit(2))
+    for batch, part in ((1, 0), (2, 1), (2, 1)):
+        grow_index.add_pages(pages.filter(half == part), path, batch)
+    return path
+
+
+@query
+def index_in_batches(spark, sf_dir):
+    return grow_index.ids_of(spark, _grown(spark, sf_dir)).select(
+        "cve_id", F.col("year").cast("bigint").alias("year"), "directory"
+    )
+
+
+@query
+def index_counts_in_batches(spark, sf_dir):
+    return grow_index.running_counts(spark, _grown(spark, sf_dir)).select(
+        F.col("year").cast("bigint").alias("year"), "directory", "new_ids", "collected"
+    )
+
+
 @query
 def index_first_n(spark, sf_dir):
     return index.first_n(index.discovered(_listing(spark, sf_dir)), TARGET_IDS).select("cve_id")
@@ -529,3 +553,5 @@ def fix_share(spark, sf_dir):
 
 
 ORACLES["top_cwes_from_html"] = ORACLES["top_cwes"]
+ORACLES["index_in_batches"] = ORACLES["index_ids"]
+ORACLES["index_counts_in_batches"] = ORACLES["index_running_counts"]
