@@ -150,6 +150,50 @@ def test_the_fullest_bin_closes_first():
     assert [bins.place(n) for n in (9, 8, 1, 2)] == [(0, 0), (1, 0), (1, 8), (2, 0)]
 
 
+def plain_best_fit(lengths, room, limit):
+    """(bin, offset) of each length in turn, all open bins looked at each time."""
+    free, out, n = {}, [], 0
+    for number, length in enumerate(lengths):
+        fitting = [(left, -put, b) for b, (left, put) in free.items() if left >= length]
+        if fitting:
+            left, _, b = min(fitting)
+        else:
+            left, b, n = room, n, n + 1
+        out.append((b, room - left))
+        free[b] = (left - length, number)
+        if left == length:
+            del free[b]
+        elif len(free) > limit:
+            del free[min(free, key=lambda b: (free[b][0], -free[b][1]))]
+    return out
+
+
+@pytest.mark.parametrize("limit", [1, 5, 40])
+def test_open_bins_are_best_fit(limit):
+    rng = random.Random(limit)
+    lengths = [min(100, 1 + int(rng.expovariate(0.03))) for _ in range(600)]
+    bins = packing.OpenBins(100, limit)
+    assert [bins.place(n) for n in lengths] == plain_best_fit(lengths, 100, limit)
+
+
+def test_pieces_are_packed_as_they_come_and_bins_close(spark):
+    rng = random.Random(41)
+    lengths = [min(packing.ROOM, 1 + int(rng.expovariate(1 / 1200))) for _ in range(40_000)]
+    pieces = packing.staged(spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long"), "test-pieces")
+    shards = {}
+    for r in packing.place(pieces).collect():
+        shards.setdefault(r.sequence_id >> 40, []).append(r)
+    assert len(shards) == -(-sum(lengths) // (packing.SHARD_FILL * packing.OPEN_BINS * packing.ROOM)) > 1
+    bins, closed = 0, 0
+    for shard, rows in shards.items():
+        own = packing.OpenBins(packing.ROOM, packing.OPEN_BINS)
+        for r in sorted(rows, key=lambda r: r.doc_id):
+            number, offset = own.place(r.length)
+            assert (r.sequence_id, r.offset) == ((shard << 40) + number, offset)
+        bins, closed = bins + own.n_bins, closed + own.n_closed
+    assert closed > 0 and bins <= 1.05 * sum(lengths) / packing.ROOM
+
+
 @pytest.mark.parametrize("kind, block", [("byte", 7), ("bit", 64), ("byte", 1 << 16)])
 def test_ids_come_back_from_files(spark, corpus, tmp_path, kind, block):
     path = str(tmp_path / "ids")
@@ -466,6 +510,18 @@ def test_empty_files_and_vectors(spark, tmp_path):
     assert top_k.top_k(none).count() == 0 and neighbours.nearest(none).count() == 0
 
 
+def test_windows_of_a_frequent_prefix_in_any_number_of_parts(spark, monkeypatch):
+    rng = random.Random(43)
+    opening = "terms of use apply to every page of this site " * 4
+    docs = docs_of(spark, [(i, opening[:rng.randrange(90, 150)] + prose(rng, 40, 9)) for i in range(120)])
+    want = sorted(map(repr, repeats.deduplicated(docs).collect()))
+    monkeypatch.setattr(repeats, "PART_WINDOWS", 2)
+    assert sorted(map(repr, repeats.deduplicated(docs).collect())) == want
+    monkeypatch.setattr(repeats, "PARTS", 1)
+    monkeypatch.setattr(repeats, "PART_WINDOWS", 1 << 40)
+    assert sorted(map(repr, repeats.deduplicated(docs).collect())) == want
+
+
 def test_kept_bytes_are_digested_as_sha256(spark, sf_dir):
     rows = QUERIES["op1_suffix_array_dedup"](spark, sf_dir).collect()
     texts = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

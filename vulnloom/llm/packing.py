@@ -14,7 +14,9 @@ from vulnloom.llm.common import as_row, batches, id_texts, staged
 from vulnloom.llm.tokens import END, encoder
 
 ROOM = 2048
-OPEN_BINS = 8192
+OPEN_BINS = 1024
+#: How many times its open bins a shard would fill, so that bins must close.
+SHARD_FILL = 8
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -50,7 +52,7 @@ class OpenBins:
 
     def __init__(self, room: int, limit: int) -> None:
         self.room, self.limit = room, limit
-        self.mask, self.n_open, self.n_bins = 0, 0, 0
+        self.mask, self.n_open, self.n_bins, self.n_closed = 0, 0, 0, 0
         self.bins: list[list[int]] = [[] for _ in range(room + 1)]
 
     def _take(self, free: int) -> int:
@@ -77,6 +79,7 @@ class OpenBins:
             self.n_open += 1
             if self.n_open > self.limit:
                 self._take((self.mask & -self.mask).bit_length() - 1)
+                self.n_closed += 1
         return number, self.room - free
 
 
@@ -85,12 +88,13 @@ def place(pieces: DataFrame, room: int = ROOM, open_bins: int = OPEN_BINS) -> Da
 
     ``pieces`` has doc_id, piece and length, 1 to ``room``; its other columns stay, and it
     should be a written table, as it is read twice. Pieces are dealt by hash to shards
-    that fill about half of the open bins; a shard is packed by one task, long pieces
-    first, with state of ``open_bins`` numbers whatever its size. Numbers of sequences
-    are unique, not dense. An empty table gives no rows; ties go to the smaller doc_id.
+    that fill ``SHARD_FILL`` times the open bins. One task packs a shard online, each piece
+    as it comes in the order of doc_id and piece, with state of ``open_bins`` numbers
+    whatever its size. Numbers of sequences are unique, not dense. An empty table gives no
+    rows; of bins of the same free space the one last put there is taken.
     """
     total = pieces.agg(F.sum("length")).first()[0] or 0
-    shards = -(-2 * total // (open_bins * room)) or 1
+    shards = -(-total // (SHARD_FILL * open_bins * room)) or 1
     columns = pieces.columns
     shard_of = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))
 
@@ -112,7 +116,7 @@ def place(pieces: DataFrame, room: int = ROOM, open_bins: int = OPEN_BINS) -> Da
     # Given columns travel in a struct, so no name of theirs meets one of these.
     dealt = pieces.select(shard_of.alias("shard"), as_row(columns).alias("row"))
     return (dealt.repartition("shard")
-            .sortWithinPartitions("shard", F.desc("row.length"), "row.doc_id", "row.piece")
+            .sortWithinPartitions("shard", "row.doc_id", "row.piece", "row.length")
             .mapInArrow(run, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])))
 
 

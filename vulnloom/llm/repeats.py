@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnloom.llm.common import id_text_rows, id_texts, staged, width
+from vulnloom.llm.common import by_group, id_text_rows, id_texts, staged, width
 from vulnloom.llm.shared_runs import hashes, mixed, sampled_runs, segments, sums
 
 WINDOW = 100
@@ -31,8 +31,9 @@ WINDOW = 100
 CHUNK = 1 << 20
 #: Different strings of one prefix in a chunk beyond which they are dealt out by string.
 MANY = 16
-#: Parts that the windows of such a prefix are dealt to.
+#: Parts that the windows of such a prefix are dealt to, at least, and windows beyond which there are more.
 PARTS = 64
+PART_WINDOWS = 1 << 20
 
 _ROW = pa.schema([("name", pa.int64()), ("salt", pa.int32()), ("run", pa.int64()), ("doc_id", pa.int64()),
                   ("place", pa.int64()), ("kind", pa.int8())])
@@ -92,22 +93,6 @@ def _sample(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _compare(*map(np.concatenate, zip(*held)))
 
 
-def by_group(parts: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
-    """Sorted batches, cut so that rows of one key stay together."""
-    kept: pa.Table | None = None
-    for part in parts:
-        table = pa.Table.from_batches([part])
-        if kept is not None:
-            table = pa.concat_tables([kept, table])
-        change = np.flatnonzero(changes(*(table[k].to_numpy() for k in keys)))
-        cut = int(change[-1]) if len(change) else 0
-        if cut:
-            yield table.slice(0, cut)
-        kept = table.slice(cut).combine_chunks()
-    if kept is not None and len(kept):
-        yield kept
-
-
 def _rank(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats, and open positions whose windows must be compared one by one."""
     for table in by_group(parts, ("name", "salt")):
@@ -127,13 +112,13 @@ def _rank(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = repeat | is_open
         if keep.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name[keep]), pa.array(np.where(frequent, PARTS, 1)[keep].astype(np.int32)), pa.array(doc[keep]),
+                [pa.array(name[keep]), pa.array(frequent[keep]), pa.array(doc[keep]),
                  pa.array(place[keep]), pa.array(np.where(repeat, REPEAT, OPEN)[keep].astype(np.int8))],
-                names=["name", "parts", "doc_id", "place", "kind"])
+                names=["name", "frequent", "doc_id", "place", "kind"])
 
 
-def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes of the windows at open positions, packed by name and part."""
+def _windows(parts: Iterator[pa.RecordBatch], part_count: int) -> Iterator[pa.RecordBatch]:
+    """The hashes of the windows at open positions, packed by name and, of frequent ones, part."""
     names = ["name", "part", "doc_id", "windows"]
     for part in parts:
         out: list[tuple] = []
@@ -148,10 +133,10 @@ def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start = np.arange(more + 1)
                 rank = hashes(sums(own), start, start + WINDOW)
                 packed = np.stack([rank.view(np.int64), first + start, at - start], axis=1)
-                if spot["parts"] == 1:
+                if not spot["frequent"]:
                     out.append((spot["name"], 0, doc_id, packed.tobytes()))
                     continue
-                to = (mixed(rank + (at - start).astype(np.uint64)) % np.uint64(spot["parts"])).astype(np.int64)
+                to = (mixed(rank + (at - start).astype(np.uint64)) % np.uint64(part_count)).astype(np.int64)
                 for p in np.unique(to).tolist():
                     out.append((spot["name"], p, doc_id, packed[to == p].tobytes()))
         if out:
@@ -220,21 +205,30 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     A task sends one row for a string however often it met it, and deals prefixes with
     many different strings out by string, so copies and common passages do not meet in
-    one task. Windows of such prefixes are dealt to parts by their rank.
+    one task. Windows of such prefixes are dealt by their rank to as many parts as the most
+    frequent one asks for.
     """
     rows = id_texts(docs)
     sampled = rows.mapInArrow(_sample, "name long, salt int, run long, doc_id long, place long, kind byte")
     # Repeats found in a task need no more comparing: they go by document.
     dealt = sampled.repartition(width(rows), F.when(F.col("kind") == REPEAT, F.col("doc_id")).otherwise(F.col("name")), "salt")
     ranked = staged(dealt.sortWithinPartitions("name", "salt", "run", "doc_id", "place").mapInArrow(
-        _split_known, "name long, parts int, doc_id long, place long, kind byte"), "ranked")
+        _split_known, "name long, frequent boolean, doc_id long, place long, kind byte"), "ranked")
     first = F.shiftright("place", 16)
     known = ranked.where(F.col("kind") == REPEAT).select(
         "doc_id", first.alias("first"), (first + F.col("place").bitwiseAND(255)).alias("last"))
     spots = (ranked.where(F.col("kind") == OPEN).groupBy("doc_id")
-             .agg(F.collect_list(F.struct("name", "parts", "place")).alias("spots")))
+             .agg(F.collect_list(F.struct("name", "frequent", "place")).alias("spots")))
     texts = rows.repartition(width(rows), "doc_id")
-    windows = texts.join(spots, "doc_id").mapInArrow(_windows, "name long, part int, doc_id long, windows binary")
+    of_name = (ranked.where((F.col("kind") == OPEN) & F.col("frequent")).groupBy("name")
+               .agg(F.sum(F.col("place").bitwiseAND(255) + 1).alias("windows")))
+    most = of_name.agg(F.max("windows")).first()[0] or 0
+    part_count = max(PARTS, -(-most // PART_WINDOWS))
+
+    def windows_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _windows(parts, part_count)
+
+    windows = texts.join(spots, "doc_id").mapInArrow(windows_of, "name long, part int, doc_id long, windows binary")
     found = (windows.repartition(width(rows), "name", "part").sortWithinPartitions("name", "part")
              .mapInArrow(_rank_windows, "doc_id long, first long, last long"))
     marks = (known.unionByName(found).groupBy("doc_id")
@@ -252,8 +246,8 @@ def _split_known(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if known.any():
                 own = part.filter(pa.array(known))
                 passed.append(pa.RecordBatch.from_arrays(
-                    [own.column("name"), pa.array(np.ones(len(own), np.int32)), own.column("doc_id"), own.column("place"),
-                     own.column("kind")], names=["name", "parts", "doc_id", "place", "kind"]))
+                    [own.column("name"), pa.array(np.zeros(len(own), bool)), own.column("doc_id"), own.column("place"),
+                     own.column("kind")], names=["name", "frequent", "doc_id", "place", "kind"]))
                 part = part.filter(pa.array(~known))
             if len(part):
                 yield part
