@@ -1,0 +1,99 @@
+"""Which ids a lake holds, kept as state between batches."""
+
+import pytest
+from golden import FULL
+from test_stream import drop, page, run
+
+from vulnloom.plans.collect import collect, read_advisories
+from vulnloom.schema import LAKE, PAGES
+from vulnloom.session import written
+from vulnloom.sources.dataset import append_by_year
+from vulnloom.streaming import known_ids
+
+
+def ids(spark, path, *names):
+    return written(spark.createDataFrame([(n,) for n in names], "cve_id string"), str(path))
+
+
+def known(frame):
+    return sorted(r.cve_id for r in frame.collect())
+
+
+def add(spark, lake, *names):
+    row = {f: None for f in LAKE.fieldNames()}
+    rows = spark.createDataFrame([{**row, "cve_id": n} for n in names], LAKE).drop("cve_year")
+    append_by_year(rows, f"{lake}/advisories")
+
+
+@pytest.fixture
+def rows_in(monkeypatch):
+    """How many rows each call has fed to the state."""
+    queries, take_in = [], known_ids.take_in
+    monkeypatch.setattr(known_ids, "take_in", lambda *a: queries.append(take_in(*a)) or queries[-1])
+    return lambda: [sum(p.numInputRows for p in q.recentProgress) for q in queries]
+
+
+def test_a_call_reads_what_is_new(spark, tmp_path, rows_in):
+    lake = str(tmp_path / "lake")
+    add(spark, lake, *(f"CVE-2024-{n}" for n in range(300)), " CVE-2023-1\n", "CVE-2023-1", "", None)
+    asked = ids(spark, tmp_path / "a", "CVE-2024-7", "CVE-2023-1", "CVE-2025-1")
+    assert known(known_ids.landed_among(asked, lake)) == ["CVE-2023-1", "CVE-2024-7"]
+    asked = ids(spark, tmp_path / "b", "CVE-2024-8", "CVE-2025-2")
+    assert known(known_ids.landed_among(asked, lake)) == ["CVE-2024-8"]
+    add(spark, lake, "CVE-2025-2")
+    assert known(known_ids.landed_among(asked, lake)) == ["CVE-2024-8", "CVE-2025-2"]
+    assert known(known_ids.landed_among(ids(spark, tmp_path / "c"), lake)) == []
+    assert rows_in() == [304 + 3, 2, 1 + 2, 0]
+
+
+def test_an_empty_lake_holds_nothing(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    asked = ids(spark, tmp_path / "a", "CVE-2024-7")
+    assert known(known_ids.landed_among(asked, lake)) == []
+    assert read_advisories(spark, lake).count() == 0
+
+
+def test_stream_batches_do_not_read_the_table(spark, tmp_path, rows_in):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    drop(spark, landing, *((f"CVE-2024-{n}", 200, FULL) for n in range(50)))
+    run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-1", 200, page("again")), ("CVE-2024-99", 200, FULL))
+    run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-99", 200, page("again")))
+    assert len(run(spark, landing, lake)) == 51
+    # The ids of the batch, and of what the batch before has landed.
+    assert rows_in() == [50, 50 + 2, 1 + 1]
+
+
+def test_batch_runs_between_are_known(spark, tmp_path):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    drop(spark, landing, ("CVE-2024-1", 200, page("stream")))
+    run(spark, landing, lake)
+    named = spark.createDataFrame([(1, "CVE-2024-1"), (2, "CVE-2024-2")], "ord bigint, cve_id string")
+    pages = spark.createDataFrame([("CVE-2024-1", 200, page("batch")), ("CVE-2024-2", 200, page("batch"))], PAGES)
+    collect(named, pages, lake, run=1)
+    drop(spark, landing, ("CVE-2024-2", 200, page("stream")), ("CVE-2024-3", 200, page("stream")))
+    assert run(spark, landing, lake) == [("CVE-2024-1", "stream"), ("CVE-2024-2", "batch"), ("CVE-2024-3", "stream")]
+
+
+@pytest.mark.parametrize("module, name", [("plans.collect", "add_rows"), ("streaming.known_ids", "take_in"),
+                                          ("streaming.known_ids", "known_path")])
+def test_a_batch_that_died_is_asked_again(spark, tmp_path, monkeypatch, module, name):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    drop(spark, landing, ("CVE-2024-1", 200, page("one")))
+    run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-1", 200, page("two")), ("CVE-2024-2", 200, page("two")))
+    path = known_ids.known_path
+
+    def die(*args):
+        # Paths are still told, until the answer is to be written: then state and answer part.
+        if name == "known_path" and args[1] != "answer":
+            return path(*args)
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(f"vulnloom.{module}.{name}", die)
+        with pytest.raises(Exception, match="executor lost"):
+            run(spark, landing, lake)
+    drop(spark, landing, ("CVE-2024-3", 200, page("three")))
+    assert run(spark, landing, lake) == [("CVE-2024-1", "one"), ("CVE-2024-2", "two"), ("CVE-2024-3", "three")]

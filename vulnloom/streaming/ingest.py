@@ -9,6 +9,7 @@ from vulnloom.operators import merge
 from vulnloom.plans import collect
 from vulnloom.schema import PAGES
 from vulnloom.session import written
+from vulnloom.streaming.known_ids import landed_among
 
 # The place of a page in the order of arrival.
 ARRIVAL = ["arrived", "file", "row_index"]
@@ -40,17 +41,13 @@ def land(batch: DataFrame, batch_id: int, lake: str) -> None:
     """Add one batch of pages to the lake.
 
     A batch that is run again adds nothing: ids in the table are dropped first, and
-    the batch's rejects replace themselves. Of the table, only the ids of the batch are
-    staged. One writer per lake.
+    the batch's rejects replace themselves. Which ids those are is kept as state, so of the
+    table only files that are new since the batch before are read. One writer per lake.
     """
     spark = batch.sparkSession
     arrived = batch.withColumn("cve_id", strip(F.col("cve_id"))).filter("cve_id <> ''")
     asked = written(arrived.select("cve_id").distinct(), f"{lake}/_staging/asked")
-    # Only the years of this batch are read from the table.
-    table = merge.in_years_of(collect.read_advisories(spark, lake), asked)
-    known = table.select(strip(F.col("cve_id")).alias("cve_id"))
-    hits = merge.may_hold(known, asked).join(asked, "cve_id", "left_semi")
-    done = written(hits.distinct(), f"{lake}/_staging/done")
+    done = written(landed_among(asked, lake), f"{lake}/_staging/done")
     pending = written(asked.join(done, "cve_id", "left_anti"), f"{lake}/_staging/pending")
     staging = collect.Staging(arrived, lake, ARRIVAL)
     rows = staging.read(pending).withColumn("ord", F.unix_micros("arrived"))
