@@ -12,7 +12,7 @@ from vulnloom.functions.text import strip
 from vulnloom.operators import merge
 from vulnloom.operators.extract import extract
 from vulnloom.schema import LAKE, RAW_COLUMNS
-from vulnloom.session import written
+from vulnloom.session import written, written_and_counted
 from vulnloom.sources.dataset import (
     append_by_year,
     read_csv_dataset,
@@ -87,8 +87,8 @@ def read_until(staging: Staging, pending: DataFrame, room: int) -> tuple[int, st
     is read than needed. None where the ids do not fill the room.
     """
     spark = pending.sparkSession
-    ranked = written(merge.in_ord_order(pending), f"{staging.lake}/_staging/ranked")
-    n_ids, tried, accepted = ranked.count(), 0, 0
+    ranked, n_ids = written_and_counted(merge.in_ord_order(pending), f"{staging.lake}/_staging/ranked")
+    tried, accepted = 0, 0
     while accepted < room and tried < n_ids:
         missing = room - accepted
         share = accepted / tried if tried else 1.0
@@ -108,11 +108,10 @@ def add_rows(staging: Staging, verdicts: DataFrame, order: Column, run: int) ->
 
     The first is found among verdicts; the rows themselves are then picked by their place.
     """
-    chosen = written(
+    chosen, n_ids = written_and_counted(
         merge.first_success(verdicts, F.struct(order, "_tie", *PLACE), ["ord", *PLACE]),
         f"{staging.lake}/_staging/chosen",
     )
-    n_ids = chosen.count()
     if n_ids:
         new = staging.rows.join(chosen.select("ord", *PLACE), PLACE)
         new = new.withColumn("run", F.lit(run).cast("bigint"))
@@ -142,24 +141,25 @@ def collect(
     spark, attempt = ids.sparkSession, uuid.uuid4().hex
     existing = read_advisories(spark, lake)
     n_existing = existing.count()
-    done = written(merge.done_ids(existing), f"{lake}/_staging/done")
-    pending = written(merge.pending_ids(ids, done), f"{lake}/_staging/pending")
+    done, n_done = written_and_counted(merge.done_ids(existing), f"{lake}/_staging/done")
+    pending, n_pending = written_and_counted(merge.pending_ids(ids, done), f"{lake}/_staging/pending")
     room = None if target is None else max(0, target - n_existing)
     staging = Staging(pages, lake)
     if room is None:
         staging.read(pending)
         rows = staging.verdicts
     elif room == 0:
-        pending = pending.limit(0)
+        pending, n_pending = pending.limit(0), 0
         rows = staging.read(written(pending, f"{lake}/_staging/slice"))
     else:
         last = read_until(staging, pending, room)
         rows, pending = merge.up_to(staging.verdicts, last), merge.up_to(pending, last)
+        n_pending = n_pending if last is None else pending.count()
     counts = {
         "ids_available": ids.count(),
         "existing_rows": n_existing,
-        "already_collected": done.count(),
-        "attempted": pending.count(),
+        "already_collected": n_done,
+        "attempted": n_pending,
     }
     added = add_rows(staging, rows, F.col("ord"), run)
     no_page = pending.join(staging.verdicts.select("cve_id"), "cve_id", "left_anti").select(

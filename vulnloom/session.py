@@ -4,7 +4,8 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "vulnloom", master: str | None = None, **conf) -> SparkSession:
@@ -67,3 +68,14 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_and_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """``written``, and how many rows, without a job to count them.
+
+    The count stands last in the plan: a task of the last stage counts once, however often it
+    is tried, and no rule for empty inputs takes it out.
+    """
+    counts = Observation()
+    table = written(df.observe(counts, F.count(F.lit(1)).alias("n")), path)
+    return table, counts.get["n"]
