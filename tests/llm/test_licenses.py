@@ -8,6 +8,7 @@ import pytest
 
 from vulnloom.llm import licenses
 from vulnloom.llm.license_texts import NOTICES
+from vulnloom.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, blocks string, `a.b` int"
 
@@ -83,3 +84,13 @@ def test_very_long_repeated_and_empty(spark):
     rows = licenses.scan(docs_of(spark, [(1, long), (1, long), (None, "the mit license")])).collect()
     assert [(r.doc_id, r.n_words, r.labels, r.score) for r in rows] == [(1, 400_005, "mit", 1.0)] * 2
     assert licenses.scan(docs_of(spark, [(1, "x")]).limit(0)).count() == 0
+
+
+def test_the_query_takes_whole_base_phrases(spark, tmp_path):
+    texts = [(1, "Released under the MIT License."), (2, "the MIT license"), (3, "under the mit license, under\nthe MIT License"),
+             (4, "underé the mit license"), (5, "Apache License, Version 2.0 or CC BY-NC 4.0"), (6, None)]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op10_license_scan"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows) == [
+        (1, 5, 1, 1, 1, "mit"), (2, 3, 0, None, None, ""), (3, 8, 2, 0, 4, "mit"), (4, 4, 0, None, None, ""),
+        (5, 11, 2, 0, 6, "apache-2,cc-by-nc"), (6, 0, 0, None, None, "")]

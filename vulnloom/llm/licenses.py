@@ -41,11 +41,11 @@ def n_blocks(n_words: int, size: int) -> int:
     return max(ceil((n_words - size) / size), 1)
 
 
-def base_places(words: list[bytes]) -> list[tuple[int, str]]:
+def base_places(words: list[bytes], phrases: list[tuple[str, str]] = PHRASES) -> list[tuple[int, str]]:
     """(first word, label) wherever the words of a base phrase stand one after another."""
     run = b" " + b" ".join(words) + b" "
     found = []
-    for phrase, label in PHRASES:
+    for phrase, label in phrases:
         own = b" " + phrase.encode() + b" "
         at, before, upto = run.find(own), 0, 0
         while at >= 0:
@@ -71,8 +71,9 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
     return {bytes(r["word"]): r["n"] for r in rows.collect()}
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Labels of every document.
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
+         phrases: list[tuple[str, str]] = PHRASES) -> DataFrame:
+    """Labels of every document, those of base ``phrases`` and of ``templates``.
 
     Blocks are half-overlapping runs of words over the whole document, across line ends, and
     as long as the template needs (``reach``): wherever a run of that many words holds
@@ -126,7 +127,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
                         block = set(words[b * size:(b + 2) * size])
                         own = sorted(order[w] for w in every[size] & block)
                         held.append({"reach": size, "size": len(block), "words": own})
-                places = base_places(words)
+                places = base_places(words, phrases)
                 at = [a for a, _ in places]
                 yield (base + number, doc_id, len(words), len(places), min(at, default=None), max(at, default=None),
                        sorted({label for _, label in places}), held)
