@@ -6,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vulnloom.operators.html_scan import LinkRecord, PageRecord, read_advisory, read_links, read_title
+from vulnloom.operators.html_scan import (
+    PIECE_OR_LEAF, LinkRecord, PageRecord, Tokenizer, attributes_of, read_advisory, read_links, read_title,
+)
 
 
 def text_of(html, tag="p"):
@@ -234,3 +236,20 @@ def test_kept_entries_decide_as_all_entries_would(bits):
     kept = entries(body)
     for label in ("source", "severity", "references"):
         assert lookups(kept, label) == lookups(everything, label)
+
+
+def test_elements_of_text_alone_are_read_at_once():
+    html = '<dt class="a">x</dt><dd> y </dd><br>n</br><script>s</script><B>z</B><i>p</b></i><u/>q</u>'
+    assert [piece[0] for piece in PIECE_OR_LEAF.finditer(html)][:2] == ['<dt class="a">x</dt>', "<dd> y </dd>"]
+    whole, page = PageRecord(""), PageRecord(html)
+    whole._open, whole.tags, whole.attrs, whole.parents, whole.ends = [0], [""], [{}], [-1], [0]
+    whole.text_from, whole.text_to, whole.texts = [0], [0], []
+    Tokenizer(whole).read(html)
+    whole._end_run()
+    while whole._open:
+        whole._pop()
+    for column in ("tags", "attrs", "parents", "ends", "text_from", "text_to", "texts"):
+        assert getattr(page, column) == getattr(whole, column)
+    assert attributes_of(' class="a"') is attributes_of(' class="a"')
+    long = f' href="{"x" * 200}"'
+    assert attributes_of(long) == {"href": "x" * 200} and attributes_of(long) is not attributes_of(long)
