@@ -1,5 +1,7 @@
 """How broken markup is read."""
 
+import subprocess
+import sys
 import time
 
 import pytest
@@ -253,3 +255,16 @@ def test_elements_of_text_alone_are_read_at_once():
     assert attributes_of(' class="a"') is attributes_of(' class="a"')
     long = f' href="{"x" * 200}"'
     assert attributes_of(long) == {"href": "x" * 200} and attributes_of(long) is not attributes_of(long)
+
+
+def test_the_reader_travels_without_this_package(tmp_path):
+    from pyspark import cloudpickle
+
+    from vulnloom.operators import parse
+
+    html = '<div class="vulnerability-page"><dl class="vulnerability-details"><dt>Source</dt><dd>x</dd></dl></div>'
+    job = tmp_path / "reader"
+    job.write_bytes(cloudpickle.dumps((parse.html_scan.read_advisory, html)))
+    code = f"import pickle; read, html = pickle.load(open({str(job)!r}, 'rb')); print(read(html))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": ""}, capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip() == str(read_advisory(html)), out.stderr
