@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vulnloom.llm.common import as_row, batches, id_texts, staged
-from vulnloom.llm.tokens import END, encoder
+from vulnloom.llm.tokens import END, encoder, together
 
 ROOM = 2048
 OPEN_BINS = 1024
@@ -27,15 +27,15 @@ def cut(docs: DataFrame, tokenizer_path: str, room: int = ROOM) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                             ("length", pa.int64()), ("ids_crc32", pa.int64())])
-        encode = encoder(tokenizer_path, False).encode
+        own = encoder(tokenizer_path, False)
 
         def rows():
-            for part in parts:
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    ids = memoryview(encode(text.as_py()) + END)
+            for doc_ids, texts in together(parts):
+                for doc_id, ids in zip(doc_ids, own.encode_all(texts)):
+                    ids = memoryview(ids + END)
                     for piece, at in enumerate(range(0, len(ids), 4 * room)):
-                        own = ids[at:at + 4 * room]
-                        yield doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own)
+                        here = ids[at:at + 4 * room]
+                        yield doc_id, piece, at // 4, len(here) // 4, zlib.crc32(here)
 
         yield from batches(rows(), schema)
 
