@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vulnloom.llm.common import id_texts, width
-from vulnloom.llm.tokens import END, ID, TOGETHER, encoder
+from vulnloom.llm.tokens import END, ID, encoder
+from vulnloom.llm.tokens import together as _together
 
 BLOCK = 65536
 LEVEL = 1
@@ -113,21 +114,6 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
      .mapInArrow(run, FILE).write.option("compression", "uncompressed").parquet(path))
 
 
-def _together(parts: Iterator[pa.RecordBatch], room: int = TOGETHER) -> Iterator[tuple[list[int], list[str]]]:
-    """doc_id and text of rows in order, some megabytes of text at a time or one longer text."""
-    doc_ids, texts, size = [], [], 0
-    for part in parts:
-        for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)):
-            if texts and size + len(text) > room:
-                yield doc_ids, texts
-                doc_ids, texts, size = [], [], 0
-            doc_ids.append(doc_id)
-            texts.append(text)
-            size += len(text)
-    if texts:
-        yield doc_ids, texts
-
-
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
     """Every document's ids as the files hold them: one row per part, ``ids`` binary."""
 
