@@ -27,11 +27,16 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from vulnloom.llm.common import Memo, batches, id_texts, kept
+from vulnloom.llm.tokens import END, looked_up, numbered, put_together, together
 
 N_BEST = 4
 MEMO_WORDS = 400_000
+#: Characters of text that are encoded together; each has n best segmentations.
+FEW = 1 << 22
 
 _SPACE = "▁"
+#: Cuts a text into its parts; one that holds it is no plain text.
+_CUT = "\x1f"
 _WORDS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: A comma or full stop after anything but a letter, two spaces, the mark itself, or the separator used to cut.
@@ -55,6 +60,8 @@ class Lattice:
                 self.pieces[piece] = (i, model.get_score(i))
         #: Ends of pieces: a part of a text that is none of them ends no piece, nor does a longer one.
         self.tails = {p[i:] for p in self.pieces for i in range(len(p))}
+        #: Of each of them its id and score; of what is no piece itself, nothing.
+        self.hits = {tail: self.pieces.get(tail, ()) for tail in self.tails}
         self.unknown = min(s for _, s in self.pieces.values()) - 10
         pairs = {a + b for p in self.pieces for a, b in zip(p, p[1:])}
         #: Whether pieces never cross the place before a comma or full stop after a letter, nor a line end.
@@ -84,34 +91,29 @@ class Lattice:
     def two_best(self, text: str) -> tuple[tuple[int, ...], float, float]:
         """The ids and score of a best segmentation, and what the next best loses: Viterbi scores of
         the best and the second best way to each place."""
-        find, tails, unknown = self.pieces.get, self.tails, self.unknown
-        first, second, back = [0.0], [-np.inf], [None]
+        look, unknown, nothing = self.hits.get, self.unknown, -np.inf
+        first, second, back = [0.0], [nothing], [None]
         for end in range(1, len(text) + 1):
-            best = next_best = -np.inf
-            edge, single = None, False
-            for start in range(end - 1, -1, -1):
-                part = text[start:end]
-                if part not in tails:
+            best = next_best = nothing
+            edge, start = None, end - 1
+            hit = look(text[start:end])
+            if not hit:
+                best, next_best, edge = first[start] + unknown, second[start] + unknown, (start, None)
+            while hit is not None:
+                if hit:
+                    piece, gain = hit
+                    score = first[start] + gain
+                    if score > best:
+                        best, next_best, edge = score, best, (start, piece)
+                    elif score > next_best:
+                        next_best = score
+                    score = second[start] + gain
+                    if score > next_best:
+                        next_best = score
+                if not start:
                     break
-                hit = find(part)
-                if hit is None:
-                    continue
-                single = single or start == end - 1
-                score = first[start] + hit[1]
-                if score > best:
-                    best, next_best, edge = score, best, (start, hit[0])
-                elif score > next_best:
-                    next_best = score
-                score = second[start] + hit[1]
-                if score > next_best:
-                    next_best = score
-            if not single:
-                score = first[end - 1] + unknown
-                if score > best:
-                    best, next_best, edge = score, best, (end - 1, None)
-                elif score > next_best:
-                    next_best = score
-                next_best = max(next_best, second[end - 1] + unknown)
+                start -= 1
+                hit = look(text[start:end])
             first.append(best)
             second.append(next_best)
             back.append(edge)
@@ -170,46 +172,67 @@ class Segmenter:
         ids, score, loss = self.lattice.two_best(word)
         return array("I", ids).tobytes(), score, loss
 
-    def words(self, text: str) -> list[str]:
-        """Parts of a text that no piece crosses."""
-        if not text:
-            return []
-        if self.lattice.marks_apart and not _NOT_PLAIN.search(text) and text[0] != " ":
-            cut = text.replace(" ", f"\x1f{_SPACE}").replace("\n", "\x1f\n\x1f")
-            return (_SPACE + cut.replace(",", "\x1f,").replace(".", "\x1f.")).split("\x1f")
-        return _WORDS.findall(_SPACE + text.replace(" ", _SPACE))
+    def _marked(self, text: str) -> str | None:
+        """The parts of a plain text, with separators between them."""
+        if not text or text[0] == " " or not self.lattice.marks_apart or _NOT_PLAIN.search(text):
+            return None
+        cut = text.replace(" ", f"{_CUT}{_SPACE}").replace("\n", f"{_CUT}\n{_CUT}")
+        return _SPACE + cut.replace(",", f"{_CUT},").replace(".", f"{_CUT}.")
 
     def encode(self, text: str) -> list[tuple[float, bytes]]:
         """The n best segmentations as (score, ids as little-endian unsigned 32-bit bytes), best first.
 
         Of equal scores the one that departs from the best path later comes first.
         """
-        words = self.words(text)
-        if not words:
-            return [(0.0, b"")]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
+        """The n best segmentations of each of some texts, every distinct word looked up once."""
+        marked = list(map(self._marked, texts))
+        order = sorted(range(len(texts)), key=lambda i: marked[i] is None)
+        n_plain = len(texts) - marked.count(None)
+        odd = [_WORDS.findall(_SPACE + text.replace(" ", _SPACE)) if text else [] for text in (texts[i] for i in order[n_plain:])]
+        words, number, ends = numbered([marked[i] for i in order[:n_plain]], _CUT, odd)
         self.two_best = self.two_best.renewed()
-        best, scores, losses = zip(*map(self.two_best.__getitem__, words))
-        total, best = sum(scores), list(best)
+        found = looked_up(self.two_best, words)
+        raw, n_ids = put_together(number, [ids for ids, _, _ in found])
+        scores, losses = np.array([score for _, score, _ in found]), np.array([loss for _, _, loss in found])
+        out: list[list[tuple[float, bytes]]] = [[]] * len(texts)
+        for i, a, b in zip(order, [0, *ends.tolist()], ends.tolist()):
+            own, at = number[a:b], len(END) * n_ids[a:b + 1]
+            out[i] = self._varied(words, own, scores[own], losses[own], raw, at)
+        return out
+
+    def _varied(self, words: list[str], number: np.ndarray, scores: np.ndarray, losses: np.ndarray, raw: bytes,
+                at: np.ndarray) -> list[tuple[float, bytes]]:
+        """The n best of one text: its words by number, the score and loss of each, and where the ids of
+        its best path lie in ``raw``."""
+        if not len(number):
+            return [(0.0, b"")]
+        total = sum(scores.tolist())
         # The n best differ from the best in the n - 1 words of least loss only.
-        odd = range(len(words))
-        if len(words) >= self.n > 1:
-            odd = sorted(np.argpartition(np.array(losses), self.n - 2)[:self.n - 1].tolist())
-        paths = {at: self.n_best(words[at]) for at in odd}
+        odd = range(len(number))
+        if len(number) >= self.n > 1:
+            odd = sorted(np.argpartition(losses, self.n - 2)[:self.n - 1].tolist())
+        # What lies between the odd words is taken once, and the odd words take their places.
+        parts, place, done = [], {}, at[0]
         kept: list[tuple[float, tuple]] = [(0.0, ())]
-        for at, own in paths.items():
-            best[at] = own[0][1]
-            grown = [(loss + own[0][0] - score, (*choice, (at, ids)) if i else choice)
+        for word in odd:
+            own = self.n_best(words[number[word]])
+            parts.append(raw[done:at[word]])
+            place[word], done = len(parts), at[word + 1]
+            parts.append(own[0][1])
+            grown = [(loss + own[0][0] - score, (*choice, (word, ids)) if i else choice)
                      for loss, choice in kept for i, (score, ids) in enumerate(own)]
             grown.sort(key=lambda x: x[0])
             kept = grown[:self.n]
+        parts.append(raw[done:at[-1]])
         out = []
         for loss, choice in kept:
-            parts = best
-            if choice:
-                parts = best.copy()
-                for at, ids in choice:
-                    parts[at] = ids
-            out.append((total - loss, b"".join(parts)))
+            own = parts.copy()
+            for word, ids in choice:
+                own[place[word]] = ids
+            out.append((total - loss, b"".join(own)))
         return out
 
 
@@ -231,9 +254,9 @@ def encode(docs: DataFrame, model_path: str, n: int = N_BEST) -> DataFrame:
             [("score", pa.float64()), ("ids", pa.list_(pa.int32()))])))])
 
         def rows():
-            for part in parts:
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    yield doc_id, [{"score": s, "ids": np.frombuffer(ids, "<u4")} for s, ids in own.encode(text.as_py())]
+            for doc_ids, texts in together(parts, FEW):
+                for doc_id, found in zip(doc_ids, own.encode_all(texts)):
+                    yield doc_id, [{"score": s, "ids": np.frombuffer(ids, "<u4")} for s, ids in found]
 
         yield from batches(rows(), schema, 64)
 
@@ -270,10 +293,8 @@ def digest(docs: DataFrame, model_path: str, n: int = N_BEST) -> DataFrame:
 
         def rows():
             decode = own.lattice.decode
-            for part in parts:
-                for doc_id, value in zip(part.column(0).to_pylist(), part.column(1)):
-                    text = value.as_py()
-                    found = own.encode(text)
+            for doc_ids, texts in together(parts, FEW):
+                for doc_id, text, found in zip(doc_ids, texts, own.encode_all(texts)):
                     crc = 0
                     for _, ids in found:
                         crc = zlib.crc32(ids, crc)
