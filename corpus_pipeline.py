@@ -36,14 +36,19 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of an earlier one; n_chars, where there is one, follows. A text of
     nothing else stays, empty; rows without doc_id stay as they are."""
-    found = passages.deduplicated(docs, carry=docs.columns)
-    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    # The text goes through once, as what is kept of it; with the other columns goes whether it is null,
+    # under a name longer than all of theirs.
+    no_text = max(docs.columns, key=len) + "_"
+    others = [c for c in docs.columns if c != "text"]
+    found = passages.deduplicated(docs.withColumn(no_text, F.col("text").isNull()), carry=[*others, no_text])
 
     def column(name: str) -> Column:
+        if name == "text":
+            return F.when(~F.col(f"rest.{quoted(no_text)}"), F.col("kept").cast(docs.schema[name].dataType))
         old = F.col(f"rest.{quoted(name)}")
-        if name not in new:
-            return old
-        return F.when(F.size("spans") > 0, new[name].cast(docs.schema[name].dataType)).otherwise(old)
+        if name == "n_chars":
+            return F.when(F.size("spans") > 0, F.length("kept").cast(docs.schema[name].dataType)).otherwise(old)
+        return old
 
     cleaned = found.select(*(column(c).alias(c) for c in docs.columns))
     return cleaned.unionByName(docs.where(F.col("doc_id").cast("long").isNull()))

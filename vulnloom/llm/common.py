@@ -83,6 +83,13 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Itera
         yield _batch(held, schema)
 
 
+def in_slices(parts: Iterable[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of at most ``size`` rows, for what makes strings of all rows of one at once."""
+    for part in parts:
+        for at in range(0, len(part), size):
+            yield part.slice(at, size)
+
+
 def by_group(parts: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
     """Batches sorted by long keys, cut so that rows of one key stay together; a row is copied once."""
     held: list[pa.RecordBatch] = []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vulnloom.llm.common import as_row, batches, by_group, id_text_rows, id_texts, staged, width
+from vulnloom.llm.common import as_row, batches, by_group, id_text_rows, id_texts, in_slices, staged, width
 from vulnloom.llm.repeats import changes
 from vulnloom.llm.shared_runs import hashes, mixed, sums
 
@@ -435,7 +435,7 @@ def aligned(own: np.ndarray, other: np.ndarray, links: np.ndarray, k: int = K,
 
 def _cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("like", pa.int64())]))
-    for part in parts:
+    for part in in_slices(parts):
         texts = part.column("text")
         n_bytes, spans, kept = [], [], []
         for text, own_chains in zip(texts, part.column("chains").to_pylist()):

@@ -24,13 +24,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from vulnloom.llm.common import Memo, kept
+from vulnloom.llm.common import Memo, in_slices, kept
 
 ID = np.dtype("<u4")
 END = (0).to_bytes(4, "little")
+#: Words remembered where space is kept, and where space and case are dropped, which leaves fewer.
 MEMO_WORDS = 400_000
+MEMO_LOWERED = 200_000
 #: Characters of text that are encoded together, words learnt in one call, words put together at once.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 20
 LEARNT = 1 << 13
 SPAN = 1 << 18
 
@@ -94,9 +96,9 @@ def put_together(number: np.ndarray, found: list[bytes]) -> tuple[bytes, np.ndar
 
 
 def together(parts: Iterable[pa.RecordBatch], room: int = TOGETHER) -> Iterator[tuple[list[int], list[str]]]:
-    """doc_id and text of rows in order, some megabytes of text at a time or one longer text."""
+    """doc_id and text of rows in order, about ``room`` characters of text at a time or one longer text."""
     doc_ids, texts, size = [], [], 0
-    for part in parts:
+    for part in in_slices(parts):
         for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)):
             if texts and size + len(text) > room:
                 yield doc_ids, texts
@@ -140,7 +142,7 @@ class Encoder:
         self.spaced_id, self.ending_id = np.zeros((2, max(vocab.values()) + 1), bool)
         self.spaced_id[[i for word, i in vocab.items() if word[0] == "\u0120"]] = True
         self.ending_id[[i for word, i in vocab.items() if word.endswith("</w>")]] = True
-        self.ids = Memo(self.spaced if keeps_space else self.whole, MEMO_WORDS)
+        self.ids = Memo(self.spaced, MEMO_WORDS) if keeps_space else Memo(self.whole, MEMO_LOWERED)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
