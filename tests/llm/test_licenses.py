@@ -8,7 +8,7 @@ import pytest
 
 from vulnloom.llm import licenses
 from vulnloom.llm.license_texts import NOTICES
-from vulnloom.llm.queries import QUERIES
+from vulnloom.llm.queries import ORACLES, QUERIES
 
 DOCS = "doc_id long, text string, blocks string, `a.b` int"
 
@@ -94,3 +94,26 @@ def test_the_query_takes_whole_base_phrases(spark, tmp_path):
     assert sorted((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows) == [
         (1, 5, 1, 1, 1, "mit"), (2, 3, 0, None, None, ""), (3, 8, 2, 0, 4, "mit"), (4, 4, 0, None, None, ""),
         (5, 11, 2, 0, 6, "apache-2,cc-by-nc"), (6, 0, 0, None, None, "")]
+
+
+def test_the_query_labels_the_phrase_without_its_first_word(spark, tmp_path):
+    import duckdb
+
+    long = "word " * 300
+    texts = [(1, "See the MIT license."), (2, f"{long} terms of the\nMIT License {long}"), (3, "under the MIT License; the mit license"),
+             (4, "the mit licence"), (5, "see the mit\n\nlicense. CC BY-NC"), (6, "All rights reserved, the MIT license"), (7, None)]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_license_scan"](spark, str(tmp_path))
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == [
+        (1, 4, 0, None, None, "", "mit", 1.0, 1, 1, 1, "mit"),
+        (2, 605, 0, None, None, "", "mit", 1.0, 1, 302, 302, "mit"),
+        (3, 7, 1, 0, 0, "mit", "mit", 1.0, 2, 1, 4, "mit"),
+        (4, 3, 0, None, None, "", "", 0.0, 0, None, None, ""),
+        (5, 7, 1, 4, 4, "cc-by-nc", "cc-by-nc,mit", 1.0, 2, 1, 4, "cc-by-nc,mit"),
+        (6, 6, 0, None, None, "", "all-rights-reserved,mit", 1.0, 1, 3, 3, "mit"),
+        (7, 0, 0, None, None, "", "", 0.0, 0, None, None, "")]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = con.execute(ORACLES["op10_license_scan"])
+    assert [d[0] for d in sql.description] == found.columns and sorted(sql.fetchall()) == rows

@@ -55,6 +55,12 @@ def base_places(words: list[bytes], phrases: list[tuple[str, str]] = PHRASES) ->
     return found
 
 
+def summary(places: list[tuple[int, str]]) -> tuple[int, int | None, int | None, list[str]]:
+    """How many places there are, the first and the last, and their distinct labels."""
+    at = [a for a, _ in places]
+    return len(at), min(at, default=None), max(at, default=None), sorted({label for _, label in places})
+
+
 def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
     """How often each word of the templates stands in all documents.
 
@@ -73,7 +79,10 @@ def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
          phrases: list[tuple[str, str]] = PHRASES) -> DataFrame:
-    """Labels of every document, those of base ``phrases`` and of ``templates``.
+    """Labels of every document, those of base ``phrases``, of ``PHRASES`` and of ``templates``.
+
+    Base columns tell of ``phrases`` alone; whatever those are, ``PHRASES`` are looked for too
+    and give labels.
 
     Blocks are half-overlapping runs of words over the whole document, across line ends, and
     as long as the template needs (``reach``): wherever a run of that many words holds
@@ -84,9 +93,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
     filter); what passes is verified.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score:
-    1 where a base phrase stands, else the largest containment found, else 0. A null or
-    empty text has no words, labels '' and score 0. Rows that repeat a doc_id are
-    returned each; a row without doc_id takes no part; an empty table gives no rows.
+    1 where a base phrase or one of ``PHRASES`` stands, else the largest containment found,
+    else 0; then n_phrases, first_phrase, last_phrase and phrase_labels, which are for
+    ``PHRASES`` what the base columns are for ``phrases``. A null or empty text has no words,
+    labels '' and score 0. Rows that repeat a doc_id are returned each; a row without doc_id
+    takes no part; an empty table gives no rows.
     """
     spark = docs.sparkSession
     wording = []
@@ -113,6 +124,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
         schema = pa.schema([
             ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()),
             ("first_word", pa.int64()), ("last_word", pa.int64()), ("base", pa.list_(pa.string())),
+            ("n_phrases", pa.int64()), ("first_phrase", pa.int64()), ("last_phrase", pa.int64()), ("general", pa.list_(pa.string())),
             ("blocks", pa.list_(pa.struct([("reach", pa.int32()), ("size", pa.int32()), ("words", pa.list_(pa.int32()))])))])
 
         def rows():
@@ -127,15 +139,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
                         block = set(words[b * size:(b + 2) * size])
                         own = sorted(order[w] for w in every[size] & block)
                         held.append({"reach": size, "size": len(block), "words": own})
-                places = base_places(words, phrases)
-                at = [a for a, _ in places]
-                yield (base + number, doc_id, len(words), len(places), min(at, default=None), max(at, default=None),
-                       sorted({label for _, label in places}), held)
+                yield (base + number, doc_id, len(words), *summary(base_places(words, phrases)),
+                       *summary(base_places(words)), held)
 
         yield from batches(rows(), schema, 2048)
 
     own = staged(id_texts(docs).mapInArrow(
         run, "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
+             "n_phrases long, first_phrase long, last_phrase long, general array<string>, "
              "blocks array<struct<reach: int, size: int, words: array<int>>>"), "license-blocks")
     # One row per prefix word of the templates: a table of fixed size.
     index = F.broadcast(spark.createDataFrame(
@@ -152,8 +163,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
              .withColumn("shared", F.size(F.array_intersect("words", "wording")))
              .where("shared >= least")
              .groupBy("row").agg(F.collect_set("label").alias("more"), F.max(F.col("shared") / F.col("n")).alias("held")))
-    both = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
+    both = F.array_sort(F.array_distinct(F.concat("base", "general", F.coalesce("more", F.array().cast("array<string>")))))
     return own.drop("blocks").join(found, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"), F.array_join(both, ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("held", F.lit(0.0))).alias("score"))
+        F.when(F.expr("n_base > 0 OR n_phrases > 0"), F.lit(1.0)).otherwise(F.coalesce("held", F.lit(0.0))).alias("score"),
+        "n_phrases", "first_phrase", "last_phrase", F.array_join("general", ",").alias("phrase_labels"))

@@ -27,7 +27,7 @@ from vulnloom.llm.common import documents
 from vulnloom.session import work_path
 
 WORD_BPE, BYTE_BPE, PIECES = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
-# The base phrases of op10 and their labels.
+# The base phrases of op10 and their labels. The operator's own phrases are looked for as well.
 BASE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
 
@@ -113,10 +113,10 @@ _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _places() -> str:
-    """SQL for the base phrases of every document, one row per place."""
+def _places(phrases: list[tuple[str, str]]) -> str:
+    """SQL for the phrases of every document, one row per place."""
     parts = []
-    for phrase, label in BASE_PHRASES:
+    for phrase, label in phrases:
         own = phrase.split()
         parts.append(f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM "
                      f"(SELECT doc_id, w, unnest(range(1, len(w) - {len(own) - 2})) AS i FROM words) "
@@ -151,11 +151,16 @@ ORACLES = {
         FROM scored QUALIFY rank <= 20""",
     "op10_license_scan": rf"""
         WITH words AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_WORDS}') AS w FROM documents),
-        places AS ({_places()}),
+        places AS ({_places(BASE_PHRASES)}),
         base AS (
             SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
             FROM places GROUP BY doc_id
         ),
+        general AS ({_places(licenses.PHRASES)}),
+        phrased AS (
+            SELECT doc_id, count(*) AS n_phrases, min(place) AS first_phrase, max(place) AS last_phrase, list(DISTINCT label) AS labels
+            FROM general GROUP BY doc_id
+        ),
         templates AS (SELECT * FROM (VALUES {_templates()}) t(i, label, t, reach)),
         blocks AS (
             SELECT doc_id, reach, list_distinct(w[s + 1:s + 2 * reach]) AS b
@@ -170,9 +175,12 @@ ORACLES = {
         more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM held GROUP BY doc_id)
         SELECT doc_id, len(words.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
             array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
-            array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
-            CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
-        FROM words LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)""",
+            array_to_string(list_sort(list_distinct(list_concat(list_concat(coalesce(base.labels, []), coalesce(phrased.labels, [])),
+                coalesce(more.labels, [])))), ',') AS labels,
+            CASE WHEN n_base > 0 OR n_phrases > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score,
+            coalesce(n_phrases, 0) AS n_phrases, first_phrase, last_phrase,
+            array_to_string(list_sort(coalesce(phrased.labels, [])), ',') AS phrase_labels
+        FROM words LEFT JOIN base USING (doc_id) LEFT JOIN phrased USING (doc_id) LEFT JOIN more USING (doc_id)""",
     "op11_filter_audit": rf"""
         WITH d AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
